@@ -22,10 +22,16 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def maybe_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
-    """Hint a broadcast only for a side whose estimated size is checked to be under ``limit``."""
-    size = estimated_bytes(df)
-    if size is not None and size <= limit:
+def maybe_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT,
+                    bounded_by: Sequence[DataFrame] | None = None) -> DataFrame:
+    """Hint a broadcast only for a side whose estimated size is checked to be under ``limit``.
+
+    ``bounded_by``: frames whose summed size bounds ``df`` (e.g. a dimension joined to
+    its many-to-one parent), used when the optimizer's own estimate for ``df`` is
+    a loose product of its inputs.
+    """
+    sizes = [estimated_bytes(x) for x in (bounded_by or [df])]
+    if all(s is not None for s in sizes) and sum(sizes) <= limit:
         return F.broadcast(df)
     return df
 
@@ -36,9 +42,10 @@ def join_dimension(
     on: str | Sequence[str] | Column,
     how: str = "left",
     limit: int = DEFAULT_BROADCAST_LIMIT,
+    bounded_by: Sequence[DataFrame] | None = None,
 ) -> DataFrame:
     """Enrich a fact frame from a dimension; broadcast the dimension when it is checked small."""
-    return fact.join(maybe_broadcast(dim, limit), on, how)
+    return fact.join(maybe_broadcast(dim, limit, bounded_by), on, how)
 
 
 def panel_join(panels: Sequence[DataFrame], keys: Sequence[str], how: str = "inner") -> DataFrame:

@@ -110,3 +110,8 @@ def q_extract_uuid(spark: SparkSession, d: str) -> DataFrame:
     keys = lines.select(extract_uuid("line").alias("character_id"))
     master = t.part.select(uuid_text("p_partkey").alias("character_id"), F.col("p_brand").alias("house"))
     return join_dimension(keys, master, "character_id", "left")
+
+
+# Further query families register themselves on import.
+from tessera.plans import registry_metrics  # noqa: E402,F401
+from tessera.plans import registry_channels  # noqa: E402,F401
