@@ -115,3 +115,4 @@ def q_extract_uuid(spark: SparkSession, d: str) -> DataFrame:
 # Further query families register themselves on import.
 from tessera.plans import registry_metrics  # noqa: E402,F401
 from tessera.plans import registry_channels  # noqa: E402,F401
+from tessera.plans import registry_ops  # noqa: E402,F401
