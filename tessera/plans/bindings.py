@@ -15,7 +15,12 @@ from tessera.sources.tables import Tables
 
 def sales_from_lineitem(t: Tables) -> DataFrame:
     """Sales facts: one line item = one sale of part ``l_partkey``, stamped by its order key."""
-    return t.lineitem.select(
+    return sales_columns(t.lineitem)
+
+
+def sales_columns(lineitem: DataFrame) -> DataFrame:
+    """The sales view of any frame with lineitem columns (batch or stream)."""
+    return lineitem.select(
         F.col("l_partkey").alias("character_id"),
         F.col("l_shipdate").cast("date").alias("sale_date"),
         F.col("l_quantity").cast("int").alias("amount"),
