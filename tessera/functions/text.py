@@ -36,10 +36,10 @@ def uuid_text(n: Column | str) -> Column:
 def bracket_residue(s: Column | str) -> Column:
     """Unmatched open brackets left after scanning ``s`` ('!' once a close bracket fails).
 
-    Non-bracket characters are removed first, so the fold only walks the brackets.
+    Only the bracket characters are pulled out of the text (one regex pass), so
+    the fold walks the brackets, not the whole text.
     """
-    only = F.regexp_replace(_c(s), r"[^()\[\]{}]", "")
-    chars = F.split(only, "")
+    chars = F.regexp_extract_all(_c(s), F.lit(r"[()\[\]{}]"), 0)
 
     def step(acc: Column, ch: Column) -> Column:
         top = F.substring(acc, -1, 1)

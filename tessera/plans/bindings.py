@@ -25,6 +25,7 @@ def sales_columns(lineitem: DataFrame) -> DataFrame:
         F.col("l_shipdate").cast("date").alias("sale_date"),
         F.col("l_quantity").cast("int").alias("amount"),
         hex_stamp("l_orderkey").alias("verstamp"),
+        F.col("l_orderkey").alias("stamp"),
     )
 
 

@@ -81,3 +81,23 @@ def latest_channel_wide(activity: DataFrame, contact: DataFrame, branches: list[
         *[F.max(F.when(b.qualifies, F.col("created"))).alias(f"{b.name}_created") for b in branches])
     c = contact.select(*CONTACT_COLUMNS)
     return join_dimension(maxima, c, maxima["con_id"] == c["row_id"], "left").drop("row_id")
+
+
+# Fixed values of the original report: activity types, statuses and the landline prefix.
+EMAIL_TYPE = "Электронная почта"
+SMS_TYPE = "СМС"
+SMS_DELIVERED = "Доставлено"
+CAMPAIGN_CALL_TYPE = "Вызов - исходящий из кампании"
+BAD_NUMBER = "Неверный номер"
+LANDLINE_PREFIX = "734"
+
+
+def original_branches() -> list[Branch]:
+    """E-mail, delivered SMS and commented campaign calls (not to a bad number)."""
+    mobile = (F.col("comm_medium_cd") == "Phone") & ~F.col("addr").startswith(LANDLINE_PREFIX)
+    return [
+        Branch("email", F.col("todo_cd") == EMAIL_TYPE, F.col("comm_medium_cd") == "Email"),
+        Branch("sms", (F.col("todo_cd") == SMS_TYPE) & (F.col("stat") == SMS_DELIVERED), mobile),
+        Branch("call", (F.col("comments_long") != "") & (F.col("todo_cd") == CAMPAIGN_CALL_TYPE)
+               & (F.col("stat") != BAD_NUMBER), mobile),
+    ]
