@@ -61,7 +61,8 @@ def house_sales(sales: DataFrame, master: DataFrame, watermark: str | None = Non
 
 
 def unmatched_keys(sales: DataFrame, master: DataFrame, watermark: str | None = None) -> DataFrame:
-    """Distinct fresh keys without master data, with their row count (reported, not silently lost)."""
+    """Distinct fresh keys without a house (unknown key or NULL house) and their row count:
+    these rows are dropped from the rollup, so they are reported instead of lost silently."""
     fresh = fresh_rows(sales, watermark)
     keys = master.select("character_id").filter(F.col("house").isNotNull() if "house" in master.columns else F.lit(True))
     return (fresh.join(keys, "character_id", "left_anti")
