@@ -69,3 +69,19 @@ def q_stream_metric_ingest(spark: SparkSession, d: str) -> DataFrame:
     q.awaitTermination()
     out = daily_rollup(spark, f"{work}/panel", ["value"])
     return out.select("customer_id", "day", F.col("value_sum").cast("decimal(38,2)").alias("value_sum"))
+
+
+@register("synthetic_sales", None)
+def q_synthetic_sales(spark: SparkSession, d: str) -> DataFrame:
+    """Seeded sales deliveries: one day per distinct ship date, keys drawn from the parts.
+
+    Random, so there is no SQL oracle; invariants are tested instead (rows per day,
+    strictly increasing ids and stamps, key domain).
+    """
+    import datetime as dt
+
+    from tessera.plans.generate import synthetic_sales
+
+    t = Tables(spark, d)
+    days = t.lineitem.select(F.col("l_shipdate").cast("date")).distinct().count()
+    return synthetic_sales(spark, t.part.select("p_partkey"), "p_partkey", days, dt.date(2023, 1, 1), seed=42)
