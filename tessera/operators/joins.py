@@ -17,7 +17,7 @@ DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df`` (an upper bound for scans + filters), or None."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # Spark Connect or an unexpected plan: let AQE decide
         return None
 

@@ -105,3 +105,20 @@ def test_latest_rows_keeps_ties(spark):
                                "e string, ts long, kind string")
     out = latest_rows(df, "e", "ts", F.col("kind") == "t1").collect()
     assert sorted((r["ts"], r["kind"]) for r in out) == [(3, "t1"), (3, "t2")]
+
+
+def test_size_checked_broadcast(spark):
+    from tessera.operators.joins import estimated_bytes, maybe_broadcast
+
+    small = spark.range(3).select(F.col("id").alias("k"), F.lit("a").alias("v"))
+    size = estimated_bytes(small)
+    assert isinstance(size, int) and 0 < size < 10**6
+    # unknown size (local rows) is never broadcast by the check
+    assert estimated_bytes(spark.createDataFrame([(1,)], "k long")) > 10**12
+    big = spark.range(10).select(F.col("id").alias("k"))
+
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "strategy=broadcast" in plan(big.join(maybe_broadcast(small, limit=10**9), "k"))
+    assert "strategy=broadcast" not in plan(big.join(maybe_broadcast(small, limit=1), "k"))
