@@ -4,6 +4,8 @@ from tessera.functions.stamps import hex_stamp, stamp_value
 from tessera.functions.timeparts import (
     ALL_BUCKET_TIME,
     BUCKET_UNITS,
+    date_literal,
+    ntz_literal,
     parse_dmy_date,
     parse_dmy_timestamp,
     trunc_ntz,
@@ -20,7 +22,7 @@ from tessera.functions.text import (
 from tessera.functions.docs import json_doc
 
 __all__ = [
-    "hex_stamp", "stamp_value", "ALL_BUCKET_TIME", "BUCKET_UNITS", "parse_dmy_date",
+    "hex_stamp", "stamp_value", "ALL_BUCKET_TIME", "BUCKET_UNITS", "date_literal", "ntz_literal", "parse_dmy_date",
     "parse_dmy_timestamp", "trunc_ntz", "year_month", "UUID_PATTERN", "bracket_residue",
     "common_prefix", "extract_uuid", "is_balanced", "uuid_text", "json_doc",
 ]

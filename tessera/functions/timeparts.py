@@ -22,11 +22,42 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_DATE_UNITS = {"day": None, "week": "week", "month": "month", "quarter": "quarter", "year": "year"}
+
+
 def trunc_ntz(unit: str, ts: Column | str) -> Column:
-    """``date_trunc`` that stays zone-less (Spark's result is a zoned timestamp)."""
+    """``date_trunc`` that stays zone-less.
+
+    Day and coarser units go through ``date`` (``trunc`` for week/month/…; weeks
+    start on Monday), which never consults the session time zone; finer units use
+    ``date_trunc`` and cast back to a zone-less timestamp.
+    """
+    u = unit.lower()
+    if u in _DATE_UNITS:
+        d = _c(ts).cast("date")
+        if _DATE_UNITS[u]:
+            d = F.trunc(d, _DATE_UNITS[u])
+        return d.cast("timestamp_ntz")
     return F.date_trunc(unit, _c(ts)).cast("timestamp_ntz")
 
 
+def ntz_literal(value: dt.datetime | dt.date | str) -> Column:
+    """A zone-less timestamp literal built from text, so neither the Python process
+    zone nor the session zone shifts it."""
+    if isinstance(value, dt.datetime):
+        value = value.strftime("%Y-%m-%d %H:%M:%S.%f")
+    elif isinstance(value, dt.date):
+        value = value.strftime("%Y-%m-%d 00:00:00")
+    return F.lit(value).cast("timestamp_ntz")
+
+
+def date_literal(value: dt.datetime | dt.date | str) -> Column:
+    """A date literal from text (zone-independent)."""
+    if isinstance(value, (dt.datetime, dt.date)):
+        value = value.strftime("%Y-%m-%d")
+    return F.lit(str(value)[:10]).cast("date")
+
+
 def year_month(ts: Column | str) -> Column:
     """``to_char(ts, 'YYYYMM')``."""
     return F.date_format(_c(ts), "yyyyMM")

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.stamps import hex_stamp
+from tessera.functions.timeparts import date_literal, ntz_literal
 from tessera.operators.joins import maybe_broadcast
 from tessera.session import ensure_checkpoint_dir
 from tessera.sources.series import explode_hours
@@ -95,7 +96,7 @@ def synthetic_sales(
     return rows.select(
         F.col("id").cast("long").alias("id"),
         F.col(key).cast("string").alias("character_id"),
-        F.date_add(F.lit(first_day), F.col("day").cast("int")).alias("sale_date"),
+        F.date_add(date_literal(first_day), F.col("day").cast("int")).alias("sale_date"),
         F.col("amount").cast("int").alias("amount"),
         hex_stamp(F.lit(start_stamp) + F.col("off") + F.col("cum")).alias("verstamp"),
     )
@@ -162,8 +163,7 @@ def synthetic_metric_panels(
 ) -> dict[str, DataFrame]:
     """One frame per panel: every person × every hour in ``[start, end]`` with random values
     in [0, 1) for the first ``filled_per_panel`` metrics of the panel and NULL for the rest."""
-    hours = people.select("customer_id", F.lit(start).cast("timestamp_ntz").alias("a"),
-                          F.lit(end).cast("timestamp_ntz").alias("b"))
+    hours = people.select("customer_id", ntz_literal(start).alias("a"), ntz_literal(end).alias("b"))
     grid = explode_hours(hours, ["customer_id"], "a", "b")
     panels = {}
     for p_i, table in enumerate(sorted({t for _, t in catalog_rows})):

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.docs import json_doc
-from tessera.functions.timeparts import ALL_BUCKET_TIME, BUCKET_UNITS, trunc_ntz
+from tessera.functions.timeparts import ALL_BUCKET_TIME, BUCKET_UNITS, ntz_literal, trunc_ntz
 from tessera.operators.aggregates import first_last_seen
 from tessera.operators.joins import join_dimension, panel_join
 
@@ -84,9 +84,9 @@ def _time_range(df: DataFrame, start, end) -> DataFrame:
     """Inclusive bounds, each optional; absent bound = open end."""
     ts = F.col("metric_timestamp")
     if start is not None:
-        df = df.filter(ts >= F.lit(start).cast("timestamp_ntz"))
+        df = df.filter(ts >= ntz_literal(start))
     if end is not None:
-        df = df.filter(ts <= F.lit(end).cast("timestamp_ntz"))
+        df = df.filter(ts <= ntz_literal(end))
     return df
 
 
@@ -124,7 +124,7 @@ def _bucket(code: str | None, allowed: tuple[str, ...]) -> Column | None:
     if code not in allowed:
         raise ValueError(f"unknown aggregation code {code!r}; expected one of {allowed} or None")
     if code == "ALL":
-        return F.lit(ALL_BUCKET_TIME).cast("timestamp_ntz")
+        return ntz_literal(ALL_BUCKET_TIME)
     return trunc_ntz(BUCKET_UNITS[code], "metric_timestamp")
 
 

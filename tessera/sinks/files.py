@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.stamps import ZERO_STAMP
-from tessera.functions.timeparts import trunc_ntz
+from tessera.functions.timeparts import date_literal, trunc_ntz
 from tessera.sources.files import STATE_SCHEMA
 
 
@@ -63,7 +63,7 @@ def month_filter(month_col: str, start=None, end=None):
     """Partition predicate derived from timestamp bounds (``ts`` bounds alone do not prune months)."""
     cond = F.lit(True)
     if start is not None:
-        cond = cond & (F.col(month_col) >= F.trunc(F.lit(start).cast("date"), "month"))
+        cond = cond & (F.col(month_col) >= F.trunc(date_literal(start), "month"))
     if end is not None:
-        cond = cond & (F.col(month_col) <= F.trunc(F.lit(end).cast("date"), "month"))
+        cond = cond & (F.col(month_col) <= F.trunc(date_literal(end), "month"))
     return cond

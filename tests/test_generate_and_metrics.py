@@ -119,3 +119,19 @@ def test_panel_join_equals_wide_table(store):
     wide = store.panels["customer_metric_1"].join(store.panels["customer_metric_2"], list(M.KEYS))
     cols = list(M.KEYS) + names.split(",")
     assert sorted(map(tuple, joined.select(*cols).collect())) == sorted(map(tuple, wide.select(*cols).collect()))
+
+
+def test_results_do_not_depend_on_session_zone(spark, store):
+    def run():
+        a = M.city_metrics(store, "metric_1,metric_4", dt.datetime(2024, 1, 30, 1), dt.datetime(2024, 2, 3, 22), "WK")
+        b = M.customer_metrics(store, 2, "metric_1", None, dt.datetime(2024, 2, 1, 5), "DY")
+        return sorted(map(tuple, a.collect())), sorted(map(tuple, b.collect()))
+
+    base = run()
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("America/Los_Angeles", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert run() == base
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
