@@ -39,6 +39,18 @@ class MetricStore:
     cities: DataFrame
     _catalog_rows: list | None = field(default=None, repr=False)
 
+    @classmethod
+    def from_tables(cls, spark, catalog: DataFrame, tables: dict[str, str], people: DataFrame,
+                    cities: DataFrame) -> "MetricStore":
+        """Store over catalog tables (e.g. bucketed panels written by ``write_panel_tables``).
+
+        Bucketed panels share ``customer_id`` as their only bucket key; letting a join
+        on ``(customer_id, metric_timestamp)`` reuse that partitioning removes the
+        shuffle from the panel join.
+        """
+        spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+        return cls(catalog, {t: spark.table(n) for t, n in tables.items()}, people, cities)
+
     def catalog_rows(self) -> list:
         """The catalog as driver-side rows: it is one row per metric (thousands at most)."""
         if self._catalog_rows is None:
