@@ -152,3 +152,23 @@ def channel_branches():
         Branch("call", (F.col("comments_long") != "") & (F.col("todo_cd") == CALL_TYPE)
                & (F.col("stat") != CALL_BAD_NUMBER), mobile),
     ]
+
+
+def order_metric_store(t: Tables):
+    """A one-panel store over ``orders``: metric_1 = order total per (customer, order date).
+
+    Orders span several years, so month buckets are exercised; (customer, date) is
+    not unique here, which is harmless with a single panel (no panel join).
+    """
+    from tessera.plans.metrics import MetricStore
+
+    rows = [("metric_1", "panel_1")]
+    cat = t.spark.createDataFrame([(1, "metric_1", "order total", "numeric", "panel_1")],
+                                  "metric_id int, name string, explain string, data_type string, table_name string")
+    panel = t.orders.select(F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").alias("metric_timestamp"),
+                            F.col("o_totalprice").cast(METRIC_TYPE).alias("metric_1"))
+    people = t.customer.select(
+        F.col("c_custkey").alias("customer_id"), F.col("c_nationkey").alias("city_id"),
+        F.col("c_mktsegment").alias("first_name"), F.col("c_name").alias("last_name"))
+    cities = t.nation.select(F.col("n_nationkey").alias("city_id"), F.col("n_name").alias("name"))
+    return MetricStore(cat, {"panel_1": panel}, people, cities, rows)

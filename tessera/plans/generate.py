@@ -160,9 +160,14 @@ def synthetic_metric_panels(
     filled_per_panel: int | None = None,
     seed: int = 42,
     metric_type: str = "decimal(28,15)",
+    row_limit: int | None = None,
 ) -> dict[str, DataFrame]:
     """One frame per panel: every person × every hour in ``[start, end]`` with random values
-    in [0, 1) for the first ``filled_per_panel`` metrics of the panel and NULL for the rest."""
+    in [0, 1) for the first ``filled_per_panel`` metrics of the panel and NULL for the rest.
+
+    ``row_limit`` keeps the first rows by ``(customer_id, metric_timestamp)`` (a
+    top-k: each task keeps its best ``row_limit`` rows before the final merge).
+    """
     hours = people.select("customer_id", ntz_literal(start).alias("a"), ntz_literal(end).alias("b"))
     grid = explode_hours(hours, ["customer_id"], "a", "b")
     panels = {}
@@ -173,7 +178,10 @@ def synthetic_metric_panels(
             filled = filled_per_panel is None or j < filled_per_panel
             v = F.rand(seed + p_i * 100000 + j).cast(metric_type) if filled else F.lit(None).cast(metric_type)
             cols.append(v.alias(n))
-        panels[table] = grid.select("customer_id", "metric_timestamp", *cols)
+        frame = grid.select("customer_id", "metric_timestamp", *cols)
+        if row_limit is not None:
+            frame = frame.orderBy("customer_id", "metric_timestamp").limit(row_limit)
+        panels[table] = frame
     return panels
 
 

@@ -189,3 +189,16 @@ def q_panel_join_point(spark: SparkSession, d: str) -> DataFrame:
     store = _store(spark, d)
     r = M.resolve(store, "metric_1,metric_2,metric_3,metric_4,metric_5")
     return M._joined_panels(store, r, None, None, PERSON).select(*M.KEYS, *[n for n, _ in r.metrics])
+
+
+@register("city_metrics_orders_mo", """
+SELECT n.n_name AS city, date_trunc('month', o.o_orderdate) AS result_time,
+       json_object('metric_1_sum', SUM(CAST(o.o_totalprice AS DECIMAL(18,2)))) AS result
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+GROUP BY 1, 2
+""")
+def q_city_metrics_orders_mo(spark: SparkSession, d: str) -> DataFrame:
+    """Monthly order totals per city (nation) over several years."""
+    from tessera.plans.bindings import order_metric_store
+
+    return M.city_metrics(order_metric_store(Tables(spark, d)), "metric_1", agg="MO")

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from tessera.functions.stamps import hex_stamp, stamp_value
 from tessera.operators.joins import join_dimension
+from tessera.functions.stamps import ZERO_STAMP
 from tessera.sinks.files import write_stamped, write_watermark
-from tessera.sources.files import read_watermark
+from tessera.sources.files import read_master_json, read_sales, read_watermark
 
 
 STAMP = "stamp"  # optional numeric stamp column; derived from ``verstamp`` when absent
@@ -112,3 +113,31 @@ def run_batch(
         return BatchResult(old, new, path, n)
     finally:
         fresh.unpersist()
+
+
+def lookup_seed(sales: DataFrame) -> DataFrame:
+    """Distinct keys with an empty ``house`` column: the set a per-key lookup fills in."""
+    return sales.select("character_id").distinct().withColumn("house", F.lit(""))
+
+
+# ---- the three scheduled steps, as separate callables over files ---------------
+
+def ensure_watermark(spark: SparkSession, path: str, is_restart: bool = False) -> str:
+    """Step 1: create the state with the zero stamp if missing, or reset it on restart."""
+    current = read_watermark(spark, path, default=None)
+    if current is None or is_restart:
+        write_watermark(spark, path, ZERO_STAMP)
+        return ZERO_STAMP
+    return current
+
+
+def compute_house_sales(spark: SparkSession, path_verstamp: str, path_sales: str, path_house_sales: str,
+                        master_snapshot: str) -> BatchResult:
+    """Step 2 (+3): the rollup of fresh sales into ``<path_house_sales>/verstamp=<new>``.
+
+    The master data is a JSON snapshot re-read on every run. The state advances in
+    the same call, from the same fresh frame that was aggregated, so rows arriving
+    between the two steps are not skipped.
+    """
+    return run_batch(spark, read_sales(spark, path_sales), read_master_json(spark, master_snapshot),
+                     path_verstamp, path_house_sales)

@@ -67,7 +67,7 @@ def read_lookup_csv(spark: SparkSession, path: str) -> DataFrame:
     return read_header_csv(spark, path, LOOKUP_SCHEMA)
 
 
-def read_watermark(spark: SparkSession, path: str, default: str = ZERO_STAMP) -> str:
+def read_watermark(spark: SparkSession, path: str, default: str | None = ZERO_STAMP) -> str | None:
     """Largest stamp in the state file (S6); ``default`` when the state does not exist.
 
     The state is one tiny row, so bringing the single value to the driver is fine.

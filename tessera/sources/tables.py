@@ -26,3 +26,20 @@ class Tables:
         if name not in TABLES:
             raise AttributeError(name)
         return table(self.spark, self.data_dir, name)
+
+
+def read_table(spark: SparkSession, name: str, columns: list[str] | None = None) -> DataFrame:
+    """Whole-table read of a catalog table (e.g. ``hp.characters``), optionally projected."""
+    df = spark.table(name)
+    return df.select(*columns) if columns else df
+
+
+def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, str] | None = None,
+              partition_column: str | None = None, lower: int | None = None, upper: int | None = None,
+              partitions: int = 1) -> DataFrame:
+    """Row-store table over JDBC; with a partition column the read is split into parallel ranges."""
+    opts = dict(properties or {})
+    if partition_column is not None:
+        return spark.read.jdbc(url, table, column=partition_column, lowerBound=lower, upperBound=upper,
+                               numPartitions=partitions, properties=opts)
+    return spark.read.jdbc(url, table, properties=opts)

@@ -17,7 +17,8 @@ def spark():
     s = build_session(
         "local[8]",
         "tessera-tests",
-        {"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"},
+        {"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
+         "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tessera-wh-", dir="/tmp")},
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s
