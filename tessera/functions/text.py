@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,13 +34,15 @@ def uuid_text(n: Column | str) -> Column:
     )
 
 
-def bracket_residue(s: Column | str) -> Column:
-    """Unmatched open brackets left after scanning ``s`` ('!' once a close bracket fails).
+# Bracket strings up to this length are folded JVM-side (each step copies the
+# accumulator, so cost grows with length x depth); longer ones go to a linear
+# stack scan in an Arrow-batched pandas UDF. Rows below the bound send only a NULL.
+FOLD_LIMIT = 256
+_PAIRS = {")": "(", "]": "[", "}": "{"}
 
-    Only the bracket characters are pulled out of the text (one regex pass), so
-    the fold walks the brackets, not the whole text.
-    """
-    chars = F.regexp_extract_all(_c(s), F.lit(r"[()\[\]{}]"), 0)
+
+def _fold_residue(brackets: Column) -> Column:
+    chars = F.split(brackets, "")
 
     def step(acc: Column, ch: Column) -> Column:
         top = F.substring(acc, -1, 1)
@@ -55,6 +58,37 @@ def bracket_residue(s: Column | str) -> Column:
     return F.aggregate(chars, F.lit(""), step)
 
 
+def _stack_residue(s: str | None) -> str | None:
+    if s is None:
+        return None
+    stack = []
+    for ch in s:
+        if ch in OPEN_BRACKETS:
+            stack.append(ch)
+        elif not stack or stack.pop() != _PAIRS[ch]:
+            return _BROKEN
+    return "".join(stack)
+
+
+def _long_residue_udf():
+    @F.pandas_udf("string")
+    def long_residue(b: pd.Series) -> pd.Series:
+        return b.map(_stack_residue)
+
+    return long_residue
+
+
+def bracket_residue(s: Column | str) -> Column:
+    """Unmatched open brackets left after scanning ``s`` ('!' once a close bracket fails).
+
+    Only the bracket characters are pulled out of the text (one regex pass), so
+    the check walks the brackets, not the whole text.
+    """
+    brackets = F.array_join(F.regexp_extract_all(_c(s), F.lit(r"[()\[\]{}]"), 0), "")
+    long_side = _long_residue_udf()(F.when(F.length(brackets) > FOLD_LIMIT, brackets))
+    return F.when(F.length(brackets) <= FOLD_LIMIT, _fold_residue(brackets)).otherwise(long_side)
+
+
 def is_balanced(s: Column | str) -> Column:
     """True when every bracket closes in order; other characters are ignored; empty is balanced."""
     return bracket_residue(s) == F.lit("")

@@ -36,6 +36,18 @@ def maybe_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT,
     return df
 
 
+def broadcast_if_rows_at_most(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
+
+    For sides made small by a selective filter (a name lookup), where the optimizer's
+    estimate still shows the whole table. The proof is a capped count
+    (``limit(max_rows + 1)``), which stops early; above the bound the join stays a
+    shuffle join.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
 def join_dimension(
     fact: DataFrame,
     dim: DataFrame,

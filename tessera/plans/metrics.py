@@ -23,7 +23,10 @@ from pyspark.sql import functions as F
 from tessera.functions.docs import json_doc
 from tessera.functions.timeparts import ALL_BUCKET_TIME, BUCKET_UNITS, ntz_literal, trunc_ntz
 from tessera.operators.aggregates import first_last_seen
-from tessera.operators.joins import join_dimension, panel_join
+from tessera.operators.joins import broadcast_if_rows_at_most, join_dimension, panel_join
+
+# A name lookup is broadcast against the panel only when it matches at most this many people.
+FIND_BROADCAST_ROWS = 1_000_000
 
 KEYS = ("customer_id", "metric_timestamp")
 PERSON_CODES = ("DY", "WK", "MO")
@@ -153,8 +156,9 @@ def find_customer(store: MetricStore, last_name: str, first_name: str | None = N
     people = store.people.filter(cond).select("customer_id", "city_id", "last_name", "first_name")
     people = join_dimension(people, store.cities.select("city_id", F.col("name").alias("city")), "city_id", "inner")
     panel = store.panels[first_panel or sorted(store.panels)[0]].select(*KEYS)
-    # The filtered people side is tiny in practice; the size check decides, AQE re-checks at run time.
-    seen = panel.join(people, "customer_id", "inner")
+    # The optimizer cannot see how selective the name filter is; a capped count proves
+    # the bound, so the panel is not shuffled for a handful of people.
+    seen = panel.join(broadcast_if_rows_at_most(people, FIND_BROADCAST_ROWS), "customer_id", "inner")
     return first_last_seen(seen, ["city", "last_name", "first_name"], "metric_timestamp")
 
 

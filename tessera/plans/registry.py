@@ -106,7 +106,9 @@ SELECT keys.character_id, m.house FROM keys LEFT JOIN m ON keys.character_id = m
 def q_extract_uuid(spark: SparkSession, d: str) -> DataFrame:
     """Per-key lookup as a flow: distinct key lines → regex key extraction → enrichment."""
     t = Tables(spark, d)
-    lines = t.lineitem.select(F.concat(F.lit('"'), uuid_text("l_partkey"), F.lit('",')).alias("line")).distinct()
+    # distinct keys first: the key text is derived once per part, not once per line item
+    keys = t.lineitem.select("l_partkey").distinct()
+    lines = keys.select(F.concat(F.lit('"'), uuid_text("l_partkey"), F.lit('",')).alias("line"))
     keys = lines.select(extract_uuid("line").alias("character_id"))
     master = t.part.select(uuid_text("p_partkey").alias("character_id"), F.col("p_brand").alias("house"))
     return join_dimension(keys, master, "character_id", "left")

@@ -122,3 +122,11 @@ def test_size_checked_broadcast(spark):
 
     assert "strategy=broadcast" in plan(big.join(maybe_broadcast(small, limit=10**9), "k"))
     assert "strategy=broadcast" not in plan(big.join(maybe_broadcast(small, limit=1), "k"))
+
+
+@pytest.mark.parametrize("text,ok", [("(" * 3000 + ")" * 3000, True), ("(" * 3000 + "]" + ")" * 2999, False),
+                                     ("x" * 10 + "{[()]}" * 200, True), ("(" * 400, False)])
+def test_balanced_long_inputs(spark, text, ok):
+    df = spark.createDataFrame([(text,), ("()",)], "s string")
+    got = [r["b"] for r in df.select(is_balanced("s").alias("b")).collect()]
+    assert got == [ok, True]
