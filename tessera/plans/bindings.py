@@ -51,6 +51,8 @@ def metric_catalog(t: Tables, panel_width: int = PANEL_WIDTH) -> DataFrame:
     from pyspark.sql import Window
 
     types = t.events.select("event_type").filter(F.col("event_type").isNotNull()).distinct()
+    # numbering runs over the distinct types only (a handful of rows after the
+    # partial + final aggregation), so the unpartitioned window is harmless
     numbered = types.select(F.row_number().over(Window.orderBy("event_type")).alias("metric_id"), "event_type")
     return numbered.select(
         F.col("metric_id").cast("int").alias("metric_id"),
