@@ -23,7 +23,13 @@ from pyspark.sql import functions as F
 from tessera.functions.docs import json_doc
 from tessera.functions.timeparts import ALL_BUCKET_TIME, BUCKET_UNITS, ntz_literal, trunc_ntz
 from tessera.operators.aggregates import first_last_seen
-from tessera.operators.joins import broadcast_if_rows_at_most, join_dimension, panel_join
+from tessera.operators.joins import (
+    DEFAULT_BROADCAST_LIMIT,
+    broadcast_if_rows_at_most,
+    join_dimension,
+    maybe_broadcast,
+    panel_join,
+)
 
 # A name lookup is broadcast against the panel only when it matches at most this many people.
 FIND_BROADCAST_ROWS = 1_000_000
@@ -182,29 +188,38 @@ def customer_metrics(store: MetricStore, customer_id: int, metric_names: str,
 
 def city_metrics(store: MetricStore, metric_names: str,
                  start: dt.datetime | None = None, end: dt.datetime | None = None,
-                 agg: str | None = None, formulas: dict[str, str] | None = None) -> DataFrame:
+                 agg: str | None = None, formulas: dict[str, str] | None = None,
+                 people_broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
     """``city, result_time, result``: raw person rows labelled by city, or sums per city
-    and DY/WK/MO bucket, or whole-period sums (``ALL``, time = sentinel)."""
+    and DY/WK/MO bucket, or whole-period sums (``ALL``, time = sentinel).
+
+    People are a dimension: when their checked size allows, they are broadcast and
+    the only shuffle is the partial aggregation's. Otherwise the joined panel rows
+    are first summed per (person, bucket) — sums compose, NULLs included — so the
+    shuffle join with people moves one row per person and bucket, not per hour.
+    """
     r = resolve(store, metric_names, formulas)
     bucket = _bucket(agg, CITY_CODES)
     rows = _joined_panels(store, r, start, end)
     base_people = store.people.select("customer_id", "city_id")
     base_cities = store.cities.select("city_id", F.col("name").alias("city"))
-    people = join_dimension(base_people, base_cities, "city_id", "inner")
-    # People are a dimension: broadcast when checked small (a person has one city, so
-    # the two inputs bound the size); the partial aggregation below absorbs a city
-    # holding most of the people.
-    rows = join_dimension(rows, people.select("customer_id", "city"), "customer_id", "inner",
-                          bounded_by=[base_people, base_cities])
+    people = join_dimension(base_people, base_cities, "city_id", "inner").select("customer_id", "city")
+    small_people = maybe_broadcast(people, people_broadcast_limit, bounded_by=[base_people, base_cities])
     if bucket is None:
-        out = rows.select("city", F.col("metric_timestamp").alias("result_time"),
-                          json_doc(_doc_fields(r, False)).alias("result"))
+        out = rows.join(small_people, "customer_id", "inner").select(
+            "city", F.col("metric_timestamp").alias("result_time"), json_doc(_doc_fields(r, False)).alias("result"))
+        return out.orderBy("result_time", "city")
+    fields = _doc_fields(r, True)
+    if small_people is not people:  # broadcast: aggregate once, map-side join
+        grouped = rows.join(small_people, "customer_id", "inner").groupBy("city", bucket.alias("result_time"))
+        sums = grouped.agg(*[c.alias(f"__{i}") for i, (_, c) in enumerate(fields)])
     else:
-        fields = _doc_fields(r, True)
-        out = (rows.groupBy("city", bucket.alias("result_time"))
-               .agg(*[c.alias(f"__{i}") for i, (_, c) in enumerate(fields)])
-               .select("city", "result_time",
-                       json_doc([(k, F.col(f"__{i}")) for i, (k, _) in enumerate(fields)]).alias("result")))
+        per_person = rows.groupBy("customer_id", bucket.alias("result_time")).agg(
+            *[c.alias(f"__{i}") for i, (_, c) in enumerate(fields)])
+        sums = (per_person.join(people, "customer_id", "inner").groupBy("city", "result_time")
+                .agg(*[F.sum(f"__{i}").alias(f"__{i}") for i in range(len(fields))]))
+    out = sums.select("city", "result_time",
+                      json_doc([(k, F.col(f"__{i}")) for i, (k, _) in enumerate(fields)]).alias("result"))
     return out.orderBy("result_time", "city")
 
 

@@ -135,3 +135,21 @@ def test_results_do_not_depend_on_session_zone(spark, store):
             assert run() == base
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_city_rollup_without_broadcast_matches(store):
+    """Forcing the shuffle path (people too large to broadcast) gives the same sums."""
+    import json
+    from decimal import Decimal
+
+    def docs(df):
+        return sorted((r["city"], str(r["result_time"]), json.dumps(json.loads(r["result"], parse_float=Decimal),
+                                                                     default=str)) for r in df.collect())
+
+    for agg in ("DY", "WK", "ALL"):
+        a = M.city_metrics(store, "metric_1,metric_3,metric_4", agg=agg, formulas={"f": "metric_1 + metric_4"})
+        b = M.city_metrics(store, "metric_1,metric_3,metric_4", agg=agg, formulas={"f": "metric_1 + metric_4"},
+                           people_broadcast_limit=0)
+        assert docs(a) == docs(b)
+        plan = b._jdf.queryExecution().optimizedPlan().toString()
+        assert "strategy=broadcast" not in plan
