@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.docs import json_doc
+from tessera.functions.docs import ident, json_doc_expr
 from tessera.functions.timeparts import ALL_BUCKET_TIME, BUCKET_UNITS, ntz_literal, trunc_ntz
 from tessera.operators.aggregates import first_last_seen
 from tessera.operators.joins import (
@@ -114,29 +114,30 @@ def _time_range(df: DataFrame, start, end) -> DataFrame:
 def _joined_panels(store: MetricStore, r: Resolved, start, end, customer_id=None) -> DataFrame:
     """Inner join (USING the key pair) of the panels that own a requested metric.
 
-    Each panel is narrowed to the key pair plus its requested metrics and filtered
-    by the time range (and the person) before the join, so the filters reach every
-    Parquet scan.
+    Each panel is filtered by the time range (and the person) before the join, so
+    the filters reach every Parquet scan; unused metric columns are pruned by
+    Catalyst from the final projection or aggregation (no per-column select is
+    built here, which keeps thousand-column requests cheap to assemble).
     """
     frames = []
     for table in r.tables:
-        cols = [n for n, t in r.metrics if t == table]
-        p = store.panels[table].select(*KEYS, *cols)
+        p = store.panels[table]
         if customer_id is not None:
             p = p.filter(F.col("customer_id") == F.lit(customer_id))
         frames.append(_time_range(p, start, end))
     return panel_join(frames, KEYS)
 
 
-def _doc_fields(r: Resolved, summed: bool) -> list[tuple[str, Column]]:
-    """Document keys: named metrics (``<m>`` or ``<m>_sum``), then formulas."""
+def _doc(r: Resolved, summed: bool) -> Column:
+    """The result document as one expression: named metrics (``<m>`` or ``<m>_sum``),
+    then formulas; inside ``agg`` when ``summed``."""
     if summed:
-        fields = [(f"{n}_sum", F.sum(n)) for n in r.shown]
-        fields += [(f"{a}_sum", F.sum(F.expr(e))) for a, e in r.formulas]
+        fields = [(f"{n}_sum", f"sum({ident(n)})") for n in r.shown]
+        fields += [(f"{a}_sum", f"sum({e})") for a, e in r.formulas]
     else:
-        fields = [(n, F.col(n)) for n in r.shown]
-        fields += [(a, F.expr(e)) for a, e in r.formulas]
-    return fields
+        fields = [(n, ident(n)) for n in r.shown]
+        fields += [(a, f"({e})") for a, e in r.formulas]
+    return json_doc_expr(fields)
 
 
 def _bucket(code: str | None, allowed: tuple[str, ...]) -> Column | None:
@@ -176,13 +177,9 @@ def customer_metrics(store: MetricStore, customer_id: int, metric_names: str,
     bucket = _bucket(agg, PERSON_CODES)
     rows = _joined_panels(store, r, start, end, customer_id)
     if bucket is None:
-        out = rows.select(F.col("metric_timestamp").alias("result_time"),
-                          json_doc(_doc_fields(r, False)).alias("result"))
+        out = rows.select(F.col("metric_timestamp").alias("result_time"), _doc(r, False).alias("result"))
     else:
-        fields = _doc_fields(r, True)
-        out = (rows.groupBy(bucket.alias("result_time"))
-               .agg(*[c.alias(f"__{i}") for i, (_, c) in enumerate(fields)])
-               .select("result_time", json_doc([(k, F.col(f"__{i}")) for i, (k, _) in enumerate(fields)]).alias("result")))
+        out = rows.groupBy(bucket.alias("result_time")).agg(_doc(r, True).alias("result"))
     return out.orderBy("result_time")
 
 
@@ -207,23 +204,25 @@ def city_metrics(store: MetricStore, metric_names: str,
     small_people = maybe_broadcast(people, people_broadcast_limit, bounded_by=[base_people, base_cities])
     if bucket is None:
         out = rows.join(small_people, "customer_id", "inner").select(
-            "city", F.col("metric_timestamp").alias("result_time"), json_doc(_doc_fields(r, False)).alias("result"))
+            "city", F.col("metric_timestamp").alias("result_time"), _doc(r, False).alias("result"))
         return out.orderBy("result_time", "city")
-    fields = _doc_fields(r, True)
     if small_people is not people:  # broadcast: aggregate once, map-side join
-        grouped = rows.join(small_people, "customer_id", "inner").groupBy("city", bucket.alias("result_time"))
-        sums = grouped.agg(*[c.alias(f"__{i}") for i, (_, c) in enumerate(fields)])
+        out = (rows.join(small_people, "customer_id", "inner").groupBy("city", bucket.alias("result_time"))
+               .agg(_doc(r, True).alias("result")))
     else:
+        # per (person, bucket) partial sums, then the shuffle join with people and the
+        # city sums over them (sums compose, NULLs included)
+        parts = [(f"{n}_sum", f"sum({ident(n)})") for n in r.shown]
+        parts += [(f"{a}_sum", f"sum({e})") for a, e in r.formulas]
+        partial = ", ".join(f"'p{i}', {e}" for i, (_, e) in enumerate(parts))
         per_person = rows.groupBy("customer_id", bucket.alias("result_time")).agg(
-            *[c.alias(f"__{i}") for i, (_, c) in enumerate(fields)])
-        sums = (per_person.join(people, "customer_id", "inner").groupBy("city", "result_time")
-                .agg(*[F.sum(f"__{i}").alias(f"__{i}") for i in range(len(fields))]))
-    out = sums.select("city", "result_time",
-                      json_doc([(k, F.col(f"__{i}")) for i, (k, _) in enumerate(fields)]).alias("result"))
+            F.expr(f"named_struct({partial})").alias("__p"))
+        out = (per_person.join(people, "customer_id", "inner").groupBy("city", "result_time")
+               .agg(json_doc_expr([(k, f"sum(__p.p{i})") for i, (k, _) in enumerate(parts)]).alias("result")))
     return out.orderBy("result_time", "city")
 
 
 def metric_rows(store: MetricStore, metric_names: str, start=None, end=None) -> DataFrame:
     """The joined panel rows with the requested metric columns (the panel join itself)."""
     r = resolve(store, metric_names)
-    return _joined_panels(store, r, start, end).select(*KEYS, *[n for n, _ in r.metrics])
+    return _joined_panels(store, r, start, end).selectExpr(*KEYS, *[ident(n) for n, _ in r.metrics])

@@ -167,9 +167,7 @@ def q_metrics_json(spark: SparkSession, d: str) -> DataFrame:
     """Whole panel join rendered as one JSON document per key (NULL metrics kept)."""
     store = _store(spark, d)
     r = M.resolve(store, METRICS)
-    rows = M.metric_rows(store, METRICS)
-    from tessera.functions.docs import json_doc
-    return rows.select(*M.KEYS, json_doc([(n, F.col(n)) for n in r.shown]).alias("result"))
+    return M._joined_panels(store, r, None, None).select(*M.KEYS, M._doc(r, False).alias("result"))
 
 
 @register("panel_join_full", _BASE + """

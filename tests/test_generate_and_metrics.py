@@ -153,3 +153,23 @@ def test_city_rollup_without_broadcast_matches(store):
         assert docs(a) == docs(b)
         plan = b._jdf.queryExecution().optimizedPlan().toString()
         assert "strategy=broadcast" not in plan
+
+
+def test_full_width_request(spark):
+    """All 1,700 metrics of the original catalog in one call (two panels, 1,590 + 110 columns)."""
+    import json
+
+    people = spark.createDataFrame([(1, 1, "a", "b"), (2, 2, "c", "d")],
+                                   "customer_id long, city_id int, first_name string, last_name string")
+    cities = spark.createDataFrame([(1, "North"), (2, "South")], "city_id int, name string")
+    cat = G.metric_catalog_range(spark)
+    rows = [(r["name"], r["table_name"]) for r in cat.orderBy("metric_id").collect()]
+    panels = G.synthetic_metric_panels(people.select("customer_id"), rows, dt.datetime(2024, 1, 1, 0),
+                                       dt.datetime(2024, 1, 1, 2), filled_per_panel=5, seed=1)
+    store = M.MetricStore(cat, panels, people, cities, rows)
+    names = ",".join(n for n, _ in rows)
+    out = M.city_metrics(store, names, agg="DY").collect()
+    assert len(out) == 2
+    doc = json.loads(out[0]["result"])
+    assert len(doc) == 1700 and doc["metric_1_sum"] is not None and doc["metric_6_sum"] is None
+    assert doc["metric_1591_sum"] is not None  # first metric of the second panel is filled
