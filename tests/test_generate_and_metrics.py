@@ -155,7 +155,7 @@ def test_city_rollup_without_broadcast_matches(store):
         assert "strategy=broadcast" not in plan
 
 
-def test_full_width_request(spark):
+def test_full_width_request(spark, workdir):
     """All 1,700 metrics of the original catalog in one call (two panels, 1,590 + 110 columns)."""
     import json
 
@@ -166,7 +166,8 @@ def test_full_width_request(spark):
     rows = [(r["name"], r["table_name"]) for r in cat.orderBy("metric_id").collect()]
     panels = G.synthetic_metric_panels(people.select("customer_id"), rows, dt.datetime(2024, 1, 1, 0),
                                        dt.datetime(2024, 1, 1, 2), filled_per_panel=5, seed=1)
-    store = M.MetricStore(cat, panels, people, cities, rows)
+    paths = G.write_panels(panels, f"{workdir}/panels")  # generated once, queried from Parquet
+    store = M.MetricStore(cat, {t: spark.read.parquet(p) for t, p in paths.items()}, people, cities, rows)
     names = ",".join(n for n, _ in rows)
     out = M.city_metrics(store, names, agg="DY").collect()
     assert len(out) == 2
