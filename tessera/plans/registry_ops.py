@@ -10,7 +10,7 @@ from tessera.functions.text import is_balanced
 from tessera.functions.timeparts import parse_dmy_timestamp, trunc_ntz, year_month
 from tessera.operators import aggregates as A
 from tessera.operators import quality as Q
-from tessera.operators.joins import first_pair_with_sum
+from tessera.operators.joins import first_pair_with_sum, join_dimension
 from tessera.plans.bindings import PANEL_WIDTH, metric_catalog
 from tessera.plans.registry import register
 from tessera.sources.series import explode_hours
@@ -156,8 +156,8 @@ GROUP BY n.n_name
 def q_list_aggregates(spark: SparkSession, d: str) -> DataFrame:
     """Sorted distinct market segments per nation (``array_agg(DISTINCT .. ORDER BY ..)``)."""
     t = Tables(spark, d)
-    c = t.customer.join(F.broadcast(t.nation.select("n_nationkey", "n_name")),
-                        F.col("c_nationkey") == F.col("n_nationkey"))
+    c = join_dimension(t.customer, t.nation.select("n_nationkey", "n_name"),
+                       F.col("c_nationkey") == F.col("n_nationkey"), "inner")
     return c.groupBy("n_name").agg(
         F.array_join(F.sort_array(F.collect_set("c_mktsegment")), ",").alias("segments"),
         F.count(F.lit(1)).alias("n_customers"))
