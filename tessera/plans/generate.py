@@ -45,8 +45,12 @@ def _uniform_int(lo: int, hi: int, seed: int):
 
 
 def numbered_keys(keys: DataFrame, key: str) -> DataFrame:
-    """Dense 0-based index per distinct key, computed distributed (zipWithIndex)."""
-    distinct = keys.select(key).distinct()
+    """Dense 0-based index per distinct key, computed distributed (zipWithIndex).
+
+    Sorting inside each (hash) partition makes the numbering identical when a
+    lost partition is recomputed, so a retried task draws the same keys.
+    """
+    distinct = keys.select(key).distinct().sortWithinPartitions(key)
     schema = T.StructType([distinct.schema[key], T.StructField("key_idx", T.LongType(), False)])
     return distinct.rdd.zipWithIndex().map(lambda p: (p[0][0], p[1])).toDF(schema)
 
