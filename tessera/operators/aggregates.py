@@ -8,34 +8,44 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import common_prefix
-from tessera.operators.joins import maybe_broadcast
+from tessera.operators.joins import DEFAULT_BROADCAST_LIMIT, HOT_KEY_ROWS, join_back
+
+
+EXACT_DOUBLE_INT = 2**53
 
 
 def leave_one_out_product(
-    rows: DataFrame, group: Sequence[str], value: str, out: str = "product_except_self"
+    rows: DataFrame, group: Sequence[str], value: str, out: str = "product_except_self",
+    broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, hot_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Each row gets the product of the *other* values of its group.
 
     Group statistics (zero count, product of the non-zero values) are computed with
     a partial aggregation and joined back, so a huge group is never gathered in one
     task. Rules: no zero → P / v; one zero → P for the zero row, 0 for the others;
-    two or more zeros → 0. The product is accumulated as a double and is exact
-    while it stays below 2**53; the output is a bigint.
+    two or more zeros → 0. The product is accumulated as a double (Spark's
+    ``product``), which is exact while ``|P| <= 2**53``; beyond that a non-zero
+    result would carry wrong digits, so it is NULL instead (zeros stay exact).
+    The output is a bigint.
     """
     g = list(group)
     v = F.col(value)
     stats = rows.groupBy(*g).agg(
         F.sum(F.when(v == 0, 1).otherwise(0)).alias("__zeros"),
         F.coalesce(F.product(F.when(v != 0, v.cast("double"))), F.lit(1.0)).alias("__prod"),
+        F.count(F.lit(1)).alias("__n"),
     )
-    joined = rows.join(maybe_broadcast(stats), g, "inner")
+    # one row per group: broadcast when checked small, else a join whose hot groups
+    # are salted (AQE cannot split an aggregate joined back to its rows)
+    joined = join_back(rows, stats, g, "__n", "inner", limit=broadcast_limit, hot_rows=hot_rows)
     z, p = F.col("__zeros"), F.col("__prod")
+    exact = F.abs(p) <= F.lit(float(EXACT_DOUBLE_INT))
     res = (
-        F.when(z == 0, p / v.cast("double"))
-        .when((z == 1) & (v == 0), p)
-        .otherwise(F.lit(0.0))
+        F.when((z == 0) & exact, (p / v.cast("double")).cast("bigint"))
+        .when((z == 1) & (v == 0) & exact, p.cast("bigint"))
+        .when((z >= 2) | ((z == 1) & (v != 0)), F.lit(0).cast("bigint"))
     )
-    return joined.withColumn(out, res.cast("bigint")).drop("__zeros", "__prod")
+    return joined.withColumn(out, res).drop("__zeros", "__prod")
 
 
 def common_prefix_per_group(rows: DataFrame, group: Sequence[str], text: str, out: str = "prefix") -> DataFrame:

@@ -120,31 +120,87 @@ def first_pair_with_sum(
     index: str,
     value: str,
     target: int | float,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Per group, the first pair ``(i, j)``, ``i < j`` in (i, j) order, with ``v_i + v_j = target``.
 
     No pairs are enumerated: the smallest ``i`` that has a partner is found by an
     equi join against the per-(group, value) maximum index, then its ``j`` is the
     smallest later index holding the complement. Groups without a pair are absent.
+    Both joins attach one statistics row per key to many rows, so hot keys are
+    salted (``join_back``).
     """
     g = list(group)
-    need = F.lit(target) - F.col(value)
-    last_at = rows.groupBy(*g, value).agg(F.max(index).alias("__last"))
-    probe = rows.select(*g, index, need.alias("__need"))
+    salt = {} if hot_rows is None else {"hot_rows": hot_rows}
+    per_value = rows.groupBy(*g, value).agg(F.max(index).alias("__last"), F.count(F.lit(1)).alias("__n"))
+    # stats keyed by the probe key ``need``: last index holding ``need``, and the number
+    # of probe rows asking for it (rows whose value is ``target - need``)
+    last_of = per_value.select(*g, F.col(value).alias("__need"), "__last")
+    askers = per_value.select(*g, (F.lit(target) - F.col(value)).alias("__need"), "__n")
+    probe_stats = last_of.join(askers, [*g, "__need"], "inner")
+    probe = rows.select(*g, index, (F.lit(target) - F.col(value)).alias("__need"))
     firsts = (
-        probe.join(
-            last_at.withColumnRenamed(value, "__need"), [*g, "__need"], "inner"
-        )
+        join_back(probe, probe_stats, [*g, "__need"], "__n", **salt)
         .filter(F.col("__last") > F.col(index))
         .groupBy(*g)
         .agg(F.min(F.struct(F.col(index).alias("i"), F.col("__need").alias("need"))).alias("__p"))
         .select(*g, F.col("__p.i").alias("i"), F.col("__p.need").alias("__need"))
     )
+    holders = per_value.select(*g, F.col(value).alias("__need"), "__n")
+    first_stats = firsts.join(holders, [*g, "__need"], "inner")
     partners = (
-        rows.select(*g, F.col(index).alias("j"), F.col(value).alias("__need"))
-        .join(firsts, [*g, "__need"], "inner")
+        join_back(rows.select(*g, F.col(index).alias("j"), F.col(value).alias("__need")), first_stats,
+                  [*g, "__need"], "__n", **salt)
         .filter(F.col("j") > F.col("i"))
         .groupBy(*g, "i")
         .agg(F.min("j").alias("j"))
     )
     return partners
+
+
+# Salting of aggregate-join-backs. AQE splits skewed partitions only when both join
+# inputs come straight from a shuffle; joining per-key statistics back to their own
+# rows puts an aggregate on one side, so a hot key would stay in one task.
+HOT_KEY_ROWS = 1_000_000      # a key with more rows than this is split
+MAX_HOT_KEYS = 1024           # bound on the broadcast hot-key table (a top-k)
+MAX_SALT = 512                # at most this many slices per hot key
+
+
+def join_back(
+    rows: DataFrame,
+    stats: DataFrame,
+    keys: Sequence[str],
+    count_col: str,
+    how: str = "inner",
+    limit: int = DEFAULT_BROADCAST_LIMIT,
+    hot_rows: int = HOT_KEY_ROWS,
+    max_hot_keys: int = MAX_HOT_KEYS,
+    max_salt: int = MAX_SALT,
+) -> DataFrame:
+    """Join per-key statistics (one row per key, with the key's row count in
+    ``count_col``) back to the rows they were computed from.
+
+    Small statistics are broadcast after the size check. Otherwise the keys with
+    more than ``hot_rows`` rows (the ``max_hot_keys`` largest: a bounded top-k,
+    broadcast) are salted: their rows get a deterministic salt in
+    ``[0, ceil(n / hot_rows))`` from a hash of the row, and only their statistics
+    row is replicated once per salt. Other keys keep salt 0, so nothing else is
+    copied.
+    """
+    k = list(keys)
+    plain = stats.drop(count_col)
+    small = maybe_broadcast(plain, limit)
+    if small is not plain:
+        return rows.join(small, k, how)
+    hot = (stats.filter(F.col(count_col) > hot_rows)
+           .orderBy(F.col(count_col).desc()).limit(max_hot_keys)
+           .select(*k, F.least(F.lit(max_salt), F.ceil(F.col(count_col) / hot_rows)).cast("int").alias("__salts")))
+    hot = F.broadcast(hot)  # at most max_hot_keys rows
+    salted_rows = rows.join(hot, k, "left").withColumn(
+        "__salt", F.when(F.col("__salts").isNull(), F.lit(0))
+        .otherwise(F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.col("__salts"))).cast("int"),
+    ).drop("__salts")
+    salted_stats = plain.join(hot, k, "left").select(
+        "*", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1)).alias("__salt"),
+    ).drop("__salts")
+    return salted_rows.join(salted_stats, [*k, "__salt"], how).drop("__salt")

@@ -67,7 +67,9 @@ s AS (SELECT l_orderkey, SUM(CASE WHEN v = 0 THEN 1 ELSE 0 END) AS z,
              COALESCE(product(CASE WHEN v <> 0 THEN CAST(v AS DOUBLE) END), 1.0) AS p
       FROM r GROUP BY l_orderkey)
 SELECT r.l_orderkey, r.l_linenumber, r.v,
-       CAST(CASE WHEN s.z = 0 THEN s.p / r.v WHEN s.z = 1 AND r.v = 0 THEN s.p ELSE 0 END AS BIGINT)
+       CAST(CASE WHEN s.z = 0 AND abs(s.p) <= 9007199254740992 THEN s.p / r.v
+                 WHEN s.z = 1 AND r.v = 0 AND abs(s.p) <= 9007199254740992 THEN s.p
+                 WHEN s.z >= 2 OR (s.z = 1 AND r.v <> 0) THEN 0 END AS BIGINT)
          AS product_except_self
 FROM r JOIN s USING (l_orderkey)
 """)

@@ -41,7 +41,10 @@ def test_first_pair_matches_brute_force(spark):
 
 
 @pytest.mark.parametrize("values,expected", [([0, 0], [0, 0]), ([1, 2, 3, 4], [24, 12, 8, 6]),
-                                             ([0, 0, 5], [0, 0, 0]), ([0, 1, 2], [2, 0, 0]), ([7], [1])])
+                                             ([0, 0, 5], [0, 0, 0]), ([0, 1, 2], [2, 0, 0]), ([7], [1]),
+                                             ([2] * 60, [None] * 60),          # 2**59: beyond exact doubles
+                                             ([0] + [2] * 60, [None] + [0] * 60),
+                                             ([2] * 53, [2**52] * 53)])
 def test_leave_one_out(spark, values, expected):
     out = leave_one_out_product(_indexed(spark, values), ["g"], "v").orderBy("i").collect()
     assert [r["product_except_self"] for r in out] == expected
@@ -130,3 +133,33 @@ def test_balanced_long_inputs(spark, text, ok):
     df = spark.createDataFrame([(text,), ("()",)], "s string")
     got = [r["b"] for r in df.select(is_balanced("s").alias("b")).collect()]
     assert got == [ok, True]
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_join_back_salted_equals_plain_join(spark, how):
+    from tessera.operators.joins import join_back
+
+    rows = spark.range(5000).select(F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id") % 50).alias("k"),
+                                    "id")
+    stats = rows.groupBy("k").agg(F.max("id").alias("mx"), F.count(F.lit(1)).alias("n")).filter("k <> 7")
+    want = sorted(map(tuple, rows.join(stats.drop("n"), "k", how).collect()))
+    got = sorted(map(tuple, join_back(rows, stats, ["k"], "n", how, limit=0, hot_rows=300).select(
+        "k", "id", "mx").collect()))
+    assert got == want
+
+
+def test_first_pair_salted_matches_brute_force(spark):
+    import random
+
+    rnd = random.Random(11)
+    rows = [("hot" if i % 3 == 0 else f"g{rnd.randint(0, 5)}", i, 6 if i % 3 == 0 else rnd.randint(0, 12))
+            for i in range(600)]
+    df = spark.createDataFrame(rows, "g string, i long, v long")
+    got = {r["g"]: (r["i"], r["j"]) for r in first_pair_with_sum(df, ["g"], "i", "v", 12, hot_rows=20).collect()}
+    want = {}
+    for g in {r[0] for r in rows}:
+        items = sorted((i, v) for gg, i, v in rows if gg == g)
+        pairs = [(a[0], b[0]) for x, a in enumerate(items) for b in items[x + 1:] if a[1] + b[1] == 12]
+        if pairs:
+            want[g] = min(pairs)
+    assert got == want
