@@ -14,8 +14,12 @@ def duplicate_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
-    """Child rows whose key has no parent (FOREIGN KEY check), as a left anti join."""
-    p = parent.select(F.col(parent_key).alias("__pk")).distinct()
+    """Child rows whose key has no parent (FOREIGN KEY check), as a left anti join.
+
+    The parent keys are not de-duplicated first: an anti join ignores duplicates,
+    and with both sides coming straight from a scan AQE can split a hot child key.
+    """
+    p = parent.select(F.col(parent_key).alias("__pk"))
     return child.join(p, child[child_key] == p["__pk"], "left_anti")
 
 
