@@ -189,9 +189,12 @@ def join_back(
     """
     k = list(keys)
     plain = stats.drop(count_col)
-    small = maybe_broadcast(plain, limit)
-    if small is not plain:
-        return rows.join(small, k, how)
+    # statistics hold at most one row per key of ``rows``, each a few values wide, so
+    # twice the rows' estimate also bounds them (the optimizer's own estimate for
+    # joined aggregates is a loose product)
+    own, base = estimated_bytes(plain), estimated_bytes(rows)
+    if (own is not None and own <= limit) or (base is not None and 2 * base <= limit):
+        return rows.join(F.broadcast(plain), k, how)
     hot = (stats.filter(F.col(count_col) > hot_rows)
            .orderBy(F.col(count_col).desc()).limit(max_hot_keys)
            .select(*k, F.least(F.lit(max_salt), F.ceil(F.col(count_col) / hot_rows)).cast("int").alias("__salts")))
