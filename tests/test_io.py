@@ -87,3 +87,16 @@ def test_live_rollup_matches_batch(spark, workdir):
     want = sorted(map(tuple, df.groupBy("customer_id", F.col("metric_timestamp").cast("date").cast("timestamp_ntz")
                                         .alias("day")).agg(F.sum("m")).collect()))
     assert got == want
+
+
+def test_fetch_lookup_batches_distinct_keys(spark):
+    from tessera.sources.lookup import fetch_lookup
+
+    table = {"a": "Gryffindor", "b": "Slytherin"}
+
+    def fetch(keys):  # stands in for a batched service call
+        return {k: table[k] for k in keys if k in table}
+
+    sales = spark.createDataFrame([("a",), ("a",), ("b",), ("zz",)], "character_id string")
+    got = sorted(map(tuple, fetch_lookup(sales, "character_id", fetch).collect()), key=str)
+    assert got == [("a", "Gryffindor"), ("b", "Slytherin"), ("zz", None)]
