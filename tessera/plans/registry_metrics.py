@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tessera.plans import metrics as M
 from tessera.plans.bindings import PANEL_WIDTH, metric_store

@@ -10,7 +10,7 @@ from tessera.plans import generate as G
 from tessera.plans.sales import compute_house_sales, ensure_watermark, lookup_seed
 from tessera.sinks.files import append_csv, month_filter, write_monthly
 from tessera.sinks.tables import append_table, load_csv_table, write_lookup_csv
-from tessera.sources.files import SALES_SCHEMA, read_lookup_csv, read_watermark
+from tessera.sources.files import SALES_SCHEMA, read_lookup_csv
 from tessera.sources.tables import read_table
 from tessera.streaming.metric_ingest import live_daily_rollup
 
