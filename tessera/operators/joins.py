@@ -73,18 +73,17 @@ def latest_rows(
     ts: str,
     qualifies: Column,
     label: str | None = None,
+    **join_back_options,
 ) -> DataFrame:
     """Rows of each entity whose ``ts`` equals the entity's latest qualifying ``ts``.
 
     Only the maximum is restricted by ``qualifies``: every row of the entity at that
     timestamp is returned (ties kept, other types included). This is the
     decorrelated form of ``WHERE ts = (SELECT max(ts) ... WHERE <qualifies> AND
-    entity = outer.entity)``: one partial aggregation plus an equi join, so a hot
-    entity is split by the skew-join handling instead of landing in one window task.
+    entity = outer.entity)``; see ``latest_rows_multi``.
     """
-    winners = rows.filter(qualifies).groupBy(entity).agg(F.max(ts).alias(ts))
-    out = rows.join(winners, [entity, ts], "inner")
-    return out.withColumn("branch", F.lit(label)) if label else out
+    out = latest_rows_multi(rows, entity, ts, {label or "_": qualifies}, **join_back_options)
+    return out if label else out.drop("branch")
 
 
 def latest_rows_multi(
@@ -93,25 +92,31 @@ def latest_rows_multi(
     ts: str,
     branches: dict[str, Column],
     branch_col: str = "branch",
+    **join_back_options,
 ) -> DataFrame:
     """``latest_rows`` for several predicates with ONE aggregation pass over ``rows``.
 
     Result: the matching rows, each tagged with the branch whose maximum it equals
-    (a row can belong to several branches).
+    (a row can belong to several branches). The per-entity maxima (and row count)
+    come from one partial aggregation; they are joined back by entity through
+    ``join_back``, so an entity holding a third of all rows is salted over many
+    tasks instead of filling one.
     """
     names = list(branches)
     maxima = rows.groupBy(entity).agg(
-        *[F.max(F.when(branches[n], F.col(ts))).alias(f"__m{i}") for i, n in enumerate(names)]
+        *[F.max(F.when(branches[n], F.col(ts))).alias(f"__m{i}") for i, n in enumerate(names)],
+        F.count(F.lit(1)).alias("__n"),
     )
     pairs = F.array(*[
-        F.struct(F.lit(n).alias(branch_col), F.col(f"__m{i}").alias(ts)) for i, n in enumerate(names)
+        F.struct(F.lit(n).alias(branch_col), F.col(f"__m{i}").alias("__w")) for i, n in enumerate(names)
     ])
     winners = (
-        maxima.select(entity, F.explode(pairs).alias("__w"))
-        .select(entity, F.col(f"__w.{branch_col}").alias(branch_col), F.col(f"__w.{ts}").alias(ts))
-        .filter(F.col(ts).isNotNull())
+        maxima.select(entity, "__n", F.explode(pairs).alias("__p"))
+        .select(entity, "__n", F.col(f"__p.{branch_col}").alias(branch_col), F.col("__p.__w").alias("__w"))
+        .filter(F.col("__w").isNotNull())
     )
-    return rows.join(winners, [entity, ts], "inner")
+    joined = join_back(rows, winners, [entity], "__n", "inner", **join_back_options)
+    return joined.filter(F.col(ts) == F.col("__w")).drop("__w")
 
 
 def first_pair_with_sum(
