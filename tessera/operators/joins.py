@@ -115,7 +115,7 @@ def latest_rows_multi(
         .select(entity, "__n", F.col(f"__p.{branch_col}").alias(branch_col), F.col("__p.__w").alias("__w"))
         .filter(F.col("__w").isNotNull())
     )
-    joined = join_back(rows, winners, [entity], "__n", "inner", **join_back_options)
+    joined = join_back(rows, winners, [entity], "__n", "inner", rows_per_key=len(names), **join_back_options)
     return joined.filter(F.col(ts) == F.col("__w")).drop("__w")
 
 
@@ -181,9 +181,10 @@ def join_back(
     hot_rows: int = HOT_KEY_ROWS,
     max_hot_keys: int = MAX_HOT_KEYS,
     max_salt: int = MAX_SALT,
+    rows_per_key: int = 1,
 ) -> DataFrame:
-    """Join per-key statistics (one row per key, with the key's row count in
-    ``count_col``) back to the rows they were computed from.
+    """Join per-key statistics (``rows_per_key`` rows per key at most, each with the
+    key's row count in ``count_col``) back to the rows they were computed from.
 
     Small statistics are broadcast after the size check. Otherwise the keys with
     more than ``hot_rows`` rows (the ``max_hot_keys`` largest: a bounded top-k,
@@ -194,11 +195,11 @@ def join_back(
     """
     k = list(keys)
     plain = stats.drop(count_col)
-    # statistics hold at most one row per key of ``rows``, each a few values wide, so
-    # twice the rows' estimate also bounds them (the optimizer's own estimate for
-    # joined aggregates is a loose product)
+    # statistics hold at most ``rows_per_key`` rows per key of ``rows``, each a few
+    # values wide, so 2 x rows_per_key x the rows' estimate also bounds them (the
+    # optimizer's own estimate for joined aggregates is a loose product)
     own, base = estimated_bytes(plain), estimated_bytes(rows)
-    if (own is not None and own <= limit) or (base is not None and 2 * base <= limit):
+    if (own is not None and own <= limit) or (base is not None and 2 * rows_per_key * base <= limit):
         return rows.join(F.broadcast(plain), k, how)
     hot = (stats.filter(F.col(count_col) > hot_rows)
            .orderBy(F.col(count_col).desc()).limit(max_hot_keys)
