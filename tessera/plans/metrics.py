@@ -37,7 +37,10 @@ FIND_BROADCAST_ROWS = 1_000_000
 KEYS = ("customer_id", "metric_timestamp")
 PERSON_CODES = ("DY", "WK", "MO")
 CITY_CODES = ("DY", "WK", "MO", "ALL")
-_IDENT = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
+# identifiers not followed by "(" (function names are not metrics)
+_IDENT = re.compile(r"\b([A-Za-z_][A-Za-z0-9_]*)\b(?!\s*\()")
+_SQL_WORDS = {"case", "when", "then", "else", "end", "null", "and", "or", "not", "is", "in",
+              "between", "true", "false", "as", "cast", "decimal", "double", "bigint", "int"}
 
 
 @dataclass
@@ -89,7 +92,7 @@ def resolve(store: MetricStore, metric_names: str, formulas: dict[str, str] | No
     used = {n for n in wanted if n in owner}
     fs = []
     for alias, expr in (formulas or {}).items():
-        idents = set(_IDENT.findall(expr))
+        idents = {i for i in _IDENT.findall(expr) if i.lower() not in _SQL_WORDS}
         unknown = {i for i in idents if i not in owner}
         if unknown:
             raise ValueError(f"formula {alias!r} uses unknown metrics {sorted(unknown)}")

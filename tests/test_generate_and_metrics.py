@@ -174,3 +174,14 @@ def test_full_width_request(spark, workdir):
     doc = json.loads(out[0]["result"])
     assert len(doc) == 1700 and doc["metric_1_sum"] is not None and doc["metric_6_sum"] is None
     assert doc["metric_1591_sum"] is not None  # first metric of the second panel is filled
+
+
+def test_formula_with_functions(store):
+    import json
+
+    out = M.city_metrics(store, "metric_1", agg="ALL",
+                         formulas={"g": "coalesce(metric_3, 0) + CASE WHEN metric_1 IS NULL THEN 0 ELSE metric_1 END"})
+    d = json.loads(out.orderBy("city").first()["result"])
+    assert d["g_sum"] == d["metric_1_sum"]  # metric_3 is never filled
+    with pytest.raises(ValueError):
+        M.city_metrics(store, "metric_1", formulas={"g": "coalesce(metric_77, 0)"})
