@@ -48,15 +48,28 @@ def append_csv(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("header", True).csv(path)
 
 
+# Slices per month when clustering rows for the write: a month is spread over up to
+# this many shuffle partitions (AQE coalesces them again when the data is small).
+MONTH_SLICES = 1024
+
+
+def cluster_by_month(df: DataFrame, month_col: str, slices: int = MONTH_SLICES) -> DataFrame:
+    """Cluster rows by month for a partitioned write without putting a month in one task:
+    the shuffle key is (month, deterministic hash slice of the row)."""
+    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
+    return df.repartition(F.col(month_col), F.pmod(row_hash, F.lit(slices)))
+
+
 def write_monthly(df: DataFrame, path: str, ts: str, month_col: str = "month", fmt: str = "parquet",
-                  sort_within: Sequence[str] = ()) -> None:
+                  sort_within: Sequence[str] = (), slices: int = MONTH_SLICES) -> None:
     """Monthly range partitions (K7) as ``partitionBy(month)``; reloads replace only their months.
 
-    Rows are clustered by month before writing so each task writes few files, and
-    optionally sorted inside (e.g. by entity key) so Parquet min/max skips row groups.
+    Rows are clustered by month (and a hash slice, so a large month is written by
+    many tasks) so each task writes few files, and optionally sorted inside (e.g.
+    by entity key) so Parquet min/max skips row groups.
     """
     out = df.withColumn(month_col, trunc_ntz("month", ts).cast("date"))
-    out = out.repartition(month_col)
+    out = cluster_by_month(out, month_col, slices)
     if sort_within:
         out = out.sortWithinPartitions(*sort_within)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

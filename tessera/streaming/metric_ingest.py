@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tessera.functions.timeparts import trunc_ntz
+from tessera.sinks.files import cluster_by_month
 
 
 def start_metric_ingest(
@@ -25,7 +26,7 @@ def start_metric_ingest(
     """
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         out = batch.withColumn("month", trunc_ntz("month", ts).cast("date"))
-        out = out.repartition("month").sortWithinPartitions(sort_key, ts)
+        out = cluster_by_month(out, "month").sortWithinPartitions(sort_key, ts)
         out.write.mode("overwrite").partitionBy("month").parquet(f"{target.rstrip('/')}/batch={batch_id}")
 
     w = rows.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
