@@ -7,31 +7,39 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every job relies on. Timestamps in the inputs are zone-less, so the
-# session zone is pinned to UTC and date_trunc results are cast back to NTZ.
-BASE_CONF = {
+# SQL settings the jobs are designed for. Timestamps in the inputs are zone-less, so
+# the session zone is pinned to UTC and date_trunc results are cast back to NTZ.
+# Each one is applied only when the cluster (spark-defaults / spark-submit) has not
+# set the key itself.
+SQL_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Runtime (AQE) broadcast conversion: only when the shuffled side really is small.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
-    "spark.sql.ui.retainedExecutions": "10",
-    "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
+# Context settings for sessions this module creates (no web UI).
+CORE_DEFAULTS = {"spark.ui.enabled": "false"}
 
 
 def build_session(master: str | None = None, app: str = "tessera", conf: dict | None = None) -> SparkSession:
-    """Return a session with the job defaults; cluster settings win if already set."""
+    """Return a session with the job defaults.
+
+    Explicit ``conf`` entries always apply; the defaults above fill only keys the
+    cluster configuration leaves unset, so cluster settings win over them.
+    """
+    conf = dict(conf or {})
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for k, v in {**BASE_CONF, **(conf or {})}.items():
+    for k, v in {**CORE_DEFAULTS, **conf}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    for k, v in BASE_CONF.items():
-        if k.startswith("spark.sql.") and k != "spark.sql.ui.retainedExecutions":
+    cluster = spark.sparkContext.getConf()
+    for k, v in SQL_DEFAULTS.items():
+        if k not in conf and not cluster.contains(k):
             spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
     return spark
