@@ -72,9 +72,20 @@ def latest_activity_rows(activity: DataFrame, qualifies: Column) -> DataFrame:
 
 
 def latest_channel_wide(activity: DataFrame, contact: DataFrame, branches: list[Branch]) -> DataFrame:
-    """Wide form: one row per client with the latest qualifying timestamp of each channel."""
-    maxima = activity.groupBy("con_id").agg(
-        *[F.max(F.when(b.qualifies, F.col("created"))).alias(f"{b.name}_created") for b in branches])
+    """Wide form: one row per client with, per channel, the latest qualifying timestamp
+    (``<channel>_created``) and that activity's text (``<channel>_desc``).
+
+    The text comes from ``max(struct(created, comments_long))`` over the qualifying
+    rows, so ties at the latest timestamp resolve deterministically (largest text).
+    """
+    latest = activity.groupBy("con_id").agg(*[
+        F.max(F.when(b.qualifies, F.struct(F.col("created"), F.col("comments_long")))).alias(f"__{b.name}")
+        for b in branches])
+    cols = []
+    for b in branches:
+        cols += [F.col(f"__{b.name}.created").alias(f"{b.name}_created"),
+                 F.col(f"__{b.name}.comments_long").alias(f"{b.name}_desc")]
+    maxima = latest.select("con_id", *cols)
     c = contact.select(*CONTACT_COLUMNS)
     return join_dimension(maxima, c, maxima["con_id"] == c["row_id"], "left").drop("row_id")
 

@@ -120,12 +120,16 @@ def q_call_rows_any(spark: SparkSession, d: str) -> DataFrame:
 
 @register("latest_channel_wide", _BASE + f"""
 SELECT m.con_id, c.fst_name, c.mid_name, c.last_name, c.x_gb_status,
-       m.email_created, m.sms_created, m.call_created
+       m.e.created AS email_created, m.e.comments_long AS email_desc,
+       m.s.created AS sms_created, m.s.comments_long AS sms_desc,
+       m.k.created AS call_created, m.k.comments_long AS call_desc
 FROM (SELECT con_id,
-        MAX(CASE WHEN todo_cd = '{B.EMAIL_TYPE}' THEN created END) AS email_created,
-        MAX(CASE WHEN todo_cd = '{B.SMS_TYPE}' AND stat = '{B.SMS_DELIVERED}' THEN created END) AS sms_created,
+        MAX(CASE WHEN todo_cd = '{B.EMAIL_TYPE}'
+                 THEN struct_pack(created := created, comments_long := comments_long) END) AS e,
+        MAX(CASE WHEN todo_cd = '{B.SMS_TYPE}' AND stat = '{B.SMS_DELIVERED}'
+                 THEN struct_pack(created := created, comments_long := comments_long) END) AS s,
         MAX(CASE WHEN comments_long != '' AND todo_cd = '{B.CALL_TYPE}' AND stat != '{B.CALL_BAD_NUMBER}'
-                 THEN created END) AS call_created
+                 THEN struct_pack(created := created, comments_long := comments_long) END) AS k
       FROM activity GROUP BY con_id) m
 LEFT JOIN contact c ON m.con_id = c.row_id
 """)

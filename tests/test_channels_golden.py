@@ -101,3 +101,13 @@ def test_semicolon_exports(spark):
     p = read_semicolon_csv(spark, os.path.join(FIX, "per_addr_export.csv"))
     p = p.withColumn("created", parse_dmy_timestamp("created"))
     assert p.count() == 13 and p.filter(F.col("created").isNull()).count() == 0
+
+
+def test_wide_form_matches_golden_winners(spark):
+    activity, contact, addr = _inputs(spark)
+    wide = {r["con_id"]: r for r in C.latest_channel_wide(activity, contact, C.original_branches()).collect()}
+    for g in _golden():
+        kind = {C.EMAIL_TYPE: "email", C.SMS_TYPE: "sms", C.CAMPAIGN_CALL_TYPE: "call"}[g["todo_cd"]]
+        row = wide[g["con_id"]]
+        assert _fmt(row[f"{kind}_created"]) == g["created"]
+        assert row[f"{kind}_desc"] == g["comments_long"]
