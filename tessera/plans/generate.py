@@ -117,16 +117,23 @@ def resume_point(sales: DataFrame) -> tuple[int, dt.date | None, int]:
 
 def synthetic_people(spark: SparkSession, factor: int = 10, seed: int = 42,
                      weights: Sequence[int] = CITY_WEIGHTS) -> DataFrame:
-    """``customer_id, city_id, first_name, last_name``; city ``i`` gets ``weights[i-1] * factor`` people."""
-    w = spark.createDataFrame([(i + 1, int(x)) for i, x in enumerate(weights)], "city_id int, weight int")
-    people = w.select("city_id", F.explode(F.sequence(F.lit(1), F.col("weight") * factor)).alias("n"))
-    people = people.select(
+    """``customer_id, city_id, first_name, last_name``; city ``i`` gets ``weights[i-1] * factor`` people.
+
+    Ids are dense (1..n, city by city, like a serial key): each city's offset is the
+    running total of the earlier cities' counts, known from the weights alone.
+    """
+    rows, offset = [], 0
+    for i, x in enumerate(weights):
+        rows.append((i + 1, int(x) * factor, offset))
+        offset += int(x) * factor
+    w = spark.createDataFrame(rows, "city_id int, n_people int, id0 long")
+    people = w.select("city_id", "id0", F.explode(F.sequence(F.lit(1), F.col("n_people"))).alias("n"))
+    return people.select(
+        (F.col("id0") + F.col("n")).alias("customer_id"),
         "city_id",
         F.md5(F.rand(seed).cast("string")).alias("first_name"),
         F.md5(F.rand(seed + 1).cast("string")).alias("last_name"),
     )
-    return people.withColumn("customer_id", F.monotonically_increasing_id() + 1).select(
-        "customer_id", "city_id", "first_name", "last_name")
 
 
 def metric_catalog_range(spark: SparkSession, n_metrics: int = METRIC_COUNT,

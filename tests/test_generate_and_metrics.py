@@ -185,3 +185,13 @@ def test_formula_with_functions(store):
     assert d["g_sum"] == d["metric_1_sum"]  # metric_3 is never filled
     with pytest.raises(ValueError):
         M.city_metrics(store, "metric_1", formulas={"g": "coalesce(metric_77, 0)"})
+
+
+def test_synthetic_people_counts_and_dense_ids(spark):
+    people = G.synthetic_people(spark, factor=10, seed=5).cache()
+    per_city = {r["city_id"]: r["n"] for r in people.groupBy("city_id").agg(F.count("*").alias("n")).collect()}
+    assert per_city == {1: 800, 2: 100, 3: 60, 4: 30, 5: 10}
+    ids = sorted(r["customer_id"] for r in people.select("customer_id").collect())
+    assert ids == list(range(1, 1001))
+    names = people.select("first_name", "last_name").collect()
+    assert all(len(r["first_name"]) == 32 and len(r["last_name"]) == 32 for r in names)
