@@ -57,3 +57,21 @@ def op1_chat_format(spark: SparkSession, d: str) -> DataFrame:
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(listing, 256).alias("turns_sha256"),
         F.length("learned").cast("long").alias("loss_chars"), F.sha2("learned", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
+
+def bpe_vocabulary() -> tuple[str, str]:
+    """Path of the public vocabulary file and its piece pattern."""
+    import public_tokenizers as P
+
+    return str(P.path(VOCABULARY)), P.PATTERN
+
+
+@register("op9_bpe_tree")
+def op9_bpe_tree(spark: SparkSession, d: str) -> DataFrame:
+    """Every whole document text encoded by tree reduction and decoded again."""
+    from tessera.llm import bpe_tree as B
+
+    return B.token_digests(table(spark, d, "documents"), *bpe_vocabulary())
