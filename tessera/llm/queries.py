@@ -75,3 +75,15 @@ def op9_bpe_tree(spark: SparkSession, d: str) -> DataFrame:
     from tessera.llm import bpe_tree as B
 
     return B.token_digests(table(spark, d, "documents"), *bpe_vocabulary())
+
+
+@register("op10_subword_toxicity")
+def op10_subword_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    """Toxicity of every whole document text; labels of fold 0 (of 5) are never read."""
+    from tessera.llm import subword_toxic as S
+    from tessera.llm.common import fold_of
+
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    done = S.scored(docs, table(spark, d, "labels"), fold_of(F.col("doc_id"), 5) != 0)
+    return done.select("doc_id", (fold_of(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+                       (F.col("score") >= 0.5).cast("int").alias("predicted"))

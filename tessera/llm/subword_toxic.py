@@ -23,8 +23,7 @@ document the smoothed share of label 1. Labels that are null or not 0/1 are igno
 from __future__ import annotations
 
 import re
-import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,7 +32,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import Interned
+CACHED = 1_500_000  # word logits kept by a worker
+BATCH = 256  # documents scored at a time
 
 WORD = re.compile(r"[^\W_]+(?:['’@$0-9][^\W_]+)*")
 
@@ -44,11 +44,11 @@ class Settings:
     buckets: int = 1 << 17  # rows of the hashed embedding table
     shortest: int = 3
     longest: int = 5
-    window: int = 24  # words averaged at a time; windows overlap by half
-    max_docs: int = 5000  # bound on the training sample
+    window: int = 5  # words averaged at a time; windows overlap by half
+    max_docs: int = 6000  # bound on the training sample
     epochs: int = 2
-    rounds: int = 4
-    batch: int = 256
+    rounds: int = 6
+    batch: int = 512
     rate: float = 0.5
     seed: int = 17
 
@@ -57,11 +57,35 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
-def subwords(word: str, s: Settings) -> np.ndarray:
-    """Bucket numbers of the marked word and of its character n-grams."""
-    marked = f"<{word}>"
-    grams = [marked, *(marked[i:i + n] for n in range(s.shortest, s.longest + 1) for i in range(len(marked) - n + 1))]
-    return np.fromiter((zlib.crc32(g.encode("utf-8", "surrogatepass")) % s.buckets for g in grams), np.int64)
+_STEP, _MIX = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
+
+
+def _bucket(h: np.ndarray, n: int, buckets: int) -> np.ndarray:
+    h = (h + np.uint64(n)) * _MIX
+    return ((h ^ (h >> np.uint64(29))) * _MIX >> np.uint64(24)).astype(np.int64) % buckets
+
+
+def subwords(words: list[str], s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket numbers of each word's character n-grams, and of the marked word itself, with the
+    number of the word that each belongs to. Rolling polynomial hashes over code points."""
+    if not words:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    codes = np.frombuffer("".join([f"<{w}>" for w in words]).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    sizes = np.array([len(w) + 2 for w in words])
+    first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    owner = np.repeat(np.arange(len(words)), sizes)
+    place = np.arange(len(codes)) - first[owner]
+    left = sizes[owner] - place
+    powers = np.cumprod(np.concatenate(([1], np.full(sizes.max() - 1, _STEP))).astype(np.uint64), dtype=np.uint64)
+    rows, owners = [_bucket(np.add.reduceat(codes * powers[place], first), 0, s.buckets)], [np.arange(len(words))]
+    for n in range(s.shortest, s.longest + 1):
+        at = np.flatnonzero(left >= n)
+        h = np.zeros(len(at), np.uint64)
+        for j in range(n):
+            h = h * _STEP + codes[at + j]
+        rows.append(_bucket(h, n, s.buckets))
+        owners.append(owner[at])
+    return np.concatenate(rows), np.concatenate(owners)
 
 
 @dataclass
@@ -70,8 +94,10 @@ class Model:
     share: np.ndarray  # (buckets,) each n-gram's part of the logit: its vector through the softmax
     bias: float
 
-    def word_logit(self, word: str) -> float:
-        return float(self.share[subwords(word, self.settings)].mean())
+    def word_logits(self, words: list[str]) -> np.ndarray:
+        rows, owner = subwords(words, self.settings)
+        n = np.bincount(owner, minlength=len(words))
+        return np.bincount(owner, self.share[rows], len(words)) / np.maximum(n, 1)
 
     def window_logits(self, values: np.ndarray) -> np.ndarray:
         """Mean word logit of every window of a text's words."""
@@ -84,10 +110,16 @@ class Model:
         total = np.concatenate(([0.0], np.cumsum(values)))
         return (total[starts + w] - total[starts]) / w
 
-    def score(self, text: str | None, cache: dict) -> float:
-        values = np.array([cache[w] for w in words_of(text)], dtype=float)
-        z = float(self.window_logits(values).max()) + self.bias
-        return 1.0 / (1.0 + np.exp(-min(max(z, -500.0), 500.0)))
+    def scores(self, texts: Iterable[str | None], cache: dict[str, float]) -> np.ndarray:
+        """Toxicity of whole texts; ``cache`` keeps word logits between calls and is bounded here."""
+        lists = [words_of(t) for t in texts]
+        new = list(set().union(*lists).difference(cache)) if lists else []
+        if len(cache) + len(new) > CACHED:
+            cache.clear()
+            new = list(set().union(*lists))
+        cache.update(zip(new, self.word_logits(new).tolist()))
+        top = [self.window_logits(np.array([cache[w] for w in words])).max() for words in lists]
+        return 1.0 / (1.0 + np.exp(-np.clip(np.array(top, dtype=float) + self.bias, -500, 500)))
 
 
 def _windows(words: np.ndarray, w: int) -> list[np.ndarray]:
@@ -108,10 +140,10 @@ def train(texts: list[str], labels: np.ndarray, s: Settings) -> Model:
     rng = np.random.default_rng(s.seed)
     vocabulary: dict[str, int] = {}
     docs = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words_of(t)], dtype=np.int64) for t in texts]
-    grams = [subwords(w, s) for w in vocabulary]
-    first = np.concatenate(([0], np.cumsum([len(g) for g in grams]))).astype(np.int64)
-    flat = np.concatenate(grams) if grams else np.zeros(0, np.int64)
-    size = np.diff(first)
+    rows, owner = subwords(list(vocabulary), s)
+    flat = rows[np.argsort(owner, kind="stable")]
+    size = np.bincount(owner, minlength=len(vocabulary))
+    first = np.concatenate(([0], np.cumsum(size))).astype(np.int64)
     table = rng.uniform(-1, 1, (s.buckets, s.dim)) / s.dim
     out = np.zeros((s.dim, 2))
     bias = np.zeros(2)
@@ -204,9 +236,10 @@ def score_column(model: Model, docs: DataFrame, text: str = "text") -> Column:
     @F.pandas_udf(T.DoubleType())
     def score(frames: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = sent.value
-        cache = Interned(own.word_logit, 1_000_000)
+        cache: dict[str, float] = {}
         for texts in frames:
-            yield pd.Series([own.score(t, cache) for t in texts], dtype=float)
+            yield pd.Series(np.concatenate([own.scores(texts.iloc[i:i + BATCH], cache) for i in range(0, len(texts), BATCH)])
+                            if len(texts) else [], dtype=float)
 
     return score(F.col(text))
 
