@@ -87,3 +87,12 @@ def op10_subword_toxicity(spark: SparkSession, d: str) -> DataFrame:
     done = S.scored(docs, table(spark, d, "labels"), fold_of(F.col("doc_id"), 5) != 0)
     return done.select("doc_id", (fold_of(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
                        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@register("op6_block_labeller")
+def op6_block_labeller(spark: SparkSession, d: str) -> DataFrame:
+    """The main text of every page, by the recurrent block labeller trained on a bounded sample."""
+    from tessera.llm import block_lstm as L
+
+    done = L.extracted(table(spark, d, "pages").select("page_id", "url", "html"))
+    return done.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
