@@ -96,3 +96,13 @@ def op6_block_labeller(spark: SparkSession, d: str) -> DataFrame:
 
     done = L.extracted(table(spark, d, "pages").select("page_id", "url", "html"))
     return done.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@register("op2_importance_resample")
+def op2_importance_resample(spark: SparkSession, d: str) -> DataFrame:
+    """Importance weight, Gumbel key and sampling decision of every document; as large a share is
+    sampled as the labels call good."""
+    from tessera.llm import importance as I
+
+    ids, share = I.target_sample(table(spark, d, "labels"))
+    return I.resample(table(spark, d, "documents"), ids, share)
