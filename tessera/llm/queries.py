@@ -106,3 +106,11 @@ def op2_importance_resample(spark: SparkSession, d: str) -> DataFrame:
 
     ids, share = I.target_sample(table(spark, d, "labels"))
     return I.resample(table(spark, d, "documents"), ids, share)
+
+
+@register("op4_template_decontamination")
+def op4_template_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    """Every (document, benchmark item) whose template the document repeats."""
+    from tessera.llm import template_match as M
+
+    return M.alignments(table(spark, d, "documents"), table(spark, d, "benchmark"))
