@@ -45,7 +45,7 @@ class Settings:
     shortest: int = 3
     longest: int = 5
     window: int = 5  # words averaged at a time; windows overlap by half
-    max_docs: int = 6000  # bound on the training sample
+    max_docs: int = 3500  # bound on the training sample
     epochs: int = 2
     rounds: int = 6
     batch: int = 512
@@ -139,10 +139,14 @@ def train(texts: list[str], labels: np.ndarray, s: Settings) -> Model:
         return Model(s, np.zeros(s.buckets), float(np.log(rate / (1 - rate))))
     rng = np.random.default_rng(s.seed)
     vocabulary: dict[str, int] = {}
-    docs = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words_of(t)], dtype=np.int64) for t in texts]
-    rows, owner = subwords(list(vocabulary), s)
-    flat = rows[np.argsort(owner, kind="stable")]
-    size = np.bincount(owner, minlength=len(vocabulary))
+    docs = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words_of(t)], dtype=np.int32) for t in texts]
+    names, pieces, counts = list(vocabulary), [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    for k in range(0, len(names), 20_000):  # in parts: the hashes take much room on the way
+        rows, owner = subwords(part := names[k:k + 20_000], s)
+        pieces.append(rows[np.argsort(owner, kind="stable")].astype(np.int32))
+        counts.append(np.bincount(owner, minlength=len(part)))
+    flat, size = np.concatenate(pieces), np.concatenate(counts)
+    del names, vocabulary, pieces
     first = np.concatenate(([0], np.cumsum(size))).astype(np.int64)
     table = rng.uniform(-1, 1, (s.buckets, s.dim)) / s.dim
     out = np.zeros((s.dim, 2))
@@ -156,10 +160,10 @@ def train(texts: list[str], labels: np.ndarray, s: Settings) -> Model:
         start = np.repeat(first[bag_words] - np.concatenate(([0], np.cumsum(n)[:-1])), n)
         return flat[np.arange(len(owner)) + start], owner
 
-    def epoch(bags: list[np.ndarray], y: np.ndarray) -> None:
+    def epoch(bags: list[np.ndarray], y: np.ndarray, batch: int) -> None:
         order = rng.permutation(len(bags))
-        for k in range(0, len(order), s.batch):
-            pick = order[k:k + s.batch]
+        for k in range(0, len(order), batch):
+            pick = order[k:k + batch]
             sizes = np.array([len(bags[i]) for i in pick])
             starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
             words, at = np.unique(np.concatenate([bags[i] for i in pick]), return_inverse=True)
@@ -193,11 +197,13 @@ def train(texts: list[str], labels: np.ndarray, s: Settings) -> Model:
 
     kept = [i for i in range(len(docs)) if len(docs[i])]
     bags, y = [docs[i] for i in kept], labels[kept]
-    epoch(bags, y)
+    epoch(bags, y, 32)  # whole documents: small batches bound the memory
     hard: dict[tuple[int, int], np.ndarray] = {}
     for _ in range(s.rounds):
         now = model()
-        logit = np.add.reduceat(now.share[flat], first[:-1]) / size
+        logit = np.concatenate([np.add.reduceat(now.share[flat[first[k]:first[min(k + 20_000, len(size))]]],
+                                                first[k:min(k + 20_000, len(size))] - first[k])
+                                for k in range(0, len(size), 20_000)] or [np.zeros(0)]) / size
         toxic = []
         for i in kept:
             cut = _windows(docs[i], s.window)
@@ -210,7 +216,7 @@ def train(texts: list[str], labels: np.ndarray, s: Settings) -> Model:
         bags = [*toxic, *hard.values()]
         y = np.repeat([1, 0], [len(toxic), len(hard)])
         for _ in range(s.epochs):
-            epoch(bags, y)
+            epoch(bags, y, s.batch)
     return model()
 
 
