@@ -114,3 +114,11 @@ def op4_template_decontamination(spark: SparkSession, d: str) -> DataFrame:
     from tessera.llm import template_match as M
 
     return M.alignments(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@register("op5_adaptive_scan")
+def op5_adaptive_scan(spark: SparkSession, d: str) -> DataFrame:
+    """The 20 nearest found of every vector whose id is divisible by 20, among all others."""
+    from tessera.llm import adaptive_scan as A
+
+    return A.nearest(table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0)
