@@ -122,3 +122,15 @@ def op5_adaptive_scan(spark: SparkSession, d: str) -> DataFrame:
     from tessera.llm import adaptive_scan as A
 
     return A.nearest(table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@register("op3_pii_surrogates")
+def op3_pii_surrogates(spark: SparkSession, d: str) -> DataFrame:
+    """Every document with its personal data and secrets replaced by surrogates."""
+    from tessera.llm import surrogates as S
+
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return S.pseudonymised(docs, PII_KEY, count="n_entities").select("doc_id", "text", "n_entities")
+
+
+PII_KEY = "public example key"  # a deployment passes its own secret
