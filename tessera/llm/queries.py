@@ -134,3 +134,11 @@ def op3_pii_surrogates(spark: SparkSession, d: str) -> DataFrame:
 
 
 PII_KEY = "public example key"  # a deployment passes its own secret
+
+
+@register("op8_chosen_path")
+def op8_chosen_path(spark: SparkSession, d: str) -> DataFrame:
+    """The near-duplicate component of every document."""
+    from tessera.llm import chosen_path as P
+
+    return P.classes(table(spark, d, "documents"))
