@@ -1,12 +1,62 @@
-"""Corpus pipeline over ``documents``."""
+"""Corpus pipeline over ``documents``: toxicity, near-duplicates, benchmark leaks, personal data, tokens.
+
+Each stage takes all that its predecessor kept. Every stage but the last returns the
+columns it was given; the last returns ids and digests of the tokens of each document.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from tessera.llm import bpe_tree, chosen_path, subword_toxic, surrogates, template_match
 from tessera.llm.common import table, written
+from tessera.llm.queries import PII_KEY, bpe_vocabulary
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity is below one half. Learns from the labels of the given documents."""
+    scored = subword_toxic.scored(docs, table(spark, sf_dir, "labels"), F.lit(True), into="__toxicity")
+    return scored.where(F.col("__toxicity") < 0.5).drop("__toxicity")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate component, that of the smallest doc_id; of rows that repeat
+    a doc_id one. Rows without doc_id stay."""
+    kept = chosen_path.classes(docs).where("kept and doc_id is not null").select(F.col("doc_id").alias("__kept")).distinct()
+    named = docs.where("doc_id is not null").join(kept, docs["doc_id"] == kept["__kept"], "left_semi")
+    one = named.withColumn("__copy", F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where("__copy = 1").drop("__copy")
+    return one.unionByName(docs.where("doc_id is null"))
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that repeat no benchmark item, as it is or re-parameterised."""
+    return template_match.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data and secrets replaced; ``n_chars`` follows the text."""
+    changed = surrogates.pseudonymised(docs, PII_KEY)
+    if "n_chars" in docs.columns:
+        changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return changed.select(*docs.columns)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Number and digests of the tokens of each document."""
+    return bpe_tree.token_digests(docs, *bpe_vocabulary())
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_benchmark_leaks),
+    ("personal_data", replace_personal_data),
+    ("tokens", tokenize),
+]
 
-STAGES: list = []
+#: Trained scores, sketches, keyed hashes and token merges have no SQL form; tests compare with brute force.
 ORACLE_SQL = None
 
 

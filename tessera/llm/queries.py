@@ -142,3 +142,21 @@ def op8_chosen_path(spark: SparkSession, d: str) -> DataFrame:
     from tessera.llm import chosen_path as P
 
     return P.classes(table(spark, d, "documents"))
+
+
+_ASCII = ("'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'")
+ORACLE_SQL["op8_chosen_path"] = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), {_ASCII[0]}, {_ASCII[1]}), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS sh FROM w),
+e AS (SELECT doc_id, hash(unnest(sh)) AS h FROM s),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM e a JOIN e b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (
+  SELECT a, b FROM p JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b WHERE 100 * n >= 75 * (len(x.sh) + len(y.sh) - n)),
+r(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT s.doc_id, len(s.sh)::BIGINT AS n_shingles, min(r.b) AS component_id, s.doc_id = min(r.b) AS kept
+FROM s JOIN r ON r.a = s.doc_id GROUP BY s.doc_id, s.sh
+"""
