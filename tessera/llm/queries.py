@@ -160,3 +160,13 @@ r(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM r JO
 SELECT s.doc_id, len(s.sh)::BIGINT AS n_shingles, min(r.b) AS component_id, s.doc_id = min(r.b) AS kept
 FROM s JOIN r ON r.a = s.doc_id GROUP BY s.doc_id, s.sh
 """
+
+
+@register("op7_katz_backoff")
+def op7_katz_backoff(spark: SparkSession, d: str) -> DataFrame:
+    """Katz and add-one scores of every whole document, learnt from all folds (of 7) but the third."""
+    from tessera.llm import katz as K
+    from tessera.llm.common import fold_of
+
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return K.scores(docs, fold_of(F.col("doc_id"), 7) == 2, K.bucket_count(docs))
