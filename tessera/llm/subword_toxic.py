@@ -162,6 +162,7 @@ def train(texts: list[str], labels: np.ndarray, s: Settings) -> Model:
 
     def epoch(bags: list[np.ndarray], y: np.ndarray, batch: int) -> None:
         order = rng.permutation(len(bags))
+        batch = max(16, min(batch, len(bags) // 40))  # small samples get as many steps
         for k in range(0, len(order), batch):
             pick = order[k:k + batch]
             sizes = np.array([len(bags[i]) for i in pick])
