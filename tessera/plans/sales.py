@@ -11,14 +11,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.stamps import hex_stamp, stamp_value
 from tessera.operators.joins import join_dimension
 from tessera.functions.stamps import ZERO_STAMP
 from tessera.sinks.files import write_stamped, write_watermark
-from tessera.sources.files import read_master_json, read_sales, read_watermark
+from tessera.session import scratch_dir
+from tessera.sources.files import newest_output, read_master_json, read_master_json_lines, read_sales, read_state, read_watermark
 
 
 STAMP = "stamp"  # optional numeric stamp column; derived from ``verstamp`` when absent
@@ -45,20 +46,26 @@ def house_sales(sales: DataFrame, master: DataFrame, watermark: str | None = Non
     ``character_id, house``. Rows whose key has no house are dropped, as a NULL
     group key is dropped by the original grouping (see ``unmatched_keys``).
     """
-    fresh = fresh_rows(sales, watermark).select("character_id", "sale_date", "amount", STAMP)
-    enriched = join_dimension(fresh, master.select("character_id", "house"), "character_id", "left")
+    return _result(_by_house(fresh_rows(sales, watermark), master))
+
+
+def _by_house(fresh: DataFrame, master: DataFrame) -> DataFrame:
+    """Sums and newest stamp by date and house; rows without either form groups of their own."""
+    enriched = join_dimension(fresh.select("character_id", "sale_date", "amount", STAMP),
+                              master.select("character_id", "house"), "character_id", "left")
     # max over the numeric stamp keeps the aggregation a hash aggregation (a string
     # max would force a sort-based one); the text is formatted once per group.
-    return (
-        enriched.filter(F.col("sale_date").isNotNull() & F.col("house").isNotNull())
-        .groupBy("sale_date", "house")
-        .agg(
-            F.sum("amount").cast("bigint").alias("amount"),
-            F.max(STAMP).alias("__last"),
-        )
-        .select("sale_date", "house", "amount", hex_stamp("__last").alias("last_verstamp"))
-        .orderBy("sale_date", "house")
-    )
+    return enriched.groupBy("sale_date", "house").agg(
+        F.sum("amount").cast("bigint").alias("amount"), F.max(STAMP).alias("__last"))
+
+
+def _has_house() -> Column:
+    return F.col("sale_date").isNotNull() & F.col("house").isNotNull()
+
+
+def _result(groups: DataFrame) -> DataFrame:
+    return groups.filter(_has_house()).select(
+        "sale_date", "house", "amount", hex_stamp("__last").alias("last_verstamp")).orderBy("sale_date", "house")
 
 
 def unmatched_keys(sales: DataFrame, master: DataFrame, watermark: str | None = None) -> DataFrame:
@@ -97,22 +104,46 @@ def run_batch(
     state_path: str,
     output_base: str,
 ) -> BatchResult:
-    """One incremental run. Writes the result first, then the state: a crash in
-    between only repeats the same batch into the same stamped directory."""
-    old = read_watermark(spark, state_path)
-    fresh = fresh_rows(sales, old).persist()
-    try:
-        new = next_watermark(fresh, None).first()["verstamp"]
-        if new is None:  # nothing new: no output, state unchanged
-            return BatchResult(old, None, None, 0)
-        result = house_sales(fresh, master).persist()
-        n = result.count()
-        path = write_stamped(result, output_base, new)
-        result.unpersist()
-        write_watermark(spark, state_path, new)
-        return BatchResult(old, new, path, n)
-    finally:
-        fresh.unpersist()
+    """One incremental run over the stamps ``(old, new]``.
+
+    The fact rows are read once: grouped, with the rows that have no house or date as
+    groups of their own, so the newest stamp comes from the same small result. The
+    range is recorded as intended before anything is written and committed after; a
+    run that finds an uncommitted range repeats exactly that one into the same
+    directory, whatever has arrived since. Without any state the newest result
+    already written tells where to go on.
+    """
+    state = read_state(spark, state_path)
+    old = state.verstamp if state else newest_output(spark, output_base) or ZERO_STAMP
+    pending = state.intended if state else None
+    fresh = fresh_rows(sales, old)
+    if pending:
+        fresh = fresh.filter(F.col(STAMP) <= F.lit(int(pending, 16)))
+    staged_path = scratch_dir(spark, "house-sales")
+    _by_house(fresh, master).write.parquet(staged_path)
+    staged = spark.read.parquet(staged_path)
+    newest, n = staged.agg(F.max("__last"), F.count_if(_has_house())).first()
+    if newest is None:  # nothing new: no output, state unchanged
+        return BatchResult(old, None, None, 0)
+    new = pending or staged.select(hex_stamp(F.lit(newest)).alias("s")).first()["s"]
+    write_watermark(spark, state_path, old, intended=new)
+    path = write_stamped(_result(staged), output_base, new)
+    write_watermark(spark, state_path, new)
+    return BatchResult(old, new, path, n)
+
+
+def run_stream_batch(spark: SparkSession, sales: DataFrame, master: DataFrame, floor: str,
+                     state_path: str, path: str) -> None:
+    """One micro-batch into its own directory; the state moves up to the newest stamp seen."""
+    staged_path = scratch_dir(spark, "house-sales")
+    _by_house(fresh_rows(sales, floor), master).write.parquet(staged_path)
+    staged = spark.read.parquet(staged_path)
+    newest = staged.agg(F.max("__last")).first()[0]
+    if newest is None:
+        return
+    _result(staged).write.mode("overwrite").option("header", True).csv(path)
+    if newest > int(read_watermark(spark, state_path), 16):
+        write_watermark(spark, state_path, staged.select(hex_stamp(F.lit(newest)).alias("s")).first()["s"])
 
 
 def lookup_seed(sales: DataFrame) -> DataFrame:
@@ -132,12 +163,12 @@ def ensure_watermark(spark: SparkSession, path: str, is_restart: bool = False) -
 
 
 def compute_house_sales(spark: SparkSession, path_verstamp: str, path_sales: str, path_house_sales: str,
-                        master_snapshot: str) -> BatchResult:
+                        master_snapshot: str, master_lines: bool = False) -> BatchResult:
     """Step 2 (+3): the rollup of fresh sales into ``<path_house_sales>/verstamp=<new>``.
 
-    The master data is a JSON snapshot re-read on every run. The state advances in
+    The master data is a JSON snapshot (a list, or lines) re-read on every run. The state advances in
     the same call, from the same fresh frame that was aggregated, so rows arriving
     between the two steps are not skipped.
     """
-    return run_batch(spark, read_sales(spark, path_sales), read_master_json(spark, master_snapshot),
-                     path_verstamp, path_house_sales)
+    master = (read_master_json_lines if master_lines else read_master_json)(spark, master_snapshot)
+    return run_batch(spark, read_sales(spark, path_sales), master, path_verstamp, path_house_sales)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.stamps import ZERO_STAMP
 from tessera.functions.timeparts import date_literal, trunc_ntz
-from tessera.sources.files import STATE_SCHEMA
+from tessera.sources.files import STATE_SCHEMA, read_state
 
 
 def stamped_path(base: str, stamp: str) -> str:
@@ -32,10 +32,11 @@ def write_stamped(df: DataFrame, base: str, stamp: str, fmt: str = "csv") -> str
     return path
 
 
-def write_watermark(spark: SparkSession, path: str, stamp: str) -> None:
-    """Replace the one-row state file (K3 initialise / K4 advance)."""
-    spark.createDataFrame([(stamp,)], STATE_SCHEMA).coalesce(1).write.mode("overwrite").option(
-        "header", True).csv(path)
+def write_watermark(spark: SparkSession, path: str, stamp: str, intended: str | None = None) -> None:
+    """Append a new state (K3 initialise / K4 advance): nothing is replaced, so no crash loses the state."""
+    now = read_state(spark, path)
+    row = (stamp, (now.version if now else 0) + 1, intended)
+    spark.createDataFrame([row], STATE_SCHEMA).coalesce(1).write.mode("append").option("header", True).csv(path)
 
 
 def reset_watermark(spark: SparkSession, path: str) -> None:
@@ -48,30 +49,22 @@ def append_csv(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("header", True).csv(path)
 
 
-# Slices per month when clustering rows for the write: a month is spread over up to
-# this many shuffle partitions (AQE coalesces them again when the data is small).
-MONTH_SLICES = 1024
-
-
-def cluster_by_month(df: DataFrame, month_col: str, slices: int = MONTH_SLICES) -> DataFrame:
-    """Cluster rows by month for a partitioned write without putting a month in one task:
-    the shuffle key is (month, deterministic hash slice of the row)."""
-    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
-    return df.repartition(F.col(month_col), F.pmod(row_hash, F.lit(slices)))
+def cluster_by_month(df: DataFrame, month_col: str) -> DataFrame:
+    """Rows of a month together for a partitioned write. The rebalance hint lets AQE split a month that
+    is larger than the advisory partition size and merge small ones."""
+    return df.hint("rebalance", F.col(month_col))
 
 
 def write_monthly(df: DataFrame, path: str, ts: str, month_col: str = "month", fmt: str = "parquet",
-                  sort_within: Sequence[str] = (), slices: int = MONTH_SLICES) -> None:
+                  sort_within: Sequence[str] = ()) -> None:
     """Monthly range partitions (K7) as ``partitionBy(month)``; reloads replace only their months.
 
-    Rows are clustered by month (and a hash slice, so a large month is written by
-    many tasks) so each task writes few files, and optionally sorted inside (e.g.
-    by entity key) so Parquet min/max skips row groups.
+    Rows are clustered by month, so each task writes few files, and optionally sorted
+    inside (e.g. by entity key) so Parquet min/max skips row groups.
     """
-    out = df.withColumn(month_col, trunc_ntz("month", ts).cast("date"))
-    out = cluster_by_month(out, month_col, slices)
+    out = cluster_by_month(df.withColumn(month_col, trunc_ntz("month", ts).cast("date")), month_col)
     if sort_within:
-        out = out.sortWithinPartitions(*sort_within)
+        out = out.sortWithinPartitions(month_col, *sort_within)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(month_col).format(fmt).save(path))
 

@@ -19,11 +19,13 @@ def append_table(df: DataFrame, table: str) -> None:
 
 
 def load_csv_table(spark: SparkSession, path: str, table: str, drop: Sequence[str] = (),
-                   mode: str = "overwrite") -> DataFrame:
-    """Spreadsheet export → named table (K10): drop unneeded columns, lower-case header."""
+                   mode: str = "overwrite", location: str | None = None) -> DataFrame:
+    """Spreadsheet export → named table (K10): drop unneeded columns, lower-case header. ``location``
+    makes it an external table."""
     df = read_semicolon_csv(spark, path)
     df = df.drop(*[c.lower() for c in drop])
-    df.write.mode(mode).saveAsTable(table)
+    writer = df.write.mode(mode)
+    (writer.option("path", location) if location else writer).saveAsTable(table)
     return spark.table(table)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,7 +29,13 @@ LOOKUP_SCHEMA = T.StructType([
     T.StructField("house", T.StringType()),
 ])
 
-STATE_SCHEMA = T.StructType([T.StructField("verstamp", T.StringType())])
+# One row for each state of the job, appended; the largest version holds. ``intended`` is the
+# upper stamp of a run that has begun and may have written, but has not been committed.
+STATE_SCHEMA = T.StructType([
+    T.StructField("verstamp", T.StringType()),
+    T.StructField("version", T.LongType()),
+    T.StructField("intended", T.StringType()),
+])
 
 
 def read_header_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -40,48 +48,80 @@ def read_sales(spark: SparkSession, path: str) -> DataFrame:
     return read_header_csv(spark, path, SALES_SCHEMA)
 
 
-def read_semicolon_csv(spark: SparkSession, path: str, drop_first: bool = True) -> DataFrame:
+def read_semicolon_csv(spark: SparkSession, path: str) -> DataFrame:
     """Semicolon CSV exported from a spreadsheet (S2/K10).
 
     All columns are read as text (dates are parsed by the caller); a UTF-8 BOM is
-    removed by the reader, an unnamed leading index column is dropped, names are
-    lower-cased and empty fields are NULL.
+    removed by the reader, a leading index column is dropped if its header is blank,
+    names are lower-cased and empty fields are NULL.
     """
     df = (
         spark.read.option("sep", ";").option("header", True).option("encoding", "UTF-8")
         .option("nullValue", "").option("inferSchema", False).csv(path)
     )
-    if drop_first:
-        df = df.drop(df.columns[0])
-    return df.toDF(*[c.strip().lower().lstrip("﻿") for c in df.columns])
+    names = [c.lstrip("﻿").strip().lower() for c in df.columns]
+    if names[0] in ("", "_c0"):  # the reader's name for a blank first header
+        df, names = df.drop(df.columns[0]), names[1:]
+    return df.toDF(*names)
 
 
 def read_master_json(spark: SparkSession, path: str, schema: T.StructType = CHARACTER_SCHEMA) -> DataFrame:
-    """Master data snapshot: a JSON list of objects (S3); keeps ``id → character_id, house``."""
+    """Master data snapshot: a JSON list of objects (S3); keeps ``id → character_id, house``.
+
+    A list is one JSON value, so one task reads each file; large snapshots come as
+    JSON lines (``read_master_json_lines``).
+    """
     df = spark.read.schema(schema).option("multiLine", True).json(path)
     return df.select(F.col("id").alias("character_id"), "name", "house")
 
 
+def read_master_json_lines(spark: SparkSession, path: str, schema: T.StructType = CHARACTER_SCHEMA) -> DataFrame:
+    """Master data as JSON lines, which many tasks read."""
+    df = spark.read.schema(schema).json(path)
+    return df.select(F.col("id").alias("character_id"), "name", "house")
+
+
 def read_lookup_csv(spark: SparkSession, path: str) -> DataFrame:
     """``character_id,house`` lookup file (S5)."""
     return read_header_csv(spark, path, LOOKUP_SCHEMA)
 
 
-def read_watermark(spark: SparkSession, path: str, default: str | None = ZERO_STAMP) -> str | None:
-    """Largest stamp in the state file (S6); ``default`` when the state does not exist.
+class State(NamedTuple):
+    verstamp: str
+    version: int
+    intended: str | None
 
-    The state is one tiny row, so bringing the single value to the driver is fine.
-    """
+
+def _missing(e: Exception) -> bool:
+    return "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e)
+
+
+def read_state(spark: SparkSession, path: str) -> State | None:
+    """The newest state (S6), None if there is none. A state is one appended file, committed whole,
+    so a crash leaves the earlier one in force."""
     try:
-        row = spark.read.schema(STATE_SCHEMA).option("header", True).csv(path).agg(
-            F.max("verstamp").alias("w")).first()
-    except Exception as e:  # missing path
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return default
+        row = spark.read.schema(STATE_SCHEMA).option("header", True).csv(path).where("verstamp IS NOT NULL").agg(
+            F.max_by(F.struct("verstamp", F.coalesce("version", F.lit(0)).alias("version"), "intended"),
+                     F.coalesce("version", F.lit(0))).alias("s")).first()
+    except Exception as e:
+        if _missing(e):
+            return None
         raise
-    return row["w"] if row is not None and row["w"] is not None else default
+    return State(**row["s"].asDict()) if row["s"] is not None else None
 
 
-def literal_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
-    """Small literal row sets (VALUES lists, lookup seeds) (S12)."""
-    return spark.createDataFrame(rows, schema)
+def read_watermark(spark: SparkSession, path: str, default: str | None = ZERO_STAMP) -> str | None:
+    """The committed stamp; ``default`` when there is no state."""
+    state = read_state(spark, path)
+    return default if state is None else state.verstamp
+
+
+def newest_output(spark: SparkSession, base: str) -> str | None:
+    """The largest stamp among the results written under ``base``: where a job whose state was lost stands."""
+    try:
+        df = spark.read.option("header", True).csv(base)
+    except Exception as e:
+        if _missing(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
+    return df.agg(F.max("verstamp")).first()[0] if "verstamp" in df.columns else None

@@ -16,8 +16,3 @@ def hourly_points(start: Column, end: Column) -> Column:
 def explode_hours(rows: DataFrame, keep: Sequence[str], start: str, end: str, out: str = "metric_timestamp") -> DataFrame:
     """One row per key and hour in ``[start, end]`` — generated inside each row's task, no cross join."""
     return rows.select(*keep, F.explode(hourly_points(F.col(start), F.col(end))).alias(out))
-
-
-def weighted_counts(weights: DataFrame, key: str, weight: str, factor: int, out: str = "n") -> DataFrame:
-    """Rows ``key, i`` for ``i in 1..weight*factor`` (the per-city person counts)."""
-    return weights.select(key, F.explode(F.sequence(F.lit(1), (F.col(weight) * factor).cast("int"))).alias(out))

@@ -29,7 +29,7 @@ class Tables:
 
 
 def read_table(spark: SparkSession, name: str, columns: list[str] | None = None) -> DataFrame:
-    """Whole-table read of a catalog table (e.g. ``hp.characters``), optionally projected."""
+    """Whole-table read of a catalog table (``schema.name``), optionally projected."""
     df = spark.table(name)
     return df.select(*columns) if columns else df
 

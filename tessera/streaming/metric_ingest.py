@@ -41,23 +41,3 @@ def daily_rollup(spark: SparkSession, target: str, metrics: list[str], ts: str =
     df = spark.read.parquet(target)
     return df.groupBy("customer_id", trunc_ntz("day", ts).alias("day")).agg(
         *[F.sum(m).alias(f"{m}_sum") for m in metrics])
-
-
-def live_daily_rollup(rows: DataFrame, metrics: list[str], ts: str = "metric_timestamp",
-                      late: str = "1 hour") -> DataFrame:
-    """Streaming per-person daily sums: event-time windows with a watermark bounding the state.
-
-    Rows later than ``late`` behind the newest event time seen are dropped from the
-    live view (the stored partitions still hold them). Watermarks need a zoned
-    event time, so the zone-less timestamp is read in the session zone and the day
-    windows are UTC days: with the UTC sessions of ``build_session`` they are the
-    same days as the stored partitions.
-    """
-    from pyspark.sql import functions as F
-
-    return (rows.withColumn("__event_time", F.col(ts).cast("timestamp"))
-            .withWatermark("__event_time", late)
-            .groupBy("customer_id", F.window("__event_time", "1 day").alias("w"))
-            .agg(*[F.sum(m).alias(f"{m}_sum") for m in metrics])
-            .select("customer_id", F.col("w.start").cast("timestamp_ntz").alias("day"),
-                    *[f"{m}_sum" for m in metrics]))

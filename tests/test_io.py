@@ -12,7 +12,6 @@ from tessera.sinks.files import append_csv, month_filter, write_monthly
 from tessera.sinks.tables import append_table, load_csv_table, write_lookup_csv
 from tessera.sources.files import SALES_SCHEMA, read_lookup_csv
 from tessera.sources.tables import read_table
-from tessera.streaming.metric_ingest import live_daily_rollup
 
 FIX = os.path.join(os.path.dirname(__file__), "fixtures", "channel")
 
@@ -75,20 +74,6 @@ def test_generator_row_cap_is_a_top_k(spark):
     assert len(got) == 30 and {r["customer_id"] for r in got} == {1, 2}  # 25 hours each, in key order
 
 
-def test_live_rollup_matches_batch(spark, workdir):
-    rows = [(c, dt.datetime(2024, 1, d, h), float(c * h)) for c in (1, 2) for d in (1, 2) for h in range(0, 24, 5)]
-    df = spark.createDataFrame(rows, "customer_id long, metric_timestamp timestamp_ntz, m double")
-    df.write.parquet(f"{workdir}/src")
-    stream = spark.readStream.schema(df.schema).parquet(f"{workdir}/src")
-    q = (live_daily_rollup(stream, ["m"]).writeStream.format("memory").queryName("live_rollup")
-         .outputMode("complete").trigger(availableNow=True).start())
-    q.awaitTermination()
-    got = sorted(map(tuple, spark.table("live_rollup").collect()))
-    want = sorted(map(tuple, df.groupBy("customer_id", F.col("metric_timestamp").cast("date").cast("timestamp_ntz")
-                                        .alias("day")).agg(F.sum("m")).collect()))
-    assert got == want
-
-
 def test_fetch_lookup_batches_distinct_keys(spark):
     from tessera.sources.lookup import fetch_lookup
 
