@@ -13,16 +13,14 @@ from tessera.functions.timeparts import (
 )
 from tessera.functions.text import (
     UUID_PATTERN,
-    bracket_residue,
     common_prefix,
     extract_uuid,
     is_balanced,
     uuid_text,
 )
-from tessera.functions.docs import json_doc
 
 __all__ = [
     "hex_stamp", "stamp_value", "ALL_BUCKET_TIME", "BUCKET_UNITS", "date_literal", "ntz_literal", "parse_dmy_date",
-    "parse_dmy_timestamp", "trunc_ntz", "year_month", "UUID_PATTERN", "bracket_residue",
-    "common_prefix", "extract_uuid", "is_balanced", "uuid_text", "json_doc",
+    "parse_dmy_timestamp", "trunc_ntz", "year_month", "UUID_PATTERN",
+    "common_prefix", "extract_uuid", "is_balanced", "uuid_text",
 ]

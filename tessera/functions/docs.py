@@ -8,12 +8,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def json_doc(fields: Iterable[tuple[str, Column]]) -> Column:
-    """``{"k1": v1, ...}`` in the given key order; NULL values are kept as ``null``."""
-    cols = [c.alias(k) for k, c in fields]
-    return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
-
-
 def _quote_ident(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -23,7 +17,7 @@ def _quote_text(text: str) -> str:
 
 
 def json_doc_expr(fields: Iterable[tuple[str, str]]) -> Column:
-    """Same document as ``json_doc`` from ``(key, SQL expression)`` pairs, built as ONE
+    """``{"k1": v1, ...}`` in the given key order, NULLs kept, from ``(key, SQL expression)`` pairs, as ONE
     expression: for thousands of metrics this avoids one driver round trip per column.
     The expressions may be aggregates (``sum(`m`)``) when used inside ``agg``."""
     body = ", ".join(f"{_quote_text(k)}, {e}" for k, e in fields)

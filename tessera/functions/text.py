@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,16 +36,8 @@ def uuid_text(n: Column | str) -> Column:
     )
 
 
-# Bracket strings up to this length are folded JVM-side (each step copies the
-# accumulator, so cost grows with length x depth); longer ones go to a linear
-# stack scan in an Arrow-batched pandas UDF. Rows below the bound send only a NULL.
-FOLD_LIMIT = 256
-_PAIRS = {")": "(", "]": "[", "}": "{"}
-
-
 def _fold_residue(brackets: Column) -> Column:
-    chars = F.split(brackets, "")
-
+    """The open brackets left after walking the string; '!' once a close bracket has no partner."""
     def step(acc: Column, ch: Column) -> Column:
         top = F.substring(acc, -1, 1)
         pops = ((ch == ")") & (top == "(")) | ((ch == "]") & (top == "[")) | ((ch == "}") & (top == "{"))
@@ -51,47 +45,27 @@ def _fold_residue(brackets: Column) -> Column:
             F.when(acc == _BROKEN, acc)
             .when(ch.isin(*OPEN_BRACKETS), F.concat(acc, ch))
             .when(pops, acc.substr(F.lit(1), F.length(acc) - 1))
-            .when(ch.isin(*CLOSE_BRACKETS), F.lit(_BROKEN))
-            .otherwise(acc)
+            .otherwise(F.lit(_BROKEN))
         )
 
-    return F.aggregate(chars, F.lit(""), step)
-
-
-def _stack_residue(s: str | None) -> str | None:
-    if s is None:
-        return None
-    stack = []
-    for ch in s:
-        if ch in OPEN_BRACKETS:
-            stack.append(ch)
-        elif not stack or stack.pop() != _PAIRS[ch]:
-            return _BROKEN
-    return "".join(stack)
+    return F.aggregate(F.split(brackets, ""), F.lit(""), step)
 
 
-def _long_residue_udf():
-    @F.pandas_udf("string")
-    def long_residue(b: pd.Series) -> pd.Series:
-        return b.map(_stack_residue)
-
-    return long_residue
-
-
-def bracket_residue(s: Column | str) -> Column:
-    """Unmatched open brackets left after scanning ``s`` ('!' once a close bracket fails).
+def is_balanced(s: Column | str) -> Column:
+    """True when every bracket closes in order; other characters are ignored; empty is balanced.
 
-    Only the bracket characters are pulled out of the text (one regex pass), so
-    the check walks the brackets, not the whole text.
+    The brackets are pulled out once. Strings without any, or with unequal numbers of
+    a pair's brackets (most texts that hold some), are decided by that; only the rest is walked.
     """
-    brackets = F.array_join(F.regexp_extract_all(_c(s), F.lit(r"[()\[\]{}]"), 0), "")
-    long_side = _long_residue_udf()(F.when(F.length(brackets) > FOLD_LIMIT, brackets))
-    return F.when(F.length(brackets) <= FOLD_LIMIT, _fold_residue(brackets)).otherwise(long_side)
+    brackets = F.regexp_replace(_c(s), r"[^()\[\]{}]+", "")
+    count = lambda b, ch: F.length(b) - F.length(F.replace(b, F.lit(ch), F.lit("")))
 
+    def decide(b: Column) -> Column:
+        unequal = reduce(or_, [count(b, o) != count(b, c) for o, c in zip(OPEN_BRACKETS, CLOSE_BRACKETS)])
+        return F.when(b == "", F.lit(True)).when(unequal, F.lit(False)).otherwise(_fold_residue(b) == "")
 
-def is_balanced(s: Column | str) -> Column:
-    """True when every bracket closes in order; other characters are ignored; empty is balanced."""
-    return bracket_residue(s) == F.lit("")
+    # one-element transform: the extracted string is evaluated once
+    return F.when(_c(s).isNotNull(), F.get(F.transform(F.array(brackets), decide), F.lit(0)))
 
 
 def common_prefix(a: Column | str, b: Column | str) -> Column:

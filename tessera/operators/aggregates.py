@@ -11,40 +11,53 @@ from tessera.functions.text import common_prefix
 from tessera.operators.joins import DEFAULT_BROADCAST_LIMIT, HOT_KEY_ROWS, join_back
 
 
-EXACT_DOUBLE_INT = 2**53
+WIDE = "decimal(38,0)"
 
 
 def leave_one_out_product(
     rows: DataFrame, group: Sequence[str], value: str, out: str = "product_except_self",
     broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, hot_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
-    """Each row gets the product of the *other* values of its group.
-
-    Group statistics (zero count, product of the non-zero values) are computed with
-    a partial aggregation and joined back, so a huge group is never gathered in one
-    task. Rules: no zero → P / v; one zero → P for the zero row, 0 for the others;
-    two or more zeros → 0. The product is accumulated as a double (Spark's
-    ``product``), which is exact while ``|P| <= 2**53``; beyond that a non-zero
-    result would carry wrong digits, so it is NULL instead (zeros stay exact).
-    The output is a bigint.
+    """Each row gets the product of the *other* values of its group, exactly (``decimal(38,0)``).
+
+    Values are integers; a NULL value counts as absent and gets the product of all
+    others. Rules: no zero → P / v; one zero → P for the zero row, 0 for the others;
+    two or more zeros → 0. Values are counted by (group, value) first, so a hot group
+    shrinks to its distinct values; ``value ** count`` is then folded in 38 digits. A
+    needed product of more digits raises an error, it is never NULL or rounded. As 126 factors
+    of at least 2 exceed 38 digits, no list of a group is longer than that. Rows of
+    the NULL group form a group.
     """
     g = list(group)
-    v = F.col(value)
-    stats = rows.groupBy(*g).agg(
-        F.sum(F.when(v == 0, 1).otherwise(0)).alias("__zeros"),
-        F.coalesce(F.product(F.when(v != 0, v.cast("double"))), F.lit(1.0)).alias("__prod"),
-        F.count(F.lit(1)).alias("__n"),
-    )
+    v = F.col(value).cast(WIDE)
+    per_value = rows.groupBy(*g, v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    size = F.when(F.abs("__v") > 1, F.log10(F.abs("__v").cast("double")) * F.col("__c"))
+    grouped = per_value.groupBy(*g).agg(
+        F.sum(F.when(F.col("__v") == 0, F.col("__c")).otherwise(0)).alias("__zeros"),
+        F.coalesce(F.sum(size), F.lit(0.0)).alias("__digits"),
+        F.sum(F.when(F.col("__v") < 0, F.col("__c")).otherwise(0)).alias("__negative"),
+        F.sum("__c").alias("__n"))
+    # Only groups whose product is needed and fits send their factors: at most 126 of them.
+    factors = per_value.where(F.abs("__v") > 1)
+    fits = grouped.where("__zeros < 2 AND __digits < 38.5").select(F.struct(*g).alias("__g"))
+    powers = (factors.withColumn("__g", F.struct(*g)).join(fits, "__g", "left_semi").groupBy("__g")
+              .agg(F.collect_list(F.struct(F.abs("__v").alias("b"), F.col("__c").alias("e"))).alias("__f")))
+    stats = grouped.withColumn("__g", F.struct(*g)).join(powers, "__g", "left").drop("__g")
+    times = lambda a, b: (a * b).cast(WIDE)
+    one = F.lit(1).cast(WIDE)
+    power = lambda x: F.aggregate(F.sequence(F.lit(1), x["e"].cast("int")), one, lambda a, _: times(a, x["b"]))
+    folded = F.aggregate(F.coalesce("__f", F.array().cast(f"array<struct<b:{WIDE},e:bigint>>")), one, lambda a, x: times(a, power(x)))
+    signed = F.when(F.col("__negative") % 2 == 1, -folded).otherwise(folded)
+    too_long = F.raise_error(F.lit("a product of more than 38 digits")).cast(WIDE)
+    stats = stats.withColumn("__prod", F.when(F.col("__zeros") >= 2, F.lit(0).cast(WIDE)).when(
+        F.col("__digits") >= 38.5, too_long).otherwise(F.coalesce(signed, too_long))).select(*g, "__zeros", "__prod", "__n")
     # one row per group: broadcast when checked small, else a join whose hot groups
     # are salted (AQE cannot split an aggregate joined back to its rows)
     joined = join_back(rows, stats, g, "__n", "inner", limit=broadcast_limit, hot_rows=hot_rows)
     z, p = F.col("__zeros"), F.col("__prod")
-    exact = F.abs(p) <= F.lit(float(EXACT_DOUBLE_INT))
-    res = (
-        F.when((z == 0) & exact, (p / v.cast("double")).cast("bigint"))
-        .when((z == 1) & (v == 0) & exact, p.cast("bigint"))
-        .when((z >= 2) | ((z == 1) & (v != 0)), F.lit(0).cast("bigint"))
-    )
+    res = (F.when((z >= 2) | ((z == 1) & ~F.coalesce(v == 0, F.lit(False))), F.lit(0).cast(WIDE))
+           .when((z == 1) | v.isNull(), p)
+           .otherwise(F.expr(f"CAST(`__prod` DIV CAST(`{value}` AS {WIDE}) AS {WIDE})")))
     return joined.withColumn(out, res).drop("__zeros", "__prod")
 
 
@@ -63,9 +76,13 @@ def sorted_distinct(rows: DataFrame, group: Sequence[str], item: str, out: str)
     return rows.groupBy(*group).agg(F.sort_array(F.collect_set(item)).alias(out))
 
 
-def ordered_list_text(rows: DataFrame, group: Sequence[str], item: str, sep: str, out: str) -> DataFrame:
-    """``string_agg(x, sep ORDER BY x)`` per group — meant for bounded groups (catalog columns)."""
-    return rows.groupBy(*group).agg(F.array_join(F.sort_array(F.collect_list(item)), sep).alias(out))
+def ordered_list_text(rows: DataFrame, group: Sequence[str], item: str, sep: str, out: str,
+                      by: str | None = None) -> DataFrame:
+    """``string_agg(x, sep ORDER BY by)`` per group (by the item itself without ``by``). The result is
+    one text a group, so groups are as small as that text: the columns of a table, say."""
+    pair = F.struct(F.col(by or item).alias("by"), F.col(item).alias("item"))
+    items = F.transform(F.sort_array(F.collect_list(pair)), lambda x: x["item"])
+    return rows.groupBy(*group).agg(F.array_join(items, sep).alias(out))
 
 
 def first_last_seen(rows: DataFrame, group: Sequence[str], ts: str) -> DataFrame:

@@ -18,7 +18,7 @@ def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df`` (an upper bound for scans + filters), or None."""
     try:
         return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # Spark Connect or an unexpected plan: let AQE decide
+    except AttributeError:  # Spark Connect has no plan object: let AQE decide
         return None
 
 
@@ -36,18 +36,6 @@ def maybe_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT,
     return df
 
 
-def broadcast_if_rows_at_most(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
-
-    For sides made small by a selective filter (a name lookup), where the optimizer's
-    estimate still shows the whole table. The proof is a capped count
-    (``limit(max_rows + 1)``), which stops early; above the bound the join stays a
-    shuffle join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def join_dimension(
     fact: DataFrame,
     dim: DataFrame,
@@ -67,13 +55,18 @@ def panel_join(panels: Sequence[DataFrame], keys: Sequence[str], how: str = "inn
     return reduce(lambda a, b: a.join(b, list(keys), how), panels)
 
 
+def _keyed(df: DataFrame, columns: Sequence[str | Column], out: str = "__key") -> DataFrame:
+    """Add the join key as ONE struct column. Spark then partitions by the whole key, whatever
+    ``spark.sql.requireAllClusterKeysForCoPartition`` says, and NULL parts equal each other."""
+    return df.withColumn(out, F.struct(*[F.col(c) if isinstance(c, str) else c for c in columns]))
+
+
 def latest_rows(
     rows: DataFrame,
     entity: str,
     ts: str,
     qualifies: Column,
     label: str | None = None,
-    **join_back_options,
 ) -> DataFrame:
     """Rows of each entity whose ``ts`` equals the entity's latest qualifying ``ts``.
 
@@ -82,7 +75,7 @@ def latest_rows(
     decorrelated form of ``WHERE ts = (SELECT max(ts) ... WHERE <qualifies> AND
     entity = outer.entity)``; see ``latest_rows_multi``.
     """
-    out = latest_rows_multi(rows, entity, ts, {label or "_": qualifies}, **join_back_options)
+    out = latest_rows_multi(rows, entity, ts, {label or "_": qualifies})
     return out if label else out.drop("branch")
 
 
@@ -92,31 +85,23 @@ def latest_rows_multi(
     ts: str,
     branches: dict[str, Column],
     branch_col: str = "branch",
-    **join_back_options,
 ) -> DataFrame:
     """``latest_rows`` for several predicates with ONE aggregation pass over ``rows``.
 
     Result: the matching rows, each tagged with the branch whose maximum it equals
-    (a row can belong to several branches). The per-entity maxima (and row count)
-    come from one partial aggregation; they are joined back by entity through
-    ``join_back``, so an entity holding a third of all rows is salted over many
-    tasks instead of filling one.
+    (a row can belong to several branches). The maxima come from one partial
+    aggregation; they are joined to the rows by (entity, timestamp), so an entity
+    that holds a third of all rows is spread over tasks by its timestamps.
     """
     names = list(branches)
     maxima = rows.groupBy(entity).agg(
-        *[F.max(F.when(branches[n], F.col(ts))).alias(f"__m{i}") for i, n in enumerate(names)],
-        F.count(F.lit(1)).alias("__n"),
-    )
+        *[F.max(F.when(branches[n], F.col(ts))).alias(f"__m{i}") for i, n in enumerate(names)])
     pairs = F.array(*[
         F.struct(F.lit(n).alias(branch_col), F.col(f"__m{i}").alias("__w")) for i, n in enumerate(names)
     ])
-    winners = (
-        maxima.select(entity, "__n", F.explode(pairs).alias("__p"))
-        .select(entity, "__n", F.col(f"__p.{branch_col}").alias(branch_col), F.col("__p.__w").alias("__w"))
-        .filter(F.col("__w").isNotNull())
-    )
-    joined = join_back(rows, winners, [entity], "__n", "inner", rows_per_key=len(names), **join_back_options)
-    return joined.filter(F.col(ts) == F.col("__w")).drop("__w")
+    winners = maxima.where(F.col(entity).isNotNull()).select(entity, F.inline(pairs)).filter(F.col("__w").isNotNull())
+    winners = _keyed(winners, [entity, "__w"]).select("__key", branch_col)
+    return _keyed(rows, [entity, ts]).join(winners, "__key", "inner").drop("__key")
 
 
 def first_pair_with_sum(
@@ -167,8 +152,7 @@ def first_pair_with_sum(
 # inputs come straight from a shuffle; joining per-key statistics back to their own
 # rows puts an aggregate on one side, so a hot key would stay in one task.
 HOT_KEY_ROWS = 1_000_000      # a key with more rows than this is split
-MAX_HOT_KEYS = 1024           # bound on the broadcast hot-key table (a top-k)
-MAX_SALT = 512                # at most this many slices per hot key
+HOT_KEYS = 100_000            # a key is hot only with more than this fraction of all rows
 
 
 def join_back(
@@ -179,37 +163,37 @@ def join_back(
     how: str = "inner",
     limit: int = DEFAULT_BROADCAST_LIMIT,
     hot_rows: int = HOT_KEY_ROWS,
-    max_hot_keys: int = MAX_HOT_KEYS,
-    max_salt: int = MAX_SALT,
     rows_per_key: int = 1,
 ) -> DataFrame:
     """Join per-key statistics (``rows_per_key`` rows per key at most, each with the
-    key's row count in ``count_col``) back to the rows they were computed from.
-
-    Small statistics are broadcast after the size check. Otherwise the keys with
-    more than ``hot_rows`` rows (the ``max_hot_keys`` largest: a bounded top-k,
-    broadcast) are salted: their rows get a deterministic salt in
-    ``[0, ceil(n / hot_rows))`` from a hash of the row, and only their statistics
-    row is replicated once per salt. Other keys keep salt 0, so nothing else is
-    copied.
+    key's row count in ``count_col``) back to the rows they were computed from. NULL
+    keys meet their own statistics.
+
+    Small statistics are broadcast after the size check. Otherwise every key with
+    more rows than ``hot_rows`` and than a ``HOT_KEYS``-th of all rows is salted: its
+    rows get a slice in ``[0, ceil(n / threshold))`` from a hash of the row and a
+    random number (repeated rows spread too), and only its statistics are copied once a
+    slice. There are fewer than ``HOT_KEYS`` such keys, whatever the data, so their list is
+    broadcast; a key below the threshold fits a task.
     """
     k = list(keys)
-    plain = stats.drop(count_col)
+    plain = _keyed(stats, k).drop(count_col, *k)
     # statistics hold at most ``rows_per_key`` rows per key of ``rows``, each a few
     # values wide, so 2 x rows_per_key x the rows' estimate also bounds them (the
     # optimizer's own estimate for joined aggregates is a loose product)
     own, base = estimated_bytes(plain), estimated_bytes(rows)
+    keyed = _keyed(rows, k)
     if (own is not None and own <= limit) or (base is not None and 2 * rows_per_key * base <= limit):
-        return rows.join(F.broadcast(plain), k, how)
-    hot = (stats.filter(F.col(count_col) > hot_rows)
-           .orderBy(F.col(count_col).desc()).limit(max_hot_keys)
-           .select(*k, F.least(F.lit(max_salt), F.ceil(F.col(count_col) / hot_rows)).cast("int").alias("__salts")))
-    hot = F.broadcast(hot)  # at most max_hot_keys rows
-    salted_rows = rows.join(hot, k, "left").withColumn(
-        "__salt", F.when(F.col("__salts").isNull(), F.lit(0))
-        .otherwise(F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.col("__salts"))).cast("int"),
-    ).drop("__salts")
-    salted_stats = plain.join(hot, k, "left").select(
-        "*", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1)).alias("__salt"),
-    ).drop("__salts")
-    return salted_rows.join(salted_stats, [*k, "__salt"], how).drop("__salt")
+        return keyed.join(F.broadcast(plain), "__key", how).drop("__key")
+    counts = _keyed(stats, k).groupBy("__key").agg(F.max(count_col).alias("__n"))
+    total = counts.select(F.sum("__n").alias("t")).scalar()
+    threshold = F.greatest(F.lit(hot_rows), F.coalesce(total, F.lit(0)) / HOT_KEYS)
+    hot = F.broadcast(counts.where(F.col("__n") > threshold).select(
+        "__key", F.ceil(F.col("__n") / threshold).cast("int").alias("__slices")))
+    salted_rows = keyed.join(hot, "__key", "left")
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]) + F.floor(F.rand(1) * 1024), F.col("__slices"))
+    salted_rows = _keyed(salted_rows, ["__key", F.coalesce(spread, F.lit(0)).cast("int").alias("salt")], "__salted")
+    salted_stats = plain.join(hot, "__key", "left").withColumn(
+        "__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__slices"), F.lit(1)) - 1)))
+    salted_stats = _keyed(salted_stats, ["__key", F.col("__salt").alias("salt")], "__salted").drop("__key", "__slices", "__salt")
+    return salted_rows.drop("__key", "__slices").join(salted_stats, "__salted", how).drop("__salted")

@@ -40,7 +40,6 @@ def master_from_part(t: Tables) -> DataFrame:
 # that splits the real store into panels). Small, so queries span two panels.
 PANEL_WIDTH = 3
 METRIC_TYPE = "decimal(18,2)"
-_CATALOG_CACHE: dict[tuple[int, str], list[tuple]] = {}
 
 
 def metric_catalog(t: Tables, panel_width: int = PANEL_WIDTH) -> DataFrame:
@@ -73,10 +72,8 @@ def metric_store(t: Tables):
     from tessera.plans.metrics import MetricStore
 
     cat = metric_catalog(t)
-    key = (id(t.spark), t.data_dir)
-    if key not in _CATALOG_CACHE:  # one row per metric: tiny
-        _CATALOG_CACHE[key] = [tuple(r) for r in cat.select("name", "table_name", "explain").collect()]
-    rows = _CATALOG_CACHE[key]
+    # one row per metric: the columns of the panels, as many as a table's columns can be
+    rows = [tuple(r) for r in cat.orderBy("metric_id").select("name", "table_name", "explain").collect()]
     ev = t.events
     panels = {}
     for table in sorted({r[1] for r in rows}):
@@ -145,15 +142,9 @@ def addresses_from_customer(t: Tables) -> DataFrame:
 
 
 def channel_branches():
-    from tessera.plans.channels import Branch
-
-    mobile = (F.col("comm_medium_cd") == "Phone") & ~F.col("addr").startswith(LANDLINE_PREFIX)
-    return [
-        Branch("email", F.col("todo_cd") == EMAIL_TYPE, F.col("comm_medium_cd") == "Email"),
-        Branch("sms", (F.col("todo_cd") == SMS_TYPE) & (F.col("stat") == SMS_DELIVERED), mobile),
-        Branch("call", (F.col("comments_long") != "") & (F.col("todo_cd") == CALL_TYPE)
-               & (F.col("stat") != CALL_BAD_NUMBER), mobile),
-    ]
+    from tessera.plans.channels import report_branches
+
+    return report_branches(EMAIL_TYPE, SMS_TYPE, SMS_DELIVERED, CALL_TYPE, CALL_BAD_NUMBER, LANDLINE_PREFIX)
 
 
 def order_metric_store(t: Tables):

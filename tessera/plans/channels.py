@@ -99,12 +99,15 @@ BAD_NUMBER = "Неверный номер"
 LANDLINE_PREFIX = "734"
 
 
-def original_branches() -> list[Branch]:
-    """E-mail, delivered SMS and commented campaign calls (not to a bad number)."""
-    mobile = (F.col("comm_medium_cd") == "Phone") & ~F.col("addr").startswith(LANDLINE_PREFIX)
+def report_branches(email: str, sms: str, delivered: str, call: str, bad_number: str, landline: str) -> list[Branch]:
+    """E-mail, delivered SMS and commented calls (not to a bad number), for given codes."""
+    mobile = (F.col("comm_medium_cd") == "Phone") & ~F.col("addr").startswith(landline)
     return [
-        Branch("email", F.col("todo_cd") == EMAIL_TYPE, F.col("comm_medium_cd") == "Email"),
-        Branch("sms", (F.col("todo_cd") == SMS_TYPE) & (F.col("stat") == SMS_DELIVERED), mobile),
-        Branch("call", (F.col("comments_long") != "") & (F.col("todo_cd") == CAMPAIGN_CALL_TYPE)
-               & (F.col("stat") != BAD_NUMBER), mobile),
+        Branch("email", F.col("todo_cd") == email, F.col("comm_medium_cd") == "Email"),
+        Branch("sms", (F.col("todo_cd") == sms) & (F.col("stat") == delivered), mobile),
+        Branch("call", (F.col("comments_long") != "") & (F.col("todo_cd") == call) & (F.col("stat") != bad_number), mobile),
     ]
+
+
+def original_branches() -> list[Branch]:
+    return report_branches(EMAIL_TYPE, SMS_TYPE, SMS_DELIVERED, CAMPAIGN_CALL_TYPE, BAD_NUMBER, LANDLINE_PREFIX)

@@ -25,15 +25,11 @@ from tessera.functions.timeparts import ALL_BUCKET_TIME, BUCKET_UNITS, ntz_liter
 from tessera.operators.aggregates import first_last_seen
 from tessera.operators.joins import (
     DEFAULT_BROADCAST_LIMIT,
-    broadcast_if_rows_at_most,
     join_dimension,
     maybe_broadcast,
     panel_join,
 )
 
-# A name lookup is broadcast against the panel only when it matches at most this many people.
-FIND_BROADCAST_ROWS = 1_000_000
-
 KEYS = ("customer_id", "metric_timestamp")
 PERSON_CODES = ("DY", "WK", "MO")
 CITY_CODES = ("DY", "WK", "MO", "ALL")
@@ -56,11 +52,11 @@ class MetricStore:
                     cities: DataFrame) -> "MetricStore":
         """Store over catalog tables (e.g. bucketed panels written by ``write_panel_tables``).
 
-        Bucketed panels share ``customer_id`` as their only bucket key; letting a join
-        on ``(customer_id, metric_timestamp)`` reuse that partitioning removes the
-        shuffle from the panel join.
+        Bucketed panels share ``customer_id`` as their only bucket key. A caller who sets
+        ``spark.sql.requireAllClusterKeysForCoPartition`` to false lets a join on
+        ``(customer_id, metric_timestamp)`` reuse that partitioning, without a shuffle; the
+        setting holds for the whole session, so it is left to the caller.
         """
-        spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
         return cls(catalog, {t: spark.table(n) for t, n in tables.items()}, people, cities)
 
     def catalog_rows(self) -> list:
@@ -166,9 +162,8 @@ def find_customer(store: MetricStore, last_name: str, first_name: str | None = N
     people = store.people.filter(cond).select("customer_id", "city_id", "last_name", "first_name")
     people = join_dimension(people, store.cities.select("city_id", F.col("name").alias("city")), "city_id", "inner")
     panel = store.panels[first_panel or sorted(store.panels)[0]].select(*KEYS)
-    # The optimizer cannot see how selective the name filter is; a capped count proves
-    # the bound, so the panel is not shuffled for a handful of people.
-    seen = panel.join(broadcast_if_rows_at_most(people, FIND_BROADCAST_ROWS), "customer_id", "inner")
+    # How few people a name leaves is seen at run time only: AQE then broadcasts them.
+    seen = panel.join(people, "customer_id", "inner")
     return first_last_seen(seen, ["city", "last_name", "first_name"], "metric_timestamp")
 
 

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.plans.bindings import master_from_part, sales_columns
+from tessera.functions.timeparts import parse_dmy_date
+from tessera.plans.bindings import PANEL_WIDTH, master_from_part, metric_catalog, order_metric_store, sales_columns
 from tessera.plans.registry import ORACLE_SQL, register
+from tessera.plans.sales import compute_house_sales, ensure_watermark, lookup_seed
 from tessera.session import scratch_dir
-from tessera.sinks.files import month_filter, write_monthly
-from tessera.sources.tables import Tables
+from tessera.sinks.files import append_csv, month_filter, write_monthly, write_watermark
+from tessera.sinks.tables import append_table, load_csv_table, write_lookup_csv
+from tessera.sources.files import read_lookup_csv, read_semicolon_csv
+from tessera.sources.tables import Tables, read_table
 from tessera.streaming.house_sales_stream import read_outputs, start_house_sales_stream
 from tessera.streaming.metric_ingest import daily_rollup, start_metric_ingest
 
@@ -25,19 +31,26 @@ MONTH = "1996-01-01"
 
 @register("stream_house_sales", None)
 def q_stream_house_sales(spark: SparkSession, d: str) -> DataFrame:
-    """The incremental rollup run as a stream over the lineitem file (one availableNow batch)."""
+    """The incremental rollup run as a stream over the lineitem table, its batches added up."""
     t = Tables(spark, d)
     work = scratch_dir(spark, "stream-house-sales")
+    write_watermark(spark, f"{work}/state", BELOW_ALL)
     q = start_house_sales_stream(
-        spark, d, t.lineitem.schema, sales_columns, lambda: master_from_part(Tables(spark, d)),
-        f"{work}/state", f"{work}/out", f"{work}/checkpoint", file_filter="lineitem.parquet")
+        spark, table_glob(d, "lineitem"), t.lineitem.schema, sales_columns, lambda: master_from_part(Tables(spark, d)),
+        f"{work}/state", f"{work}/out", f"{work}/checkpoint")
     q.awaitTermination()
-    return read_outputs(spark, f"{work}/out", RESULT_SCHEMA).select("sale_date", "house", "amount", "last_verstamp")
+    return read_outputs(spark, f"{work}/out", RESULT_SCHEMA).groupBy("sale_date", "house").agg(
+        F.sum("amount").alias("amount"), F.max("last_verstamp").alias("last_verstamp"))
+
+
+BELOW_ALL = "-0x1"  # the lowest stamp is zero, and the filter is strict
+ORACLE_SQL["stream_house_sales"] = ORACLE_SQL["house_sales"]
 
 
-# First run: the state starts at the zero stamp and the filter is strict.
-ORACLE_SQL["stream_house_sales"] = ORACLE_SQL["house_sales"].replace(
-    "WHERE p.p_brand IS NOT NULL", "WHERE s.verstamp > '0x00000000' AND p.p_brand IS NOT NULL")
+def table_glob(d: str, name: str) -> str:
+    """A pattern for the table's path, whether it is a file or a directory: a streaming source
+    takes a single file only by pattern."""
+    return f"{d.rstrip('/')}/{name}.parque[t]"
 
 
 @register("partitioned_write_read", f"""
@@ -62,7 +75,7 @@ def q_stream_metric_ingest(spark: SparkSession, d: str) -> DataFrame:
     """Events streamed into monthly panel partitions, then summed per person and day."""
     work = scratch_dir(spark, "metric-ingest")
     t = Tables(spark, d)
-    src = spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    src = spark.readStream.schema(t.events.schema).parquet(table_glob(d, "events"))
     rows = src.select(F.col("user_id").alias("customer_id"), F.col("ts").alias("metric_timestamp"),
                       F.col("value").cast("decimal(18,2)").alias("value"))
     q = start_metric_ingest(rows, f"{work}/panel", f"{work}/checkpoint")
@@ -71,17 +84,92 @@ def q_stream_metric_ingest(spark: SparkSession, d: str) -> DataFrame:
     return out.select("customer_id", "day", F.col("value_sum").cast("decimal(38,2)").alias("value_sum"))
 
 
-@register("synthetic_sales", None)
-def q_synthetic_sales(spark: SparkSession, d: str) -> DataFrame:
-    """Seeded sales deliveries: one day per distinct ship date, keys drawn from the parts.
+@register("sales_file_job", ORACLE_SQL["house_sales"])
+def q_sales_file_job(spark: SparkSession, d: str) -> DataFrame:
+    """The scheduled job over files: two CSV deliveries, the second after the first run, master data
+    as JSON lines; the stamped results read back and added up."""
+    t = Tables(spark, d)
+    work = scratch_dir(spark, "sales-job")
+    sales = sales_columns(t.lineitem).select(
+        F.col("stamp").alias("id"), F.col("character_id").cast("string").alias("character_id"), "sale_date", "amount", "verstamp")
+    master_from_part(t).select(F.col("character_id").cast("string").alias("id"), F.lit(None).cast("string").alias("name"),
+                               "house").write.json(f"{work}/master")
+    half = (sales.agg(F.max("id")).first()[0] or 0) // 2
+    write_watermark(spark, f"{work}/state", BELOW_ALL)
+    for delivery in (sales.where(F.col("id") <= half), sales.where(F.col("id") > half)):
+        append_csv(delivery, f"{work}/sales")
+        ensure_watermark(spark, f"{work}/state")
+        compute_house_sales(spark, f"{work}/state", f"{work}/sales", f"{work}/out", f"{work}/master", master_lines=True)
+    # a third run finds nothing new and writes nothing
+    compute_house_sales(spark, f"{work}/state", f"{work}/sales", f"{work}/out", f"{work}/master", master_lines=True)
+    return read_outputs(spark, f"{work}/out", RESULT_SCHEMA).groupBy("sale_date", "house").agg(
+        F.sum("amount").alias("amount"), F.max("last_verstamp").alias("last_verstamp"))
+
+
+@register("semicolon_load", """
+SELECT CAST(o_orderkey AS VARCHAR) AS order_key, o_orderstatus AS status, CAST(o_orderdate AS DATE) AS promo_date
+FROM orders
+""")
+def q_semicolon_load(spark: SparkSession, d: str) -> DataFrame:
+    """Orders exported as a spreadsheet (semicolons, index column without a name, day-first dates), loaded into
+    a named table in two parts and read from it."""
+    work, name = scratch_dir(spark, "semicolon"), f"orders_{uuid.uuid4().hex}"
+    o = Tables(spark, d).orders
+    export = o.select(F.monotonically_increasing_id().alias(" "), F.col("o_orderkey").alias("ORDER_KEY"), F.col("o_orderstatus").alias("Status"),
+                      F.date_format("o_orderdate", "dd.MM.yyyy").alias("PROMO_DATE"), F.lit("x").alias("UNUSED"))
+    first = F.col("o_orderkey") % 2 == 0
+    for part, rows in (("a", export.where(first)), ("b", export.where(~first))):
+        rows.write.option("sep", ";").option("header", True).csv(f"{work}/{part}")
+    load_csv_table(spark, f"{work}/a", name, drop=["UNUSED"], location=f"{work}/table")
+    append_table(read_semicolon_csv(spark, f"{work}/b").drop("unused"), name)
+    return read_table(spark, name, ["order_key", "status", "promo_date"]).withColumn("promo_date", parse_dmy_date("promo_date"))
+
+
+@register("lookup_roundtrip", """
+SELECT CAST(k.l_partkey AS VARCHAR) AS character_id, p_brand AS house
+FROM (SELECT DISTINCT l_partkey FROM lineitem) k LEFT JOIN part ON l_partkey = p_partkey
+""")
+def q_lookup_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct keys with an empty house, filled from the master data, written as a lookup file and read back."""
+    t = Tables(spark, d)
+    path = scratch_dir(spark, "lookup")
+    seed = lookup_seed(sales_columns(t.lineitem)).drop("house")
+    filled = seed.join(master_from_part(t), "character_id", "left")
+    write_lookup_csv(filled.select(F.col("character_id").cast("string").alias("character_id"), "house"), path)
+    return read_lookup_csv(spark, path)
+
+
+@register("catalog_schema", f"""
+WITH types AS (SELECT DISTINCT event_type FROM events WHERE event_type IS NOT NULL),
+cat AS (SELECT row_number() OVER (ORDER BY event_type) AS id FROM types),
+placed AS (SELECT id, CAST(floor((id - 1) / {PANEL_WIDTH}) AS BIGINT) + 1 AS panel FROM cat),
+panels AS (SELECT DISTINCT panel FROM placed)
+SELECT 'panel_' || panel AS table_name, 1 AS position, 'customer_id' AS column_name, 'bigint' AS data_type FROM panels
+UNION ALL SELECT 'panel_' || panel, 2, 'metric_timestamp', 'timestamp_ntz' FROM panels
+UNION ALL SELECT 'panel_' || panel, CAST(2 + id - (panel - 1) * {PANEL_WIDTH} AS INTEGER), 'metric_' || id, 'decimal(28,15)' FROM placed
+""")
+def q_catalog_schema(spark: SparkSession, d: str) -> DataFrame:
+    """The columns of the panel tables that the metric catalog asks for: each panel holds one id range, and its
+    (empty) table is made from the schema and described."""
+    from tessera.plans.generate import panel_schema
+
+    cat = metric_catalog(Tables(spark, d))
+    rows = [(r["name"], r["table_name"]) for r in cat.orderBy("metric_id").select("name", "table_name").collect()]
+    out = []
+    for table in dict.fromkeys(t for _, t in rows):
+        made = spark.createDataFrame([], panel_schema(rows, table))
+        out += [(table, i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(made.schema)]
+    return spark.createDataFrame(out, "table_name string, position int, column_name string, data_type string")
+
 
-    Random, so there is no SQL oracle; invariants are tested instead (rows per day,
-    strictly increasing ids and stamps, key domain).
-    """
-    import datetime as dt
+TOP_ROWS = 500
 
-    from tessera.plans.generate import synthetic_sales
 
-    t = Tables(spark, d)
-    days = t.lineitem.select(F.col("l_shipdate").cast("date")).distinct().count()
-    return synthetic_sales(spark, t.part.select("p_partkey"), "p_partkey", days, dt.date(2023, 1, 1), seed=42)
+@register("panel_top_rows", f"""
+SELECT o_custkey AS customer_id, o_orderdate AS metric_timestamp, CAST(o_totalprice AS DECIMAL(18,2)) AS metric_1
+FROM orders ORDER BY o_custkey, o_orderdate, o_totalprice LIMIT {TOP_ROWS}
+""")
+def q_panel_top_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The first rows of a panel by person and time: each task keeps its own first rows before they meet."""
+    panel = order_metric_store(Tables(spark, d)).panels["panel_1"]
+    return panel.orderBy("customer_id", "metric_timestamp", "metric_1").limit(TOP_ROWS)

@@ -62,20 +62,16 @@ def q_pair_sum(spark: SparkSession, d: str) -> DataFrame:
 
 
 @register("leave_one_out", """
-WITH r AS (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) % 5 AS v FROM lineitem),
-s AS (SELECT l_orderkey, SUM(CASE WHEN v = 0 THEN 1 ELSE 0 END) AS z,
-             COALESCE(product(CASE WHEN v <> 0 THEN CAST(v AS DOUBLE) END), 1.0) AS p
-      FROM r GROUP BY l_orderkey)
-SELECT r.l_orderkey, r.l_linenumber, r.v,
-       CAST(CASE WHEN s.z = 0 AND abs(s.p) <= 9007199254740992 THEN s.p / r.v
-                 WHEN s.z = 1 AND r.v = 0 AND abs(s.p) <= 9007199254740992 THEN s.p
-                 WHEN s.z >= 2 OR (s.z = 1 AND r.v <> 0) THEN 0 END AS BIGINT)
+WITH g AS (SELECT l_orderkey, list(CAST(l_quantity AS HUGEINT) ORDER BY l_linenumber) AS vs,
+                  list(l_linenumber ORDER BY l_linenumber) AS ns FROM lineitem GROUP BY l_orderkey),
+r AS (SELECT l_orderkey, vs, ns, unnest(range(1, len(vs) + 1)) AS i FROM g)
+SELECT l_orderkey, ns[i] AS l_linenumber, CAST(vs[i] AS BIGINT) AS v,
+       CAST(list_reduce(list_concat(vs[:i - 1], vs[i + 1:]), lambda a, b: a * b, CAST(1 AS HUGEINT)) AS DECIMAL(38, 0))
          AS product_except_self
-FROM r JOIN s USING (l_orderkey)
+FROM r
 """)
 def q_leave_one_out(spark: SparkSession, d: str) -> DataFrame:
-    li = Tables(spark, d).lineitem.select(
-        "l_orderkey", "l_linenumber", (F.col("l_quantity").cast("bigint") % 5).alias("v"))
+    li = Tables(spark, d).lineitem.select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("bigint").alias("v"))
     return A.leave_one_out_product(li, ["l_orderkey"], "v")
 
 
@@ -193,14 +189,13 @@ def q_panel_count(spark: SparkSession, d: str) -> DataFrame:
 
 @register("panel_columns", _CATALOG_SQL + f"""
 SELECT 'panel_' || CAST(CAST(floor((metric_id - 1) / {PANEL_WIDTH}) AS BIGINT) + 1 AS VARCHAR) AS table_name,
-       string_agg('metric_' || CAST(metric_id AS VARCHAR), ',' ORDER BY 'metric_' || CAST(metric_id AS VARCHAR))
-         AS columns
+       string_agg('metric_' || CAST(metric_id AS VARCHAR), ',' ORDER BY metric_id) AS columns
 FROM cat GROUP BY 1
 """)
 def q_panel_columns(spark: SparkSession, d: str) -> DataFrame:
-    """Column list of each panel (``string_agg(name, ',' ORDER BY name)`` over the catalog)."""
+    """Column list of each panel, in the order of the metric ids."""
     cat = metric_catalog(Tables(spark, d))
-    return A.ordered_list_text(cat, ["table_name"], "name", ",", "columns")
+    return A.ordered_list_text(cat, ["table_name"], "name", ",", "columns", by="metric_id")
 
 
 @register("hour_series", """

@@ -46,13 +46,16 @@ def build_session(master: str | None = None, app: str = "tessera", conf: dict |
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only set one when unset (tests)."""
+    """The cluster's shared ``spark.checkpoint.dir``. Only a local session, whose executor is the
+    driver, gets a folder of its own when it is unset."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = os.path.join(os.environ.get("TMPDIR", "/tmp"), "tessera-checkpoints")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

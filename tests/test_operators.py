@@ -42,8 +42,8 @@ def test_first_pair_matches_brute_force(spark):
 
 @pytest.mark.parametrize("values,expected", [([0, 0], [0, 0]), ([1, 2, 3, 4], [24, 12, 8, 6]),
                                              ([0, 0, 5], [0, 0, 0]), ([0, 1, 2], [2, 0, 0]), ([7], [1]),
-                                             ([2] * 60, [None] * 60),          # 2**59: beyond exact doubles
-                                             ([0] + [2] * 60, [None] + [0] * 60),
+                                             ([2] * 60, [2**59] * 60),          # beyond exact doubles
+                                             ([0] + [2] * 60, [2**60] + [0] * 60),
                                              ([2] * 53, [2**52] * 53)])
 def test_leave_one_out(spark, values, expected):
     out = leave_one_out_product(_indexed(spark, values), ["g"], "v").orderBy("i").collect()
@@ -163,3 +163,59 @@ def test_first_pair_salted_matches_brute_force(spark):
         if pairs:
             want[g] = min(pairs)
     assert got == want
+
+
+def test_leave_one_out_is_exact_beyond_doubles(spark):
+    import pytest as pt
+
+    rows = [(1, 10**6)] * 3 + [(2, 3), (2, 3002399751580331), (None, 2), (None, 5), (3, 0), (3, 0), (3, 7), (4, 0), (4, -3), (5, -2), (5, -7), (5, 1)]
+    df = spark.createDataFrame(rows, "g int, v long")
+    got = sorted(((r["g"], r["v"], int(r["product_except_self"])) for r in leave_one_out_product(df, ["g"], "v").collect()), key=str)
+    assert got == sorted([(1, 10**6, 10**12)] * 3 + [(2, 3, 3002399751580331), (2, 3002399751580331, 3), (None, 2, 5), (None, 5, 2), (3, 0, 0), (3, 0, 0),
+                         (3, 7, 0), (4, 0, -3), (4, -3, 0), (5, -2, -7), (5, -7, -2), (5, 1, 14)], key=str)
+    with pt.raises(Exception, match="38 digits"):
+        leave_one_out_product(spark.createDataFrame([(1, 10**9)] * 5, "g int, v long"), ["g"], "v").collect()
+    big = spark.range(500).select(F.lit(1).alias("g"), F.when(F.col("id") < 2, 0).otherwise(9).alias("v"))
+    assert {int(r[0]) for r in leave_one_out_product(big, ["g"], "v").select("product_except_self").collect()} == {0}
+
+
+def test_brackets_are_decided_in_the_jvm(spark):
+    from tessera.functions.text import is_balanced
+
+    cases = {"": True, "x": True, "()": True, "([a)]": False, "]": False, "{[x]}": True, "(" * 3000 + ")" * 3000: True, "()" * 5000 + "[": False,
+             ")(": False, "(]" + "[)": False}
+    df = spark.createDataFrame([*cases.items(), (None, None)], "s string, want boolean").withColumn("got", is_balanced("s"))
+    assert all(r["want"] == r["got"] for r in df.collect())
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_semicolon_first_column(spark, workdir):
+    from tessera.sources.files import read_semicolon_csv
+
+    for name, text in (("named", "KEY;VAL\na;1\n"), ("blank", ";KEY;VAL\n0;a;1\n"), ("bom", "\ufeff;KEY;VAL\n0;a;1\n")):
+        with open(f"{workdir}/{name}.csv", "w", encoding="utf-8") as f:
+            f.write(text)
+        df = read_semicolon_csv(spark, f"{workdir}/{name}.csv")
+        assert df.columns == ["key", "val"] and [tuple(r) for r in df.collect()] == [("a", "1")]
+
+
+def test_panel_columns_follow_metric_ids(spark):
+    from tessera.operators.aggregates import ordered_list_text
+    from tessera.plans.generate import metric_catalog_range
+
+    got = ordered_list_text(metric_catalog_range(spark, 12, 1600), ["table_name"], "name", ",", "columns", by="metric_id").collect()
+    assert [r["columns"] for r in got] == [",".join(f"metric_{i}" for i in range(1, 13))]
+
+
+def test_catalog_changes_are_seen(spark, workdir):
+    from tessera.plans.bindings import metric_store
+    from tessera.sources.tables import Tables
+
+    from conftest import SF001
+
+    for name in ("events", "customer", "nation"):
+        spark.read.parquet(f"{SF001}/{name}.parquet").write.parquet(f"{workdir}/{name}.parquet")
+    before = len(metric_store(Tables(spark, workdir)).catalog_rows())
+    ev = spark.read.parquet(f"{SF001}/events.parquet").limit(3).withColumn("event_type", F.lit("zz_new"))
+    ev.write.mode("append").parquet(f"{workdir}/events.parquet")
+    assert len(metric_store(Tables(spark, workdir)).catalog_rows()) == before + 1

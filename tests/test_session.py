@@ -14,3 +14,21 @@ def test_scratch_is_under_the_checkpoint_dir(spark):
     root = ensure_checkpoint_dir(spark)
     a, b = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert a.startswith(root.rstrip("/")) and b.startswith(root.rstrip("/")) and a != b
+
+
+def test_a_cluster_needs_a_shared_folder():
+    import pytest
+
+    class Conf(dict):
+        get = dict.get
+
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(Conf)
+
+    class Session:
+        sparkContext, conf = Context, Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session)

@@ -57,7 +57,6 @@ def test_hot_client_report_is_exact_and_spread(spark):
             spark.conf.set(k, v)
         df = C.latest_channel_report(base, contact, addr, branches)
         got = sorted(map(tuple, df.collect()))
-        final = df._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in old.items():
             if v is None:
@@ -92,8 +91,54 @@ def test_hot_group_leave_one_out_is_salted_and_exact(spark):
             else:
                 spark.conf.set(k, v)
     assert got == want
-    # the hot group (10,000 rows) is joined in five salted slices
-    assert "__salt" in final and "xxhash64" in final
+    # the hot group (10,000 rows) is joined in five slices, under either value of the setting
+    assert "__salted" in final
+    for value in ("true", "false"):
+        spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", value)
+        try:
+            df = leave_one_out_product(rows, ["g"], "v", broadcast_limit=0, hot_rows=2000)
+            assert "hashpartitioning(__salted" in _shuffled_plan(spark, df)
+        finally:
+            spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
+
+
+def test_join_back_spreads_hot_keys_and_keeps_null_keys(spark):
+    """The largest slice of the hot key stays near the threshold; rows of the NULL key keep their statistics."""
+    from tessera.operators.joins import join_back
+
+    rows = spark.range(12000).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 3).alias("g"), F.lit(1).alias("same"))
+    stats = rows.groupBy("g").agg(F.count("*").alias("n"), F.sum("same").alias("total"))
+    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    try:
+        for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.set(k, "-1")
+        out = join_back(rows, stats, ["g"], "n", limit=0, hot_rows=500)
+        assert out.columns == ["g", "same", "total"]
+        assert {tuple(r) for r in out.groupBy("g", "total").count().collect()} == {(None, 4000, 4000), (1, 4000, 4000), (2, 4000, 4000)}
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        sizes = join_back(rows, stats, ["g"], "n", limit=0, hot_rows=500).groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in sizes) < 6000 and len(sizes) > 4
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _shuffled_plan(spark, df):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return df.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def _joins_on_whole_key(spark, df):
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    try:
+        return "hashpartitioning(__key" in _shuffled_plan(spark, df)
+    finally:
+        spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
 
 
 def test_hot_client_latest_rows_salted(spark):
@@ -103,9 +148,7 @@ def test_hot_client_latest_rows_salted(spark):
     want = sorted(map(tuple, base.join(
         base.filter(branches[0].qualifies).groupBy("con_id").agg(F.max("created").alias("created")),
         ["con_id", "created"]).collect()))
-    # statistics never broadcast, hot = over 2,000 rows: the HOT client (10,000 rows) is salted
-    df = J.latest_rows(base, "con_id", "created", branches[0].qualifies, limit=0, hot_rows=2000)
+    df = J.latest_rows(base, "con_id", "created", branches[0].qualifies)
     got = sorted(map(tuple, df.select(*base.columns).collect()))
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert got == want
-    assert "__salt" in plan
+    assert _joins_on_whole_key(spark, df)
