@@ -346,6 +346,59 @@ def finish(pdf: pd.DataFrame) -> pd.DataFrame:
         "train_tokens": np.full(n, total, np.int64), "base_score": base - tokens * np.log10(total + words + 1), "score": score})
 
 
+def _shared(cut: DataFrame, hot: np.ndarray, n_buckets: int, s: Settings) -> DataFrame:
+    """One row a bucket with the summed counts of counts. They are as many numbers as ``count_columns``."""
+    width = count_columns(hot, s)
+
+    def stats(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"place": np.arange(width), "n": counts_of_counts(pdf, hot, s)})
+
+    summed = cut.groupBy("bucket").applyInPandas(stats, "place int, n long").groupBy("place").agg(F.sum("n").alias("n"))
+    summed = summed.groupBy().agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "n"))), lambda x: x["n"]).alias("sums"))
+    return summed.select("sums", F.explode(F.sequence(F.lit(0), F.lit(n_buckets - 1))).alias("bucket"))
+
+
+def store(docs: DataFrame, held_out: Column, n_buckets: int, path: str, s: Settings = Settings()) -> None:
+    """The model as tables under ``path``, each partitioned by bucket: ``pairs`` (h, w, count, discounted),
+    ``words`` (w, count, log10_p; w null: the class of unseen words) and ``histories`` (h, count,
+    log10_alpha). Words and histories are named by ``token_digest``, END and START. Then P(w | h) is
+    discounted / count(h) for a pair of the table, else alpha(h) * P(w)."""
+    hot = hot_words(docs, s)
+    cut = blocks(docs, held_out, hot, n_buckets, s)
+
+    def rows(pdf: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
+        columns = ["bucket", "kind", "h", "w", "count", "value", "lower"]
+        bucket, m = int(shared["bucket"].iat[0]), Counts.of(np.asarray(shared["sums"].iat[0]), hot, s)
+        parts = []
+        if len(pdf):
+            b = Bucket(pdf, hot)
+            c1 = b.c1.copy()
+            c1[b.hot] = m.hot_counts[np.searchsorted(hot, b.words[b.hot])]
+            seen, p1, here = np.flatnonzero(b.c2), m.p1(c1), np.flatnonzero((c1 > 0) & ~b.hot)
+            parts.append(pd.DataFrame({"kind": "pair", "h": b.h[seen], "w": b.w[seen], "count": b.c2[seen], "value": discounted(b.c2[seen], m.pairs),
+                                       "lower": p1[b.word[seen]]}))
+            parts.append(pd.DataFrame({"kind": "word", "h": 0, "w": b.words[here], "count": c1[here], "value": np.log10(p1[here]), "lower": 0.0}))
+        if bucket == 0:  # hot words are spread over buckets: one names them all, and the unseen class
+            n = np.flatnonzero(m.hot_counts)
+            parts.append(pd.DataFrame({"kind": "word", "h": 0, "w": hot[n], "count": m.hot_counts[n], "value": np.log10(m.p1(m.hot_counts[n])), "lower": 0.0}))
+            parts.append(pd.DataFrame([{"kind": "unseen", "h": 0, "w": 0, "count": 0, "value": m.unseen, "lower": 0.0}]))
+        parts = [x for x in parts if len(x)]
+        if not parts:
+            return pd.DataFrame(columns=columns)
+        return pd.concat(parts, ignore_index=True).assign(bucket=bucket)[columns].astype({"h": np.int64, "w": np.int64, "count": np.int64})
+
+    grouped = cut.groupBy("bucket").cogroup(_shared(cut, hot, n_buckets, s).groupBy("bucket"))
+    made = written(grouped.applyInPandas(rows, "bucket int, kind string, h long, w long, count long, value double, lower double"), "katz-model")
+    pairs = made.where("kind = 'pair'")
+    pairs.select("bucket", "h", "w", "count", F.col("value").alias("discounted")).write.partitionBy("bucket").parquet(f"{path}/pairs")
+    words = made.where("kind <> 'pair'").select("bucket", F.when(F.col("kind") == "word", F.col("w")).alias("w"), "count", F.col("value").alias("log10_p"))
+    words.write.partitionBy("bucket").parquet(f"{path}/words")
+    sums = pairs.groupBy("h").agg(F.sum("count").alias("count"), F.sum("value").alias("seen"), F.sum("lower").alias("lower"))
+    alpha = F.log10((1 - F.col("seen") / F.col("count")) / (1 - F.col("lower")))
+    sums.select(F.pmod(F.xxhash64("h"), F.lit(n_buckets)).cast("int").alias("bucket"), "h", "count", alpha.alias("log10_alpha")).write.partitionBy(
+        "bucket").parquet(f"{path}/histories")
+
+
 def bucket_count(docs: DataFrame, s: Settings = Settings()) -> int:
     """Buckets of words for about ``bucket_tokens`` tokens each, from the number of characters."""
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -358,16 +411,9 @@ RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 def scores(docs: DataFrame, held_out: Column, n_buckets: int, s: Settings = Settings()) -> DataFrame:
     """Scores of every row of ``docs``; the model learns from those where ``held_out`` is false."""
     hot = hot_words(docs, s)
-    width = count_columns(hot, s)
     cut = blocks(docs, held_out, hot, n_buckets, s)
-
-    def stats(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"place": np.arange(width), "n": counts_of_counts(pdf, hot, s)})
-
-    # One plan: both readings of the blocks share one shuffle. Sums are ``width`` rows, then one row a bucket.
-    summed = cut.groupBy("bucket").applyInPandas(stats, "place int, n long").groupBy("place").agg(F.sum("n").alias("n"))
-    summed = summed.groupBy().agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "n"))), lambda x: x["n"]).alias("sums"))
-    shared = summed.select("sums", F.explode(F.sequence(F.lit(0), F.lit(n_buckets - 1))).alias("bucket"))
+    # One plan: both readings of the blocks, for counts and for scores, share one shuffle.
+    shared = _shared(cut, hot, n_buckets, s)
 
     def score(pdf: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
         if not len(pdf):

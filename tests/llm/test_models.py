@@ -102,6 +102,29 @@ def test_katz_against_brute_force(spark, case):
         assert math.isclose(r["base_score"], base, abs_tol=1e-8) and math.isclose(r["score"], score, abs_tol=1e-7)
 
 
+def test_katz_tables_evaluate_to_the_same_scores(spark, workdir):
+    docs = table(spark, SF001, "documents").select("doc_id", "text").limit(120)
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    held = F.col("doc_id") % 5 == 2
+    small = katz.Settings(batch_tokens=5000, hot_sample=30)
+    katz.store(docs, held, 6, workdir, small)
+    read = lambda name: spark.read.parquet(f"{workdir}/{name}").collect()
+    pairs = {(r["h"], r["w"]): r["discounted"] for r in read("pairs")}
+    words = {r["w"]: r["log10_p"] for r in read("words")}
+    past = {r["h"]: r for r in read("histories")}
+    assert len(pairs) == spark.read.parquet(f"{workdir}/pairs").count() and len(words) == spark.read.parquet(f"{workdir}/words").count()
+    scores = {r["doc_id"]: r["score"] for r in katz.scores(docs, held, 6, small).collect()}
+    for r in docs.collect():
+        total, h = 0.0, katz.START
+        for w in [*map(katz.token_digest, r["text"].encode().lower().split()), katz.END]:
+            if (h, w) in pairs:
+                total += math.log10(pairs[h, w] / past[h]["count"])
+            else:
+                total += (past[h]["log10_alpha"] if h in past else 0.0) + words.get(w, words[None])
+            h = w
+        assert math.isclose(total, scores[r["doc_id"]], abs_tol=1e-6)
+
+
 def test_katz_empty_table(spark):
     assert katz.scores(spark.createDataFrame([], "doc_id long, text string"), F.lit(False), 4).collect() == []
 
