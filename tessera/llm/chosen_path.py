@@ -44,7 +44,7 @@ class Settings:
     percent: int = 75  # least similarity
     width: int = 64  # minwise tokens of a sketch
     trees: int = 12
-    small: int = 20
+    small: int = 12
     depth: int = 12
     screen: float = 0.5
     seed: int = 7
@@ -57,7 +57,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 class Shingler:
     def __init__(self, s: Settings):
-        self.s, self.cache = s, Interned(digest64, 600_000)
+        self.s, self.cache = s, Interned(digest64, 400_000)
         rng = np.random.default_rng(s.seed)
         self.donors = rng.integers(0, s.width, (s.width, 40 * s.width))  # densification: one sequence a bin
 
@@ -93,17 +93,20 @@ class Shingler:
 
 
 def shingled(docs: DataFrame, s: Settings) -> DataFrame:
-    """``doc_id, n_shingles, node, sketch``; ``node`` digests the whole set, null for an empty one."""
+    """``doc_id, n_shingles, node, sketch, brief``; ``node`` digests the whole set, null for an empty one;
+    ``brief`` is the lowest byte of each token, enough to screen pairs."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = Shingler(s)
         for pdf in batches(frames, 512):
             sets = [own.shingles(t) for t in pdf["text"]]
+            sketches = [own.sketch(x) if len(x) else None for x in sets]
             yield pd.DataFrame({
                 "doc_id": pdf["doc_id"].astype("Int64"), "n_shingles": [len(x) for x in sets],
                 "node": pd.array([digest64(x.tobytes()) - (1 << 63) if len(x) else None for x in sets], dtype="Int64"),
-                "sketch": [own.sketch(x).tobytes() if len(x) else None for x in sets]})
+                "sketch": [None if k is None else k.tobytes() for k in sketches],
+                "brief": [None if k is None else k.astype(np.uint8).tobytes() for k in sketches]})
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
-        run, "doc_id long, n_shingles long, node long, sketch binary")
+        run, "doc_id long, n_shingles long, node long, sketch binary, brief binary")
 
 
 def _choice(paths: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -154,9 +157,10 @@ def _screened(pairs: DataFrame, nodes: DataFrame, s: Settings) -> DataFrame:
     """Distinct pairs ``a, b`` whose sketches agree enough and whose sizes allow the similarity."""
     @F.pandas_udf(T.DoubleType())
     def agreement(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series((_matrix(x, s.width) == _matrix(y, s.width)).mean(1)) if len(x) else pd.Series([], dtype=float)
+        cells = lambda z: np.frombuffer(b"".join(z), np.uint8).reshape(-1, s.width)
+        return pd.Series((cells(x) == cells(y)).mean(1)) if len(x) else pd.Series([], dtype=float)
 
-    side = lambda n: nodes.select(F.col("node").alias(n), F.col("sketch").alias(f"s{n}"), F.col("n_shingles").alias(f"n{n}"))
+    side = lambda n: nodes.select(F.col("node").alias(n), F.col("brief").alias(f"s{n}"), F.col("n_shingles").alias(f"n{n}"))
     both = pairs.distinct().join(side("b"), "b").join(side("a"), "a")
     sized = both.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * s.percent)
     return sized.withColumn("like", agreement("sa", "sb")).where(F.col("like") >= s.screen).select("a", "b")
@@ -246,7 +250,7 @@ def classes(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row."""
     rows = written(shingled(docs, s), "near-sketches")
     own = rows.where("node is not null and doc_id is not null")
-    nodes = written(own.groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"),
+    nodes = written(own.groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"), F.first("brief").alias("brief"),
                                             F.first("n_shingles").alias("n_shingles")), "near-nodes")
     group = components(written(links(docs, nodes, s), "near-all"))
     named = nodes.select("node", "rep").join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
