@@ -54,6 +54,18 @@ def test_monthly_partitions_prune(spark, workdir):
     assert "PartitionFilters: [isnotnull(month" in plan
 
 
+def test_monthly_write_makes_few_files(spark, workdir):
+    """A file for each month and needed split, also when small partitions are not merged."""
+    days = spark.range(0, 15000, numPartitions=16).select("id", F.date_add(F.lit(dt.date(2018, 1, 1)), (F.col("id") % 2430).cast("int")).cast("timestamp_ntz").alias("ts"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_monthly(days, f"{workdir}/m", "ts", sort_within=["id"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = [f for _, _, fs in os.walk(f"{workdir}/m") for f in fs if f.endswith(".parquet")]
+    assert len(files) == 80 and spark.read.parquet(f"{workdir}/m").count() == 15000
+
+
 def test_wide_scan_reads_only_requested_columns(spark, workdir):
     cat = G.metric_catalog_range(spark, 60, 1600)
     rows = [(r["name"], r["table_name"]) for r in cat.collect()]
