@@ -46,8 +46,8 @@ REPLICAS = 16  # history buckets over which a hot history's uses are spread
 @dataclass(frozen=True)
 class Settings:
     cutoff: int = 5
-    batch_tokens: int = 3_000_000  # tokens of the documents handled together
-    bucket_tokens: int = 3_000_000  # about as many in a bucket of words
+    batch_tokens: int = 1_500_000  # tokens of the documents handled together
+    bucket_tokens: int = 2_500_000  # about as many in a bucket of words
     max_hot: int = 400  # bound on the words that are spread over buckets
     hot_share: float = 0.002
     hot_sample: int = 2000  # documents read for them
@@ -117,9 +117,10 @@ def blocks(docs: DataFrame, held: Column, hot: np.ndarray, buckets: int, s: Sett
         h = np.concatenate(([START], w[:-1]))
         h[np.concatenate(([0], np.cumsum(sizes)[:-1]))] = START
         doc = np.repeat(np.arange(len(texts), dtype=np.int16), sizes)
-        bucket = _spread(hot, w, h, buckets)
+        bucket = _spread(hot, w, h, buckets).astype(np.int32)
         order = np.lexsort((h, w, bucket))
         w, h, doc, bucket = w[order], h[order], doc[order], bucket[order]
+        del order
         new_w = np.concatenate(([True], (w[1:] != w[:-1]) | (bucket[1:] != bucket[:-1])))
         new_pair = new_w | np.concatenate(([True], h[1:] != h[:-1]))
         pair_at, cuts = np.flatnonzero(new_pair), np.searchsorted(bucket, np.arange(buckets + 1))
@@ -137,7 +138,7 @@ def blocks(docs: DataFrame, held: Column, hot: np.ndarray, buckets: int, s: Sett
         return pd.DataFrame(rows, columns=[c.split()[0] for c in _BLOCK.split(", ")])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache = Interned(token_digest, 600_000)
+        cache = Interned(token_digest, 300_000)
         batch, n = TaskContext.get().partitionId() << 32, 0
         ids, flags, texts = [], [], []
         for pdf in frames:
@@ -166,14 +167,14 @@ class Bucket:
         uses, h = cat("uses", np.int32), cat("h", np.int64)
         w = np.repeat(cat("w", np.int64), cat("w_pairs", np.int32))
         offsets = np.concatenate(([0], np.cumsum(self.n_docs)))
-        self.doc = np.concatenate([np.asarray(d, dtype=np.int64) + o for d, o in zip(parts["doc"], offsets)] or [np.zeros(0, np.int64)])
+        self.doc = np.concatenate([np.asarray(d, dtype=np.int32) + np.int32(o) for d, o in zip(parts["doc"], offsets)] or [np.zeros(0, np.int32)])
         held = np.concatenate([np.unpackbits(np.frombuffer(m, np.uint8)).astype(bool) for m in parts["held"]] or [np.zeros(0, bool)])
         order = np.lexsort((h, w))
         w, h = w[order], h[order]
         new_w = np.concatenate(([True], w[1:] != w[:-1])) if len(w) else np.zeros(0, bool)
         new = new_w | np.concatenate(([True], h[1:] != h[:-1])) if len(w) else new_w
-        number = np.empty(len(w), np.int64)
-        number[order] = np.cumsum(new) - 1
+        number = np.empty(len(w), np.int32)
+        number[order] = np.cumsum(new, dtype=np.int32) - 1
         self.pair = np.repeat(number, uses)  # the pair of each use
         self.held = held[self.doc]
         self.w, self.h = w[new], h[new]
