@@ -9,9 +9,9 @@ most ``small`` documents are compared exhaustively, larger ones branch on; indep
 trees are repeated for the target recall: a pair at the threshold is missed by all
 ``trees`` at the first level with a chance of ``0.1875 ** trees``.
 
-Only components are asked for, so first every tree node links its members to its
-smallest one; afterwards only members of different components are compared, which keeps
-large groups of copies linear. Candidates whose sketches agree too little (``screen``,
+Only components are asked for, so first the tree nodes of a few trees link their members to their
+smallest one; afterwards only members of different components are compared, and large tree nodes that outlive
+some branchings are linked so again, which keeps large groups of copies linear. Candidates whose sketches agree too little (``screen``,
 four to five standard errors below the threshold) are dropped; the rest is confirmed on the full sets.
 
 Defined results: null, empty and word-free texts have no shingles and link with nothing (each is its
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -46,6 +47,8 @@ class Settings:
     trees: int = 12
     small: int = 12
     depth: int = 12
+    star_trees: int = 3  # trees whose first level links to smallest members
+    merges: tuple[int, ...] = (2, 5)  # levels after which what was found is merged
     screen: float = 0.5
     seed: int = 7
 
@@ -138,8 +141,8 @@ def _roots(nodes: DataFrame, s: Settings) -> DataFrame:
             for tree in range(s.trees):
                 path = np.full(len(ids), _mix(np.array([tree + 1], np.uint64) * _P)[0])
                 child, row = _children(path, m, s)
-                yield pd.DataFrame({"path": child.view(np.int64), "node": ids[row]})
-    return nodes.select("node", "sketch").mapInPandas(run, "path long, node long")
+                yield pd.DataFrame({"path": child.view(np.int64), "node": ids[row], "star": tree < s.star_trees})
+    return nodes.select("node", "sketch").mapInPandas(run, "path long, node long, star boolean")
 
 
 def _branch(rows: DataFrame, nodes: DataFrame, s: Settings) -> DataFrame:
@@ -219,31 +222,45 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, s: Settings)
     return spread.select("a", "slice", "node", "partner", "shingles").mapInPandas(run, "a long, b long").distinct()
 
 
+def _merged(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """``rows`` with the component of each node under the edges found so far."""
+    grouped = components(edges)
+    return rows.drop("component").join(grouped, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
 def links(docs: DataFrame, nodes: DataFrame, s: Settings) -> DataFrame:
     """Confirmed pairs of nodes that join all similar sets into components."""
     roots = written(_roots(nodes, s), "near-roots")
     size = roots.groupBy("path").agg(F.count("*").alias("n"), F.min("node").alias("pivot")).where("n > 1")
-    shared = written(roots.join(size, "path").select("path", "node", "pivot"), "near-shared")
-    stars = shared.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    first = written(_confirmed(written(_screened(stars, nodes, s), "near-stars"), docs, nodes, s), "near-links")
-    grouped = components(first)
-    rows = shared.select("path", "node").join(grouped, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    found = None
+    shared = written(roots.join(size, "path").select("path", "node", "star", "pivot"), "near-shared")
+    stars = shared.where("star and node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+    edges = written(_confirmed(written(_screened(stars, nodes, s), "near-stars"), docs, nodes, s), "near-links")
+    rows = _merged(shared.select("path", "node"), edges)
+    found = []
     for level in range(s.depth + 1):
         # Tree nodes within one component are done with.
-        open_paths = rows.groupBy("path").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-        rows = written(rows.join(open_paths.select("path", "n"), "path"), "near-open")
+        open_paths = rows.groupBy("path").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                              F.min("node").alias("pivot"), F.min_by("component", "node").alias("of_pivot")).where("lo <> hi")
+        rows = written(rows.join(open_paths.select("path", "n", "pivot", "of_pivot"), "path"), "near-open")
         last = level == s.depth  # what is still together then is compared whatever its size
         few = rows if last else rows.where(F.col("n") <= s.small)
         x, y = (few.select("path", F.col("node").alias(n), F.col("component").alias(f"c{n}")) for n in "ab")
-        pairs = x.join(y, "path").where("a < b and ca <> cb").select("a", "b").distinct()
-        found = pairs if found is None else found.unionByName(pairs)
+        found.append(x.join(y, "path").where("a < b and ca <> cb").select("a", "b").distinct())
         rows = rows.where(F.col("n") > s.small)
         if last or rows.isEmpty():
             break
+        if level in s.merges:
+            # Large tree nodes that outlive some branchings hold similar sets: their stars join most of them.
+            found.append(rows.where("component <> of_pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct())
+            edges = written(edges.unionByName(_new_links(found, docs, nodes, s)), "near-links")
+            rows, found = written(_merged(rows.select("path", "node"), edges), "near-merged"), []
         rows = written(_branch(rows, nodes, s), "near-branch")
-    rest = written(_screened(written(found, "near-pairs"), nodes, s), "near-rest")
-    return first.unionByName(_confirmed(rest, docs, nodes, s))
+    return edges.unionByName(_new_links(found, docs, nodes, s))
+
+
+def _new_links(found: list[DataFrame], docs: DataFrame, nodes: DataFrame, s: Settings) -> DataFrame:
+    pairs = written(reduce(DataFrame.unionByName, found), "near-pairs")
+    return _confirmed(written(_screened(pairs, nodes, s), "near-rest"), docs, nodes, s)
 
 
 def classes(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
