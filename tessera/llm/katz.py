@@ -48,6 +48,7 @@ class Settings:
     cutoff: int = 5
     batch_tokens: int = 1_500_000  # tokens of the documents handled together
     bucket_tokens: int = 2_500_000  # about as many in a bucket of words
+    least_buckets: int = 12
     max_hot: int = 400  # bound on the words that are spread over buckets
     hot_share: float = 0.002
     hot_sample: int = 2000  # documents read for them
@@ -403,7 +404,7 @@ def store(docs: DataFrame, held_out: Column, n_buckets: int, path: str, s: Setti
 def bucket_count(docs: DataFrame, s: Settings = Settings()) -> int:
     """Buckets of words for about ``bucket_tokens`` tokens each, from the number of characters."""
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    return max(4, int(chars / 6 / s.bucket_tokens) + 1)
+    return max(s.least_buckets, int(chars / 6 / s.bucket_tokens) + 1)
 
 
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
