@@ -9,7 +9,8 @@ from the list of the same gender and script, surnames are built of syllables of
 *Coreference*: an entity is mapped by its canonical value (digits of a number, lower case of an
 address, single name words of a person), so each mention of it, in any document, gets the
 same surrogate. *Distinctness*: all distinct entities are tabled; where two would share a surrogate, or one would equal a
-real value, the loser is hashed again (names get longer), until no two collide.
+real value, the loser is hashed again until no two collide. Names get longer with each attempt; other kinds keep their length for
+``KEPT`` attempts and then get longer too (addresses leave their private range, then become IPv6), so none runs out.
 
 Only documents with entities are joined with the table, the others pass through. Defined results: null and
 empty texts stay; repeated rows change alike; documents and columns are all kept; a null doc_id is not used at all.
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import written
 
-MAX_ROUNDS = 60  # rounds of rehashing after which a kind is exhausted: an error, never a shared surrogate
+KEPT = 8  # attempts that keep the length of a value; each one after them adds a character
 
 # Titles by gender, and first names by gender and script.
 TITLES = {"m": "Mr Herr Monsieur Señor Sr господин г-н κύριος".split(),
@@ -154,24 +155,31 @@ def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
     """The surrogate of a canonical value at an attempt."""
     stream = _stream(key, kind, value, attempt)
     zero = F.lit(0)
+    extra = F.greatest(attempt - (KEPT - 1), zero)
+    wider = lambda v, c: F.concat(v, F.repeat(F.lit(c), extra))
+    # Signs stay as they are while the length does; a value of signs alone needs letters to differ.
+    lettered = lambda v: wider(F.when(extra > 0, F.regexp_replace(v, r"[^\p{L}\d]", "a")).otherwise(v), "a")
     at = F.instr(value, "@")
     domain = F.substring(value, at + 1, F.length(value))
     ending = F.regexp_extract(domain, r"((?:^|\.)example\.(?:com|org|net)|\.[^.]+)$", 1)
     host = F.substring(domain, F.lit(1), F.length(domain) - F.length(ending))
-    email = F.concat(_like(stream, F.substring(value, F.lit(1), at - 1), zero), F.lit("@"),
+    email = F.concat(_like(stream, lettered(F.substring(value, F.lit(1), at - 1)), zero), F.lit("@"),
                      F.when(host != "", _like(_stream(key, F.lit("domain"), domain, zero), host, zero)).otherwise(host), ending)
-    card = _like(stream, value, F.lit(1))
+    card = _like(stream, wider(value, "0"), F.lit(1))
     body = F.substring(card, F.lit(1), F.length(card) - 1)
     checked = F.concat(body, F.pmod(-_luhn(body, 0), F.lit(10)).cast("string"))
     card = F.when(_luhn(value, 1) % 10 == 0, checked).otherwise(card)
     private = F.when(value.rlike(r"^(?:10|127)\."), F.lit(1)).when(value.rlike(r"^(?:192\.168|172\.(?:1[6-9]|2\d|3[01]))\."), F.lit(2)).otherwise(zero)
-    ip = F.array_join(F.transform(F.split(value, r"\."), lambda o, i: F.when(i < private, o).otherwise((_byte(stream, i) % 254 + 1).cast("string"))), ".")
-    phone = _like(stream, value, F.when(kind.startswith("phone+"), F.substring(kind, 7, 1).cast("int")).otherwise(zero))
-    hexed = lambda upper: F.array_join(F.transform(F.split(value, ""), lambda c, i: _pick(HEX.upper() if upper else HEX, _byte(stream, i))), "")
+    octets = lambda kept: F.array_join(F.transform(F.split(value, r"\."), lambda o, i: F.when(i < kept, o).otherwise((_byte(stream, i) % 254 + 1).cast("string"))), ".")
+    ten = F.concat(F.lit("10"), F.regexp_extract(octets(F.lit(1)), r"\..*$", 0))
+    six = F.concat_ws(":", F.when(private > 0, "fd00:db8").otherwise("2001:db8"), *[F.substring(stream, 4 * i + 1, 4) for i in range(6)])
+    ip = F.when(attempt >= 2 * KEPT, six).when((extra > 0) & (private > 0), ten).otherwise(octets(private))
+    phone = _like(stream, wider(value, "0"), F.when(kind.startswith("phone+"), F.substring(kind, 7, 1).cast("int")).otherwise(zero))
+    hexed = lambda upper: F.array_join(F.transform(F.split(wider(value, "0"), ""), lambda c, i: _pick(HEX.upper() if upper else HEX, _byte(stream, i))), "")
     secret = (F.when(value.rlike("^[0-9a-f]+$"), hexed(False)).when(value.rlike("^[0-9A-F]+$"), hexed(True))
-              .when(value.rlike("^AKIA"), _like(stream, value, F.lit(4))).otherwise(_like(stream, value, zero)))
+              .when(value.rlike("^AKIA"), _like(stream, lettered(value), F.lit(4))).otherwise(_like(stream, lettered(value), zero)))
     out = secret
-    for k, made in (("iban", _like(stream, value, F.lit(2))), ("ssn", _like(stream, value, zero)), ("ip", ip), ("card", card), ("email", email)):
+    for k, made in (("iban", _like(stream, wider(value, "0"), F.lit(2))), ("ssn", _like(stream, wider(value, "0"), zero)), ("ip", ip), ("card", card), ("email", email)):
         out = F.when(kind == k, made).otherwise(out)
     out = F.when(kind.startswith("phone"), phone).otherwise(out)
     place = F.sequence(zero, attempt)
@@ -190,10 +198,10 @@ def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
 
 def resolved(entities: DataFrame, key: str) -> DataFrame:
     """``kind, value, surrogate`` of the distinct (kind, value) rows, no two of a kind with one surrogate
-    and none equal to a real value of the kind."""
+    and none equal to a real value of the kind. Surrogates get longer with the attempts, so the rounds end."""
     left = entities.withColumn("attempt", F.lit(0))
     done: list[DataFrame] = []
-    for _ in range(MAX_ROUNDS):
+    while True:
         tried = written(left.withColumn("surrogate", surrogate(key, F.col("kind"), F.col("value"), F.col("attempt"))), "pii-tried")
         if tried.isEmpty():
             return reduce(DataFrame.unionByName, done or [tried]).select("kind", "value", "surrogate")
@@ -203,7 +211,6 @@ def resolved(entities: DataFrame, key: str) -> DataFrame:
         done.append(written(winners.select("kind", "value", "surrogate"), "pii-won"))
         left = tried.join(done[-1].select("kind", "value"), ["kind", "value"], "left_anti").select(
             "kind", "value", (F.col("attempt") + 1).alias("attempt"))
-    raise ValueError(f"some kind of entity has more values than surrogates after {MAX_ROUNDS} rounds")
 
 
 def _cased(made: Column, like: Column) -> Column:
@@ -223,7 +230,11 @@ def rendered(mention: Column, lookup: Column) -> Column:
     chars = F.split(mention, "")
     in_format = F.array_join(F.transform(chars, lambda c, i: F.when(c.rlike(r"^[\p{L}\d]$"), F.substring(
         made, F.length(F.regexp_replace(F.substring(mention, F.lit(1), i + 1), r"[^\p{L}\d]", "")), F.lit(1))).otherwise(c)), "")
-    email = F.array_join(F.zip_with(chars, F.split(made, ""), lambda c, m: F.when((F.lower(c) != c) & (F.upper(m) != m), F.upper(m)).otherwise(m)), "")
+    # What a surrogate has more than the mention: behind a number, at the end of the local part of an address.
+    in_format = F.concat(in_format, F.substring(made, F.length(F.regexp_replace(mention, r"[^\p{L}\d]", "")) + 1, F.length(made)))
+    at = F.instr(mention, "@")
+    aligned = F.concat(F.substring(mention, F.lit(1), at - 1), F.repeat(F.lit("-"), F.length(made) - F.length(mention)), F.substring(mention, at, F.length(mention)))
+    email = F.array_join(F.zip_with(F.split(aligned, ""), F.split(made, ""), lambda c, m: F.when((F.lower(c) != c) & (F.upper(m) != m), F.upper(m)).otherwise(m)), "")
     kind = F.get(own, F.lit(0))["kind"]
     return (F.when(kind.rlike("^(?:first|last) "), person).when(kind == "email", email)
             .when(kind.rlike("^(?:phone|card|ssn|iban)"), in_format).otherwise(made))

@@ -107,6 +107,32 @@ def test_surrogates_stay_distinct_under_collisions(spark):
     assert len(got) == len({(r["kind"], r["value"]) for r in got}) == len({(r["kind"], r["surrogate"]) for r in got}) == 12000
 
 
+def test_surrogates_never_run_out(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    full = [("email", f"{c}@example.com") for c in letters] + [("email", f"{i}@example.org") for i in range(1, 10)]
+    full += [("email", "_@example.net"), ("secret", "******"), ("secret", "!!!???")] + [("phone+3", f"49912{i:03}") for i in range(1000)]
+    small = spark.createDataFrame(full, "kind string, value string")
+    private = spark.range(40_000).select(F.lit("ip").alias("kind"), F.concat(
+        F.lit("192.168."), (F.col("id") / 250).cast("int").cast("string"), F.lit("."), (F.col("id") % 250).cast("string")).alias("value"))
+    rows = surrogates.resolved(small.union(private), "k").collect()
+    n = len(full) + 40_000
+    assert len(rows) == n == len({(r["kind"], r["surrogate"]) for r in rows})
+    assert not {(r["kind"], r["value"]) for r in rows} & {(r["kind"], r["surrogate"]) for r in rows}
+    assert all(r["surrogate"].startswith(("192.168.", "10.")) for r in rows if r["kind"] == "ip")
+    assert all(r["surrogate"].endswith(r["value"][-12:]) for r in rows if r["kind"] == "email")
+
+
+def test_longer_surrogates_are_written_whole(spark):
+    texts = [(i, f"Write to {c}@example.com or {c.upper()}@Example.com. password=******") for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")]
+    got = [r["text"] for r in surrogates.pseudonymised(spark.createDataFrame(texts, "doc_id long, text string"), "k").collect()]
+    found = [re.fullmatch(r"Write to (\w+)@example\.com or (\w+)@Example\.com\. password=([^*]{6,})", t) for t in got]
+    assert all(m and m[1] == m[2].lower() and m[2][0].isupper() for m in found)
+    assert len({m[1] for m in found}) == 26 and len({m[3] for m in found}) == 1
+    number = spark.createDataFrame([("+49 912 34-56", "phone+2", "499123456", "49876543210")], "m string, k string, v string, s string")
+    lookup = F.create_map(F.concat("k", F.lit("\x1f"), "v"), F.col("s"))
+    assert number.select(surrogates.rendered(F.col("m"), lookup)).first()[0] == "+49 876 54-3210"
+
+
 # ---------------------------------------------------------------- byte-level BPE
 
 @pytest.fixture(scope="module")
