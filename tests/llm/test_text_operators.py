@@ -195,6 +195,19 @@ def test_templates_catch_changed_parameters(spark):
     assert template_match.decontaminated(df, items.limit(0)).count() == len(docs)
 
 
+def test_templates_catch_opening_names_and_cut_or_long_copies(spark):
+    tom = "Tom has 3 apples. Tom buys 5 more apples. Tom gives 2 apples to Ann. How many apples does Tom have?"
+    long = " ".join(f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(400))
+    part = [f"part{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(36)]
+    items = spark.createDataFrame([(1, tom), (2, long), (3, " ".join(part))], "item_id long, text string")
+    docs = [(1, tom.replace("Tom", "Lena")), (2, tom.replace("Tom", "Anna Lee").replace("Ann.", "Bo.")), (3, "Tom has 3 apples. Ann has 4 pears."),
+            (4, "so " + " ".join(long.split()[100:160]) + " it is"), (5, " ".join(long.split()[100:130])),
+            (6, " ".join([*part[:12], "very", *part[12:24], "nearly", *part[24:]])),
+            (7, tom.replace("Tom has", "Lena has").replace("Tom buys", "Vera buys").replace("Tom gives", "Paul gives"))]
+    got = {(r["doc_id"], r["item_id"]) for r in template_match.alignments(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()}
+    assert got == {(1, 1), (2, 1), (4, 2), (6, 3)}
+
+
 def test_template_windows_against_brute_force(spark):
     """Every item window found in a document by plain comparison of template tokens is found by the join."""
     rnd, t = random.Random(5), template_match.Templates()
