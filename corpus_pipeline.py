@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tessera.llm import bpe_tree, chosen_path, subword_toxic, surrogates, template_match
 from tessera.llm.common import table, written
@@ -22,12 +21,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component, that of the smallest doc_id; of rows that repeat
-    a doc_id one. Rows without doc_id stay."""
-    kept = chosen_path.classes(docs).where("kept and doc_id is not null").select(F.col("doc_id").alias("__kept")).distinct()
-    named = docs.where("doc_id is not null").join(kept, docs["doc_id"] == kept["__kept"], "left_semi")
-    one = named.withColumn("__copy", F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where("__copy = 1").drop("__copy")
-    return one.unionByName(docs.where("doc_id is null"))
+    """One row of each near-duplicate component, that of the smallest doc_id (a row without one only if none has
+    one). Rows are told apart by doc_id and text: of rows that repeat both one stays. Rows without doc_id and
+    without words all stay."""
+    loose = F.col("doc_id").isNull() & ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    rows = written(docs.where(~loose).withColumn("__row", F.xxhash64("doc_id", "text")).dropDuplicates(["__row"]), "pipeline-rows")
+    group = chosen_path.classes(rows.select(F.col("__row").alias("doc_id"), "text")).select(F.col("doc_id").alias("__row"), "component_id")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "__row")
+    kept = rows.select("doc_id", "__row").join(group, "__row").groupBy("component_id").agg(F.min(place).alias("first")).select("first.__row")
+    return rows.join(kept, "__row", "left_semi").drop("__row").select(*docs.columns).unionByName(docs.where(loose))
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

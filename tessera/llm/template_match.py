@@ -257,6 +257,8 @@ def alignments(docs: DataFrame, items: DataFrame, s: Settings = Settings()) -> D
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """The rows of ``docs`` that leak no item, all columns kept. Rows of one doc_id share their fate."""
-    leaking = alignments(docs, items, s).select(F.col("doc_id").alias("leaking_id")).distinct()
-    return docs.join(leaking, docs["doc_id"].eqNullSafe(leaking["leaking_id"]), "left_anti")
+    """The rows of ``docs`` that leak no item, all columns kept. Each row is decided by its own text, also
+    where rows share a doc_id or have none."""
+    leaking = _leaks(docs, items, s).select(F.col("doc_id").alias("leaking_id"), F.col("copy").alias("leaking_copy")).distinct()
+    same = docs["doc_id"].cast("long").eqNullSafe(leaking["leaking_id"]) & (F.xxhash64(docs["text"]) == leaking["leaking_copy"])
+    return docs.join(leaking, same, "left_anti")

@@ -208,6 +208,24 @@ def test_templates_catch_opening_names_and_cut_or_long_copies(spark):
     assert got == {(1, 1), (2, 1), (4, 2), (6, 3)}
 
 
+def test_rows_of_one_id_and_of_none_are_decided_by_their_text(spark):
+    import corpus_pipeline
+
+    schema = "doc_id long, text string, note string"
+    items = spark.createDataFrame([(7, ITEM)], "item_id long, text string")
+    clean = "Nothing of the kind stands in this text, which is about other things."
+    rows = [(None, ITEM, "a"), (None, clean, "b"), (5, "Before. " + ITEM, "c"), (5, clean, "d"), (None, None, "e")]
+    kept = template_match.decontaminated(spark.createDataFrame(rows, schema), items)
+    assert kept.columns == ["doc_id", "text", "note"] and {r["note"] for r in kept.collect()} == {"b", "d", "e"}
+
+    other = "Quite another story with words of its own, told at length by somebody else."
+    rows = [(9, clean, "copy"), (3, clean, "first"), (3, other, "other"), (3, other, "other"), (None, other, "copy"), (None, clean, "copy"),
+            (None, "a text without any id stands here twice", "unnamed"), (None, "a text without any id stands here twice", "unnamed"),
+            (None, "", "empty"), (None, "", "empty"), (None, None, "null"), (8, "", "empty 8"), (8, None, "null 8")]
+    got = sorted(r["note"] for r in corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, schema), "").collect())
+    assert got == ["empty", "empty", "empty 8", "first", "null", "null 8", "other", "unnamed"]
+
+
 def test_template_windows_against_brute_force(spark):
     """Every item window found in a document by plain comparison of template tokens is found by the join."""
     rnd, t = random.Random(5), template_match.Templates()
