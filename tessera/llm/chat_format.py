@@ -12,6 +12,11 @@ Defined results: a null or malformed record, or one whose shape no layout declar
 ``layout`` null, ``turns`` null and ``formatted`` null; a null or missing text is the empty
 text; a null role is the empty role; an absent optional field makes no turn; no turns
 give the empty formatted string.
+
+Spark parses a JSON text above some size to a null variant, as if it were malformed. So the shape of a record above
+``LARGE`` bytes is taken of its skeleton (its strings emptied, equal neighbours in a list merged), and its turns are
+parsed with the declared types. One whose skeleton is still above ``LARGE`` raises an error, as does any text that
+Spark cannot hold (2 GB).
 """
 
 from __future__ import annotations
@@ -25,6 +30,8 @@ from pyspark.sql import functions as F
 
 START, END = "<|im_start|>", "<|im_end|>"
 TURNS = "array<struct<role:string,text:string>>"
+LARGE = 8 << 20  # bytes of a record; its variant has a few times as many, its limit is 128 MiB (16 MiB in some sessions)
+_KEY = 64  # characters of a field name that a skeleton keeps, more than any declared one has
 
 
 @dataclass(frozen=True)
@@ -69,16 +76,31 @@ LAYOUTS: tuple[Layout, ...] = (
 )
 
 
-def shape(record: Column) -> Column:
+def skeleton(record: Column) -> Column:
+    """A JSON text of the same shape without its texts: strings are emptied, names cut after ``_KEY``
+    characters, and equal neighbours in a list of flat objects merged."""
+    unit = r'(?:[^"\\]|\\u[0-9a-fA-F]{4}|\\[^u])'
+    rest = r'(?:[^"\\]++|\\u[0-9a-fA-F]{4}|\\[^u])*+'
+    bare = F.regexp_replace(record, rf'"(?:({unit}{{0,{_KEY}}}+){rest}(?="\s*+:)|{rest})"', '"$1"')
+    return F.regexp_replace(bare, r"(\{[^{}\[\]]*+\})(?:\s*+,\s*+\1)++", "$1")
+
+
+def _is_large(record: Column, large: int) -> Column:
+    return F.octet_length(record) > large
+
+
+def shape(record: Column, large: int = LARGE) -> Column:
     """The nested field paths of a JSON record as one text: names in order, leaf types dropped."""
-    typed = F.schema_of_variant(F.try_parse_json(record))
+    checked = lambda b: F.when(_is_large(b, LARGE), F.raise_error(F.lit("a record is too large for its shape to be read"))).otherwise(b)
+    whole = F.get(F.transform(F.array(skeleton(record)), checked), F.lit(0))  # made once
+    typed = F.schema_of_variant(F.try_parse_json(F.when(_is_large(record, large), whole).otherwise(record)))
     leafless = F.regexp_replace(typed, r": (?!OBJECT<|ARRAY<)[A-Z]+(\(\d+,\d+\))?", "")
     flat = F.regexp_replace(leafless, r"ARRAY<(?!OBJECT<|ARRAY<)[A-Z]+(\(\d+,\d+\))?>", "ARRAY")
     return F.regexp_replace(flat, r"OBJECT<>", "OBJECT<>")
 
 
-def fingerprint(record: Column) -> Column:
-    return F.sha2(shape(record), 256)
+def fingerprint(record: Column, large: int = LARGE) -> Column:
+    return F.sha2(shape(record, large), 256)
 
 
 def _known(layouts: Sequence[Layout]) -> Column:
@@ -89,9 +111,25 @@ def _known(layouts: Sequence[Layout]) -> Column:
     return F.create_map(*[x for s, n in pairs for x in (F.sha2(F.lit(s), 256), F.lit(n))])
 
 
-def _turns(lay: Layout, variant: Column) -> Column:
+def _declared(lay: Layout) -> str:
+    """The type of a record of the layout, and a field for its text if that is malformed."""
+    own = f"`{lay.items}`:array<struct<`{lay.role}`:string,`{lay.text}`:string>>" if lay.items else ",".join(f"`{p}`:string" for p, _ in lay.fields)
+    return f"struct<{own},`__malformed`:string>"
+
+
+def _large_turns(lay: Layout, record: Column) -> Column:
+    """``_turns`` without a variant. A null field and an absent one differ by the names of the skeleton."""
+    typed = F.from_json(record, _declared(lay), {"columnNameOfCorruptRecord": "__malformed"})
+    names = F.json_object_keys(skeleton(record))
+    made = _turns(lay, None, lambda path, kind: typed[path], lambda path: F.array_contains(names, path))
+    return F.when(typed["__malformed"].isNull(), made)
+
+
+def _turns(lay: Layout, variant: Column | None, get=None, there=None) -> Column:
+    get = get or (lambda path, kind: F.try_variant_get(variant, f"$.{path}", kind))
+    there = there or (lambda path: F.try_variant_get(variant, f"$.{path}", "variant").isNotNull())
     if lay.items:
-        items = F.try_variant_get(variant, f"$.{lay.items}", f"array<struct<`{lay.role}`:string,`{lay.text}`:string>>")
+        items = get(lay.items, f"array<struct<`{lay.role}`:string,`{lay.text}`:string>>")
         names = F.create_map(*[F.lit(x) for pair in lay.aliases for x in pair]) if lay.aliases else None
 
         def turn(x: Column) -> Column:
@@ -101,23 +139,27 @@ def _turns(lay: Layout, variant: Column) -> Column:
         return F.transform(items, turn)
     made = []
     for path, role in lay.fields:
-        value = F.try_variant_get(variant, f"$.{path}", "string")
+        value = get(path, "string")
         turn = F.struct(F.lit(role).alias("role"), F.coalesce(value, F.lit("")).alias("text"))
         here = F.array(turn)
         if path in lay.optional:
-            here = F.when(F.try_variant_get(variant, f"$.{path}", "variant").isNotNull(), here).otherwise(F.array().cast(TURNS))
+            here = F.when(there(path), here).otherwise(F.array().cast(TURNS))
         made.append(here)
     return F.concat(*made)
 
 
-def canonical_turns(df: DataFrame, record: str, layouts: Sequence[Layout] = LAYOUTS) -> DataFrame:
-    """Add ``layout`` and ``turns`` for the JSON text column ``record``."""
-    variant = F.try_parse_json(F.col(record))
-    named = df.withColumn("layout", F.element_at(_known(layouts), fingerprint(F.col(record))))
+def canonical_turns(df: DataFrame, record: str, layouts: Sequence[Layout] = LAYOUTS, large: int = LARGE) -> DataFrame:
+    """Add ``layout`` and ``turns`` for the JSON text column ``record``; one above ``large`` bytes is parsed by declared types."""
+    is_large = _is_large(F.col(record), large)
+    variant = F.try_parse_json(F.when(~is_large, F.col(record)))
+    named = df.withColumn("layout", F.element_at(_known(layouts), fingerprint(F.col(record), large)))
     turns = F.lit(None).cast(TURNS)
     for lay in reversed(layouts):
-        turns = F.when(F.col("layout") == lay.name, _turns(lay, variant)).otherwise(turns)
-    return named.withColumn("turns", turns.cast(TURNS))
+        own = F.when(is_large, _large_turns(lay, F.col(record))).otherwise(_turns(lay, variant))
+        turns = F.when(F.col("layout") == lay.name, own).otherwise(turns)
+    done = named.withColumn("turns", turns.cast(TURNS))
+    # A large text whose skeleton has a known shape may still be malformed.
+    return done.withColumn("layout", F.when(F.col("turns").isNotNull(), F.col("layout")))
 
 
 def escape(text: Column) -> Column:

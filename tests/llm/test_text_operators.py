@@ -44,6 +44,28 @@ def test_chat_layouts_round_trip(spark):
         assert r["formatted"].count("<|im_end|>") == len(turns)
 
 
+def test_chat_large_records_keep_their_turns(spark):
+    import json
+
+    records = [json.dumps(r, ensure_ascii=a) for i, a in enumerate(HARD * 2) for b in [HARD[i % 9] + '": "'] for a in (True, False) for r in (
+        {"prompt": b, "response": None}, {"system": None, "prompt": b, "response": b}, {"instruction": b, "output": b},
+        {"messages": [{"role": "user", "content": b}] * 4 + [{"role": "x", "content": None}]}, {"messages": []},
+        {"conversations": [{"from": "gpt", "value": b + "é😀" * 80}]}, {"a" * 90: b}, {"messages": [{"content": {"a": b}}]})]
+    records += ["not json", None, '{"prompt": "a', '{"prompt": "%s\n", "response": "r"}' % ("p" * 70)]
+    df = spark.createDataFrame(list(enumerate(records)), "id int, record string")
+    small, large = ([tuple(r) for r in chat_format.canonical_turns(df, "record", large=n).orderBy("id").select("layout", "turns").collect()] for n in (1 << 20, 40))
+    # A raw line feed in a string is malformed in both ways of parsing.
+    assert small == large and small[-1] == (None, None) and small[0][0] == "pair"
+
+
+def test_chat_records_above_the_limit_of_variants(spark):
+    long = spark.range(1).select(F.concat(F.lit('{"messages": ['), F.array_join(F.array_repeat(F.concat(
+        F.lit('{"role": "user", "content": "'), F.repeat(F.lit("text "), F.lit(2000)), F.lit('"}')), 15_000), ","), F.lit("]}")).alias("record"))
+    got = chat_format.canonical_turns(long, "record").select("layout", F.size("turns"), F.aggregate(
+        "turns", F.lit(0).cast("long"), lambda a, t: a + F.length(t["text"]))).first()
+    assert tuple(got) == ("messages", 15_000, 15_000 * 10_000)
+
+
 def test_chat_unknown_shapes_and_extra_columns(spark):
     rows = [(None, 1), ("not json", 2), ('{"a": 1}', 3), ('{"messages": {"role": "x"}}', 4), ('{"prompt": "p", "response": "r", "z": 1}', 5)]
     out = chat_format.format_turns(chat_format.canonical_turns(spark.createDataFrame(rows, "record string, turn int"), "record"))
