@@ -170,3 +170,11 @@ def op7_katz_backoff(spark: SparkSession, d: str) -> DataFrame:
 
     docs = table(spark, d, "documents").select("doc_id", "text")
     return K.scores(docs, fold_of(F.col("doc_id"), 7) == 2, K.bucket_count(docs))
+
+
+@register("op13_winnowing")
+def op13_winnowing(spark: SparkSession, d: str) -> DataFrame:
+    """Fingerprints of every whole text and of its edited text, and how alike texts are by them."""
+    from tessera.llm import winnowing as W
+
+    return W.compared(table(spark, d, "documents"))
