@@ -178,3 +178,36 @@ def op13_winnowing(spark: SparkSession, d: str) -> DataFrame:
     from tessera.llm import winnowing as W
 
     return W.compared(table(spark, d, "documents"))
+
+
+@register("op12_phrase_sort", rf"""
+WITH base AS (
+  SELECT COALESCE(lang, 'und') AS lang, translate(COALESCE(text, ''), {_ASCII[0]}, {_ASCII[1]}) AS text FROM documents),
+pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+  FROM (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM base)),
+totals AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM pieces GROUP BY lang),
+f AS (
+  SELECT lang, k, phrase, count(*)::BIGINT AS f
+  FROM (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+        FROM pieces, (VALUES (1), (2), (3), (4), (5)) AS sizes(k))
+  GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (
+  SELECT f.lang, f.phrase, f.k AS size, f.f AS a, x.f AS l, y.f AS r, n, c,
+         ((1000::HUGEINT * f.f * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM f JOIN totals USING (lang) JOIN (VALUES (1), (2), (3), (4)) AS places(c) ON c < f.k
+  JOIN f x ON x.lang = f.lang AND x.phrase = array_to_string(string_split(f.phrase, ' ')[1:c], ' ')
+  JOIN f y ON y.lang = f.lang AND y.phrase = array_to_string(string_split(f.phrase, ' ')[c + 1:], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+kept AS (
+  SELECT * FROM best b WHERE NOT EXISTS (
+    SELECT 1 FROM f WHERE f.lang = b.lang AND f.k > b.size AND 100 * f.f >= 100 * b.a
+    AND contains(' ' || f.phrase || ' ', ' ' || b.phrase || ' ')))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept QUALIFY rank <= 2000
+""")
+def op12_phrase_sort(spark: SparkSession, d: str) -> DataFrame:
+    """The 2,000 strongest collocations of each language, counted over all whole texts."""
+    from tessera.llm import phrase_sort as P
+
+    return P.collocations(table(spark, d, "documents").select("lang", "text"))
