@@ -5,13 +5,13 @@ characters of scripts written without spaces. Every ``k`` neighbouring words hav
 hash, a cyclic polynomial over the words' 64-bit hashes: the hash of a longer run is that of
 its first part, rotated by the length of the second, xor that of the second, so k-grams come
 from about log2(k) passes over the text. In every window of ``w`` neighbouring k-grams the
-smallest hash is chosen, the rightmost of equal ones; chosen hashes are kept once for each
-place, with that place. Two texts that share ``guarantee(k, w)`` words in a row therefore share
+smallest hash is chosen (by its upper 35 bits), the rightmost of equal ones; chosen hashes are kept
+once for each place, with that place. Two texts that share ``guarantee(k, w)`` words in a row therefore share
 a chosen hash, and a shared run of fewer than ``k`` words is never found (but by a collision).
 
 Work and memory are linear in a text; a text is one row and handled by one task. Nothing
-compares all documents: the next document of each is found from keys sorted by range, so the
-texts are shuffled once for themselves and once for their predecessor.
+compares all documents: the next document of each is found in ranges of keys, to which the
+texts are shuffled once.
 
 Defined results: null texts are empty; a text without words has no fingerprint (an empty list),
 one of fewer than ``k`` words a single hash of them all, one of fewer than ``w`` k-grams a single
@@ -23,16 +23,22 @@ by a hash of their texts. Rows that repeat both doc_id and text are one document
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import written
 
 K, W = 5, 8  # words of a gram, grams of a window
+MOST_RANGES = 1 << 16  # of the key order
+
+PLACE_BITS = 29  # of a place in a text; hashes are compared by their other, upper bits
 
-#: Scripts written without spaces between words: each character counts as a word.
-UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
-WORD = rf"[{UNSPACED}]|[^\s\p{{Z}}\p{{P}}{UNSPACED}]+"
+#: Blocks of scripts written without spaces (Thai and Lao, Myanmar, Khmer, kana, Han): each character counts as a word.
+UNSPACED = r"\x{E00}-\x{EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}"
+SPACED_WORD = r"[^\s\p{Z}\p{P}]+"
+WORD = rf"[{UNSPACED}&&[^\p{{P}}]]|[^\s\p{{Z}}\p{{P}}{UNSPACED}]+"
 
 
 def guarantee(k: int = K, w: int = W) -> int:
@@ -56,7 +62,9 @@ def _turned(h: Column, n: int) -> Column:
 
 
 def word_hashes(text: Column) -> Column:
-    words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    low = F.lower(F.coalesce(text, F.lit("")))
+    found = lambda pattern: F.regexp_extract_all(low, F.lit(pattern), F.lit(0))
+    words = F.when(text.rlike(f"[{UNSPACED}]"), found(WORD)).otherwise(found(SPACED_WORD))  # the second is the first without such characters
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
@@ -74,23 +82,26 @@ def gram_hashes(words: Column, k: int = K) -> Column:
 
 
 def chosen(grams: Column, w: int = W) -> Column:
-    """Winnowing: (hash, place) of each window's smallest hash, rightmost of equals, in order of place."""
-    placed = F.transform(grams, lambda h, i: F.struct(h.alias("hash"), i.alias("place")))
-    later = lambda x, y: F.when(y.isNotNull() & (y["hash"] <= x["hash"]), y).otherwise(x)
+    """Winnowing: (hash, place) of each window's smallest hash, rightmost of equals, in order of place.
+
+    A gram's rank is its hash with the lowest bits replaced by its place, counted backwards, so the
+    least rank of a window is the rightmost of its smallest hashes."""
+    low = (1 << PLACE_BITS) - 1
+    ranks = F.transform(grams, lambda h, i: h.bitwiseAND(F.lit(~low)).bitwiseOR((F.lit(low) - i).cast("long")))
 
     def over(n: int) -> Column:
-        """Minima of windows of n grams, doubled; two overlapping halves make the rest."""
+        """Minima of windows of n grams: of two windows half as long, which may overlap."""
         if n == 1:
-            return placed
+            return ranks
         half = 1 << ((n - 1).bit_length() - 1)
-        return let(over(half), lambda m: F.zip_with(m, _behind(m, n - half), later))
+        return let(over(half), lambda m: F.zip_with(m, _behind(m, n - half), lambda x, y: F.least(x, y)))
 
     def once(m: Column) -> Column:
-        ends = F.zip_with(m, _behind(m, 1), lambda x, y: F.when(y.isNull() | (x["place"] != y["place"]), x))
-        return F.filter(ends, lambda x: x.isNotNull())
+        return F.filter(F.zip_with(m, _behind(m, 1), lambda x, y: F.when(y.isNull() | (x != y), x)), lambda x: x.isNotNull())
 
     windows = let(over(w), lambda m: F.slice(m, 1, F.greatest(F.size(m) - (w - 1), F.least(F.size(m), F.lit(1)))))
-    return let(windows, once)
+    place = lambda x: (F.lit(low) - x.bitwiseAND(F.lit(low))).cast("int")
+    return F.transform(let(windows, once), lambda x: F.struct(F.get(grams, place(x)).alias("hash"), place(x).alias("place")))
 
 
 def fingerprint(text: Column, k: int = K, w: int = W) -> Column:
@@ -98,7 +109,7 @@ def fingerprint(text: Column, k: int = K, w: int = W) -> Column:
     whole = lambda t: F.when(F.size(t) == 0, t).otherwise(F.array(F.xxhash64(F.concat_ws(" ", F.transform(t, lambda h: h.cast("string"))))))
     grams = let(word_hashes(text), lambda t: F.when(F.size(t) < k, whole(t)).otherwise(
         F.slice(gram_hashes(t, k), 1, F.greatest(F.size(t) - (k - 1), F.lit(0)))))
-    return chosen(grams, w)
+    return let(grams, lambda g: chosen(g, w))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -113,34 +124,63 @@ def as_text(print_: Column) -> Column:
     return F.array_join(F.transform(print_, lambda x: F.concat(F.hex(x["hash"]), F.lit("@"), F.hex(x["place"]))), " ")
 
 
-def successors(keys: DataFrame, order: list[Column], purpose: str) -> DataFrame:
-    """Distinct values of the column ``key`` with the ``next`` one in ``order`` (after the last: the first).
+def _key(doc_id: Column, text: Column) -> Column:
+    """Ascending in the order of documents: descending doc_id, null last, then a hash of the text."""
+    back = F.bitwise_not(F.coalesce(doc_id.cast("long"), F.lit(-1)))
+    return F.struct(doc_id.isNull().cast("int").alias("unnamed"), back.alias("back"), F.xxhash64(text).alias("digest"))
+
+
+def _range_starts(keys: DataFrame, ranges: int) -> list[tuple[int, int, int]]:
+    """The first key of each of about ``ranges`` ranges of like size, in order: all that reaches the driver."""
+    dealt = keys.select("key").repartitionByRange(ranges, "key").groupBy(F.spark_partition_id().alias("range")).agg(F.min("key").alias("key"))
+    return sorted(tuple(r["key"]) for r in dealt.collect())
+
+
+def _starts(starts: list[tuple[int, int, int]]) -> Column:
+    """The ordered starts as one constant."""
+    rows = json.dumps([dict(zip(("unnamed", "back", "digest"), s)) for s in starts])
+    return F.from_json(F.lit(rows), "array<struct<unnamed:int,back:bigint,digest:bigint>>")
+
+
+def _range_of(key: Column, starts: list[tuple[int, int, int]]) -> Column:
+    """Number of the range a key belongs to, by binary search in the ordered starts."""
+    listed = _starts(starts)
+    steps = [1 << i for i in range(len(starts).bit_length() - 1, -1, -1)]
+    reach = lambda at, step: (at + step < len(starts)) & (F.get(listed, at + step) <= key)
+    return F.aggregate(F.array(*[F.lit(n) for n in steps]), F.lit(0), lambda at, step: F.when(reach(at, step), at + step).otherwise(at))
+
+
+def with_next(docs: DataFrame, columns: dict[str, Column], per_range: int = 2000) -> DataFrame:
+    """One row for each document: ``doc_id``, ``text``, ``copies`` and ``columns`` computed from its text, with
+    ``next_text`` and ``next_<column>`` of the next document.
 
-    Keys are dealt and sorted by range; inside a range the next key is the next row, and the last
-    row of a range takes the first key of the range behind it. Only those first keys, one for each
-    range, meet in one task.
+    Ranges of keys hold about ``per_range`` documents each (more beyond ``MOST_RANGES`` ranges, whose starts are
+    all that is sent to every task). Texts are shuffled once, by range; the first document of a
+    range is sent to the range before it too. Copies of a row that are many are joined into one before.
     """
-    dealt = written(keys.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), purpose)
-    inside = Window.partitionBy("range").orderBy(*order)
-    rows = dealt.withColumn("place", F.row_number().over(inside)).withColumn("next", F.lead("key").over(inside))
-    heads = rows.where(F.col("place") == 1).select("range", "key")
-    ranges = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    behind = heads.select("range", F.coalesce(F.lead("key").over(Window.orderBy("range")), F.first("key").over(ranges)).alias("head"))
-    return rows.join(behind, "range").select(*keys.columns, F.coalesce("next", "head").alias("next"))
-
-
-def with_next(docs: DataFrame) -> DataFrame:
-    """One row for each document: ``doc_id``, ``text``, ``next_text`` and ``copies``."""
-    digest = F.xxhash64("text")
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.select(F.struct("doc_id", digest.alias("digest")).alias("key"), "text")
-    texts = rows.dropDuplicates(["key"])  # dealt by key once; both readings below share it
-    keys = rows.groupBy("key").agg(F.count(F.lit(1)).alias("copies"))
-    pairs = written(successors(keys, [F.col("key.doc_id").desc_nulls_last(), F.col("key.digest")], "winnow-order"), "winnow-next")
-    own = texts.join(pairs.select("key", "copies"), "key")
-    behind = texts.join(pairs.select(F.col("key").alias("before"), F.col("next").alias("key")), "key").select(
-        F.col("before").alias("key"), F.col("text").alias("next_text"))
-    return own.join(behind, "key").select("key.doc_id", "text", "next_text", "copies")
+    rows = rows.select("doc_id", "text", _key(F.col("doc_id"), F.col("text")).alias("key"))
+    keys = written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("copies")), "winnow-keys")
+    n = keys.count()
+    starts = _range_starts(keys, max(1, min(MOST_RANGES, -(-n // per_range))))
+    many = keys.where(F.col("copies") > F.lit(max(1000, n // 100_000)))  # under 100,000 keys, whatever the table
+    single = rows.withColumn("copies", F.lit(1).cast("long"))
+    if not many.isEmpty():
+        joined = rows.join(F.broadcast(many), "key").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.max("text").alias("text"), F.max("copies").alias("copies"))
+        single = single.join(F.broadcast(many.select("key")), "key", "left_anti").unionByName(joined)
+    starts = starts or [(0, 0, 0)]
+    listed = single.withColumn("range", _range_of(F.col("key"), starts))
+    ahead = F.when(F.col("range") == 0, F.lit(len(starts) - 1)).otherwise(F.col("range") - 1)
+    place = lambda r, extra: F.struct(r.alias("range"), F.lit(extra).alias("extra"))
+    here, there = place(F.col("range"), False), place(ahead, True)
+    heads = F.get(_starts(starts), F.col("range")) == F.col("key")
+    dealt = listed.withColumn("at", F.explode(F.when(heads, F.array(here, there)).otherwise(F.array(here)))).select("doc_id", "text", "key", "copies", "at.*")
+    order = Window.partitionBy("range").orderBy("extra", "key")
+    first = F.lag("key").over(order).isNull() | (F.lag("key").over(order) != F.col("key")) | (F.lag("extra").over(order) != F.col("extra"))
+    one = dealt.withColumn("first", first).withColumn("copies", F.sum("copies").over(Window.partitionBy("range", "extra", "key"))).where("first")
+    one = one.select("doc_id", "text", "copies", "range", "extra", "key", *[c.alias(n) for n, c in columns.items()])
+    after = [F.lead(n).over(order).alias(f"next_{n}") for n in ("text", *columns)]
+    return one.select("*", *after).where(~F.col("extra")).drop("range", "extra", "key")
 
 
 def edited(text: Column, other: Column) -> Column:
@@ -152,11 +192,9 @@ def edited(text: Column, other: Column) -> Column:
 
 def compared(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
     """Every document's fingerprint, that of its edited text, and the likenesses."""
-    rows = with_next(docs).withColumn("edited_text", edited(F.col("text"), F.col("next_text")))
-    rows = rows.select(
-        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited_text", 256).alias("edited_sha256"),
-        fingerprint(F.col("text"), k, w).alias("own"), fingerprint(F.col("edited_text"), k, w).alias("changed"),
-        fingerprint(F.col("next_text"), k, w).alias("behind"), "copies")
+    rows = with_next(docs, {"own": fingerprint(F.col("text"), k, w)}).withColumn("edited_text", edited(F.col("text"), F.col("next_text")))
+    rows = rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited_text", 256).alias("edited_sha256"),
+                       "own", fingerprint(F.col("edited_text"), k, w).alias("changed"), F.col("next_own").alias("behind"), "copies")
     return rows.select(
         "doc_id", "n_chars", "edited_sha256", as_text(F.col("own")).alias("fingerprint"),
         as_text(F.col("changed")).alias("edited_fingerprint"), likeness(F.col("own"), F.col("changed")).alias("near_edited"),

@@ -13,12 +13,16 @@ from tessera.llm import winnowing as W
 M = (1 << 64) - 1
 
 
+ALONE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+PLAIN = regex.compile(rf"[{ALONE}--\p{{P}}]|[^ \t\n\x0b\f\r\p{{Z}}\p{{P}}{ALONE}]+", regex.V1)
+
+
 def signed(h):
     return h - (1 << 64) if h >> 63 else h
 
 
 def words(text):
-    return [xxhash.xxh64(w.encode(), seed=42).intdigest() for w in regex.findall(W.WORD.replace(r"\p{Is", r"\p{"), (text or "").lower())]
+    return [xxhash.xxh64(w.encode(), seed=42).intdigest() for w in PLAIN.findall((text or "").lower())]
 
 
 def plain(text, k=W.K, w=W.W):
@@ -35,7 +39,7 @@ def plain(text, k=W.K, w=W.W):
     out = []
     for i in range(max(len(h) - w + 1, min(len(h), 1))):
         part = h[i:i + w]
-        place = i + max(j for j, x in enumerate(part) if x == min(part))
+        place = i + max(j for j, x in enumerate(part) if x >> 29 == min(part) >> 29)
         if not out or out[-1][1] != place:
             out.append((h[place], place))
     return out
