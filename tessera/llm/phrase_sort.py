@@ -16,6 +16,7 @@ words that begin at one place of a piece, cut before the first word that is rare
    than ``least`` is abandoned, as all phrases in it are complete in this bucket. Where a bucket holds a
    part of a prefix only, the partial counts are kept and added up over buckets.
 
+Suffixes travel as sorted columns, compressed, with the words they use once for each batch and bucket.
 All partitions of one depth or another are split together, in numpy, one comparison a pointer and
 round, so a bucket costs about its pointers times the entropy of their words.
 
@@ -35,13 +36,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import written
 
 LEAST, LONGEST = 100, 5
-CHUNK = 8_000_000  # bytes of text in a batch
+CHUNK = 4_000_000  # bytes of text in a batch
 BUCKET = 500_000  # words of the table for each bucket
 HOT, PARTS = 250_000, 100_000  # a prefix is split beyond HOT occurrences and a PARTS-th of all words
 NOTED = 200_000  # a batch notes prefixes above this part of its words
@@ -139,6 +141,7 @@ def dealt(screen: np.ndarray, hot: dict[str, list[bytes]], buckets: int):
     """The function that turns texts into weighted suffixes by bucket."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pack = zstandard.ZstdCompressor(level=3).compress
         for lang, texts in _batches(frames):
             batch = Batch(texts)
             seed = _seed(lang)
@@ -160,15 +163,17 @@ def dealt(screen: np.ndarray, hot: dict[str, list[bytes]], buckets: int):
                 step = (route ^ h[rows[:, j]]) * _MIX
                 route = np.where(j < depth, step ^ (step >> np.uint64(29)), route)
             bucket = (route % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
+            v = len(batch.names)
+            order = np.lexsort((rows[:, 3] * v + rows[:, 4], rows[:, 1] * v + rows[:, 2], rows[:, 0], bucket))
             ends = np.flatnonzero(np.diff(bucket[order], append=-1)) + 1
             out = []
             for a, b in zip([0, *ends[:-1]], ends):
                 part = order[a:b]
                 used, local = np.unique(np.append(rows[part].ravel(), 0), return_inverse=True)
                 small = np.uint16 if len(used) < 1 << 16 else np.uint32
-                out.append((int(bucket[part[0]]), lang, b" ".join(batch.names[used]), local[:-1].astype(small).tobytes(),
-                            weight[part].astype(np.uint32).tobytes(), depth[part].astype(np.uint8).tobytes()))
+                by_column = local[:-1].reshape(-1, LONGEST).T.astype(small)
+                packed = [x.tobytes() for x in (by_column, weight[part].astype(np.uint32), depth[part].astype(np.uint8))]
+                out.append((int(bucket[part[0]]), lang, pack(b" ".join(batch.names[used])), *map(pack, packed)))
             yield pd.DataFrame(out, columns=["bucket", "lang", "names", "rows", "weights", "depths"])
 
     return run
@@ -247,15 +252,16 @@ def quicksorted(rows: np.ndarray, weight: np.ndarray, depths: np.ndarray, least:
 
 def bucket_phrases(least: int):
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        unpack = zstandard.ZstdDecompressor().decompress
         names: dict[bytes, int] = {b".": 0}
         rows = []
         for listed, raw in zip(pdf["names"], pdf["rows"]):
-            words = listed.split(b" ")
+            words = unpack(listed).split(b" ")
             own = np.array([names.setdefault(w, len(names)) for w in words], np.int64)
-            local = np.frombuffer(raw, np.uint16 if len(words) < 1 << 16 else np.uint32)
-            rows.append(own.astype(np.int32)[local].reshape(-1, LONGEST))
-        weight = np.concatenate([np.frombuffer(w, np.uint32) for w in pdf["weights"]]).astype(np.int64)
-        depths = np.concatenate([np.frombuffer(d, np.uint8) for d in pdf["depths"]])
+            local = np.frombuffer(unpack(raw), np.uint16 if len(words) < 1 << 16 else np.uint32)
+            rows.append(own.astype(np.int32)[local].reshape(LONGEST, -1).T)
+        weight = np.concatenate([np.frombuffer(unpack(w), np.uint32) for w in pdf["weights"]]).astype(np.int64)
+        depths = np.concatenate([np.frombuffer(unpack(d), np.uint8) for d in pdf["depths"]])
         rows = np.concatenate(rows)
         word = np.array(list(names), dtype=object)
         out = [(b" ".join(word[rows[p, :k]]).decode("utf-8", "surrogatepass"), k, int(n))
