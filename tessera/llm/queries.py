@@ -211,3 +211,11 @@ def op12_phrase_sort(spark: SparkSession, d: str) -> DataFrame:
     from tessera.llm import phrase_sort as P
 
     return P.collocations(table(spark, d, "documents").select("lang", "text"))
+
+
+@register("op11_turn_repair")
+def op11_turn_repair(spark: SparkSession, d: str) -> DataFrame:
+    """Every conversation, damaged and repaired by the cheapest edits."""
+    from tessera.llm import turn_repair as R
+
+    return R.summary(table(spark, d, "conversations").select("conv_id", "turn", "role", "text"))
