@@ -7,58 +7,83 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions import bignum as B
 from tessera.functions.text import common_prefix
 from tessera.operators.joins import DEFAULT_BROADCAST_LIMIT, HOT_KEY_ROWS, join_back
 
 
-WIDE = "decimal(38,0)"
+def leave_one_out_values(rows: DataFrame, group: Sequence[str], value: str, out: str = "product_except_self",
+                         count: str = "n") -> DataFrame:
+    """Per group and distinct value: ``group``, ``value`` (``decimal(38,0)``), how often it occurs, and the
+    product of all *other* values of its group as exact decimal text, whatever its length.
 
-
-def leave_one_out_product(
+    Values are counted by (group, value) first, so a hot group shrinks to its distinct values. Groups
+    with two or more zeros have products of 0 and leave there; in the others each group's list of (value, count) is
+    no longer than its product has digits, and is folded once: into a bigint where that holds the product, else
+    into limbs (``functions.bignum``). A value below 10^9 then divides the product, a larger one of many
+    digits has its own fold of the others.
+    """
+    g = list(group)
+    v = F.col(value).cast(B.WIDE)
+    per_value = rows.groupBy(*g, v.alias(value)).agg(F.count(F.lit(1)).alias(count))
+    key = F.struct(*g).alias("__g")
+    # Groups with several zeros: the condition reaches the scan, and few rows pass it.
+    void = rows.where(v == 0).groupBy(key).agg(F.count(F.lit(1)).alias("__z")).where("__z > 1").select("__g")
+    counted = per_value.withColumn("__g", F.struct(*g))
+    cells = F.collect_list(F.struct(F.col(value).alias("v"), F.col(count).alias("c")))
+    lists = counted.join(void, "__g", "left_anti").groupBy("__g").agg(
+        cells.alias("__cells"),
+        F.max(F.when(F.col(value) == 0, 1).otherwise(0)).alias("__zero"),
+        (F.sum(F.when(F.col(value) < 0, F.col(count)).otherwise(0)) % 2).alias("__minus"),
+        F.sum(F.when(F.abs(F.col(value)) > 1, F.log10(F.abs(F.col(value)).cast("double")) * F.col(count)).otherwise(0.0)).alias("__digits"))
+    factors = F.transform(F.filter("__cells", lambda x: F.abs(x["v"]) > 1), lambda x: F.struct(F.abs(x["v"]).alias("b"), x["c"].alias("e")))
+    short = F.col("__digits") < 17.5  # the product fits a bigint: no limbs
+    times = lambda acc, x: F.aggregate(F.array_repeat(x["b"].cast("bigint"), x["e"].cast("int")), acc, lambda a, b: a * b)
+    folded = lists.select("__g", "__zero", "__minus", factors.alias("__factors"), "__cells",
+                          F.when(short, F.aggregate(factors, F.lit(1).cast("bigint"), times)).alias("__short"),
+                          F.when(~short, B.power_product(factors)).alias("__p"))
+    folded = folded.withColumn("__x", F.explode("__cells")).drop("__cells")
+    mine = F.col("__x.v")
+    size = F.abs(mine)
+    others = F.transform("__factors", lambda x: F.struct(x["b"].alias("b"), (x["e"] - (x["b"] == size).cast("bigint")).alias("e")))
+    limbs = F.when(mine.isNull() | (size <= 1), F.col("__p")).when(size < B.BASE, B.divided(F.col("__p"), size.cast("bigint"))).otherwise(
+        B.power_product(others))
+    minus = (F.col("__minus") + F.coalesce(mine < 0, F.lit(False)).cast("bigint")) % 2 == 1
+    exact = F.expr("cast(__short div greatest(cast(abs(coalesce(__x.v, 1)) as bigint), 1) as string)")
+    text = F.concat(F.when(minus, F.lit("-")).otherwise(F.lit("")), F.when(F.col("__short").isNotNull(), exact).otherwise(B.as_text(limbs)))
+    product = F.when((F.col("__zero") == 1) & ~F.coalesce(mine == 0, F.lit(False)), F.lit("0")).otherwise(text)
+    some = folded.select("__g.*", mine.alias(value), F.col("__x.c").alias(count), product.alias(out))
+    none = counted.join(void, "__g", "left_semi").select(*g, value, count, F.lit("0").alias(out))
+    return some.unionByName(none)
+
+
+def leave_one_out_text(
     rows: DataFrame, group: Sequence[str], value: str, out: str = "product_except_self",
     broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, hot_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
-    """Each row gets the product of the *other* values of its group, exactly (``decimal(38,0)``).
+    """Each row gets the product of the *other* values of its group, as exact decimal text.
 
-    Values are integers; a NULL value counts as absent and gets the product of all
+    Values are whole numbers; a NULL value counts as absent and gets the product of all
     others. Rules: no zero → P / v; one zero → P for the zero row, 0 for the others;
-    two or more zeros → 0. Values are counted by (group, value) first, so a hot group
-    shrinks to its distinct values; ``value ** count`` is then folded in 38 digits. A
-    needed product of more digits raises an error, it is never NULL or rounded. As 126 factors
-    of at least 2 exceed 38 digits, no list of a group is longer than that. Rows of
-    the NULL group form a group.
+    two or more zeros → 0. Rows of the NULL group form a group.
     """
     g = list(group)
-    v = F.col(value).cast(WIDE)
-    per_value = rows.groupBy(*g, v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
-    size = F.when(F.abs("__v") > 1, F.log10(F.abs("__v").cast("double")) * F.col("__c"))
-    grouped = per_value.groupBy(*g).agg(
-        F.sum(F.when(F.col("__v") == 0, F.col("__c")).otherwise(0)).alias("__zeros"),
-        F.coalesce(F.sum(size), F.lit(0.0)).alias("__digits"),
-        F.sum(F.when(F.col("__v") < 0, F.col("__c")).otherwise(0)).alias("__negative"),
-        F.sum("__c").alias("__n"))
-    # Only groups whose product is needed and fits send their factors: at most 126 of them.
-    factors = per_value.where(F.abs("__v") > 1)
-    fits = grouped.where("__zeros < 2 AND __digits < 38.5").select(F.struct(*g).alias("__g"))
-    powers = (factors.withColumn("__g", F.struct(*g)).join(fits, "__g", "left_semi").groupBy("__g")
-              .agg(F.collect_list(F.struct(F.abs("__v").alias("b"), F.col("__c").alias("e"))).alias("__f")))
-    stats = grouped.withColumn("__g", F.struct(*g)).join(powers, "__g", "left").drop("__g")
-    times = lambda a, b: (a * b).cast(WIDE)
-    one = F.lit(1).cast(WIDE)
-    power = lambda x: F.aggregate(F.sequence(F.lit(1), x["e"].cast("int")), one, lambda a, _: times(a, x["b"]))
-    folded = F.aggregate(F.coalesce("__f", F.array().cast(f"array<struct<b:{WIDE},e:bigint>>")), one, lambda a, x: times(a, power(x)))
-    signed = F.when(F.col("__negative") % 2 == 1, -folded).otherwise(folded)
-    too_long = F.raise_error(F.lit("a product of more than 38 digits")).cast(WIDE)
-    stats = stats.withColumn("__prod", F.when(F.col("__zeros") >= 2, F.lit(0).cast(WIDE)).when(
-        F.col("__digits") >= 38.5, too_long).otherwise(F.coalesce(signed, too_long))).select(*g, "__zeros", "__prod", "__n")
-    # one row per group: broadcast when checked small, else a join whose hot groups
-    # are salted (AQE cannot split an aggregate joined back to its rows)
-    joined = join_back(rows, stats, g, "__n", "inner", limit=broadcast_limit, hot_rows=hot_rows)
-    z, p = F.col("__zeros"), F.col("__prod")
-    res = (F.when((z >= 2) | ((z == 1) & ~F.coalesce(v == 0, F.lit(False))), F.lit(0).cast(WIDE))
-           .when((z == 1) | v.isNull(), p)
-           .otherwise(F.expr(f"CAST(`__prod` DIV CAST(`{value}` AS {WIDE}) AS {WIDE})")))
-    return joined.withColumn(out, res).drop("__zeros", "__prod")
+    values = leave_one_out_values(rows, g, value, out, "__n").withColumnRenamed(value, "__v")
+    # Rows meet their value's result; values that many rows share are sliced.
+    joined = join_back(rows.withColumn("__v", F.col(value).cast(B.WIDE)), values, [*g, "__v"], "__n", "inner", limit=broadcast_limit, hot_rows=hot_rows)
+    return joined.drop("__v")
+
+
+def leave_one_out_product(
+    rows: DataFrame, group: Sequence[str], value: str, out: str = "product_except_self",
+    broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, hot_rows: int = HOT_KEY_ROWS,
+) -> DataFrame:
+    """``leave_one_out_text`` as ``decimal(38,0)``. A product of more than 38 digits raises an error,
+    it is never NULL or rounded."""
+    texts = leave_one_out_text(rows, group, value, out, broadcast_limit, hot_rows)
+    digits = F.length(F.ltrim(F.col(out), F.lit("-")))
+    too_long = F.raise_error(F.lit("a product of more than 38 digits")).cast(B.WIDE)
+    return texts.withColumn(out, F.when(digits > 38, too_long).otherwise(F.col(out).cast(B.WIDE)))
 
 
 def common_prefix_per_group(rows: DataFrame, group: Sequence[str], text: str, out: str = "prefix") -> DataFrame:

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import scratch_dir
+
 # A side is broadcast only when the optimizer's size estimate is below this bound.
 # Above it the join stays a shuffle join; AQE can still turn it into a broadcast
 # join once the runtime size of the shuffled side is known.
@@ -171,9 +173,9 @@ def join_back(
 
     Small statistics are broadcast after the size check. Otherwise every key with
     more rows than ``hot_rows`` and than a ``HOT_KEYS``-th of all rows is salted: its
-    rows get a slice in ``[0, ceil(n / threshold))`` from a hash of the row and a
-    random number (repeated rows spread too), and only its statistics are copied once a
-    slice. There are fewer than ``HOT_KEYS`` such keys, whatever the data, so their list is
+    rows are written once with an ordinal and get a slice in ``[0, ceil(n / threshold))`` from that
+    (repeated rows spread too, and a retried task deals them alike), and only its statistics are copied
+    once a slice. There are fewer than ``HOT_KEYS`` such keys, whatever the data, so their list is
     broadcast; a key below the threshold fits a task.
     """
     k = list(keys)
@@ -190,10 +192,17 @@ def join_back(
     threshold = F.greatest(F.lit(hot_rows), F.coalesce(total, F.lit(0)) / HOT_KEYS)
     hot = F.broadcast(counts.where(F.col("__n") > threshold).select(
         "__key", F.ceil(F.col("__n") / threshold).cast("int").alias("__slices")))
-    salted_rows = keyed.join(hot, "__key", "left")
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]) + F.floor(F.rand(1) * 1024), F.col("__slices"))
-    salted_rows = _keyed(salted_rows, ["__key", F.coalesce(spread, F.lit(0)).cast("int").alias("salt")], "__salted")
-    salted_stats = plain.join(hot, "__key", "left").withColumn(
-        "__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__slices"), F.lit(1)) - 1)))
-    salted_stats = _keyed(salted_stats, ["__key", F.col("__salt").alias("salt")], "__salted").drop("__key", "__slices", "__salt")
-    return salted_rows.drop("__key", "__slices").join(salted_stats, "__salted", how).drop("__salted")
+    cool = keyed.join(hot, "__key", "left_anti").join(plain, "__key", how).drop("__key")
+    warm = _numbered(keyed.join(hot, "__key"), "hot-rows")
+    slice_ = F.pmod(F.xxhash64("__ordinal"), F.col("__slices")).cast("int")
+    warm = _keyed(warm, ["__key", slice_.alias("salt")], "__salted").drop("__key", "__slices", "__ordinal")
+    copies = plain.join(hot, "__key").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.col("__slices") - 1)))
+    copies = _keyed(copies, ["__key", F.col("__salt").alias("salt")], "__salted").drop("__key", "__slices", "__salt")
+    return cool.unionByName(warm.join(copies, "__salted", how).drop("__salted"))
+
+
+def _numbered(rows: DataFrame, purpose: str) -> DataFrame:
+    """``rows`` written once with an ordinal: a task that is run again later deals them as before."""
+    path = scratch_dir(rows.sparkSession, purpose)
+    rows.withColumn("__ordinal", F.monotonically_increasing_id()).write.parquet(path)
+    return rows.sparkSession.read.parquet(path)

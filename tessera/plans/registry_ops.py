@@ -75,6 +75,32 @@ def q_leave_one_out(spark: SparkSession, d: str) -> DataFrame:
     return A.leave_one_out_product(li, ["l_orderkey"], "v")
 
 
+@register("leave_one_out_digits", """
+WITH parts AS (
+  SELECT l_suppkey, CAST(product(l_quantity) AS BIGINT) AS m
+  FROM (SELECT l_suppkey, l_quantity, row_number() OVER (PARTITION BY l_suppkey) // 5 AS part FROM lineitem) GROUP BY l_suppkey, part),
+whole AS (
+  SELECT l_suppkey, list_reduce(list([m]), lambda acc, m: list_reduce(
+    list_transform(acc, lambda d: [d]),
+    lambda s, d: list_concat(s[:-2], [(d[1] * m[1] + s[-1]) % 1000000000, (d[1] * m[1] + s[-1]) // 1000000000]),
+    [CAST(0 AS BIGINT)]), [CAST(1 AS BIGINT)]) AS p
+  FROM parts GROUP BY l_suppkey),
+per AS (SELECT l_suppkey, CAST(l_quantity AS BIGINT) AS v, count(*) AS n FROM lineitem GROUP BY ALL),
+shown AS (
+  SELECT l_suppkey, v, n, ltrim(array_to_string(list_transform(list_reduce(
+    list_transform(list_reverse(p), lambda d: [d]),
+    lambda s, d: list_concat(s[:-2], [(s[-1] * 1000000000 + d[1]) // v, (s[-1] * 1000000000 + d[1]) % v]),
+    [CAST(0 AS BIGINT)])[:-2], lambda x: lpad(CAST(x AS VARCHAR), 9, '0')), ''), '0') AS product
+  FROM per JOIN whole USING (l_suppkey))
+SELECT l_suppkey, v, n, CAST(length(product) AS INTEGER) AS digits, md5(product) AS product_md5 FROM shown
+""")
+def q_leave_one_out_digits(spark: SparkSession, d: str) -> DataFrame:
+    """Leave-one-out products of hundreds of digits: each supplier's line quantities, by distinct quantity."""
+    li = Tables(spark, d).lineitem.select("l_suppkey", F.col("l_quantity").cast("bigint").alias("v"))
+    values = A.leave_one_out_values(li, ["l_suppkey"], "v", "product")
+    return values.select("l_suppkey", F.col("v").cast("bigint").alias("v"), "n", F.length("product").alias("digits"), F.md5("product").alias("product_md5"))
+
+
 @register("prefix_per_group", f"""
 WITH u AS (SELECT regexp_extract(url, '{HOST_PATTERN}', 1) AS host, url FROM pages),
 m AS (SELECT host, MIN(url) AS mn, MAX(url) AS mx FROM u GROUP BY host)

@@ -174,7 +174,10 @@ def test_leave_one_out_is_exact_beyond_doubles(spark):
     assert got == sorted([(1, 10**6, 10**12)] * 3 + [(2, 3, 3002399751580331), (2, 3002399751580331, 3), (None, 2, 5), (None, 5, 2), (3, 0, 0), (3, 0, 0),
                          (3, 7, 0), (4, 0, -3), (4, -3, 0), (5, -2, -7), (5, -7, -2), (5, 1, 14)], key=str)
     with pt.raises(Exception, match="38 digits"):
-        leave_one_out_product(spark.createDataFrame([(1, 10**9)] * 5, "g int, v long"), ["g"], "v").collect()
+        leave_one_out_product(spark.createDataFrame([(1, 10**9)] * 6, "g int, v long"), ["g"], "v").collect()
+    # Only the result is limited: the product of all five has 46 digits.
+    five = leave_one_out_product(spark.createDataFrame([(1, 10**9)] * 5, "g int, v long"), ["g"], "v").collect()
+    assert {int(r["product_except_self"]) for r in five} == {10**36}
     big = spark.range(500).select(F.lit(1).alias("g"), F.when(F.col("id") < 2, 0).otherwise(9).alias("v"))
     assert {int(r[0]) for r in leave_one_out_product(big, ["g"], "v").select("product_except_self").collect()} == {0}
 
