@@ -4,19 +4,21 @@ A word's vector is the mean of the vectors of its hashed character n-grams (with
 marks) and of the word itself; a bag of words is the mean of its words' vectors; a
 two-class softmax reads the bag. Vectors and softmax are trained jointly by Adagrad in
 numpy. A misspelling that was never seen shares most n-grams with the word it stands
-for, hence most of its vector.
+for, hence most of its vector. So that the vector lies in all n-grams and not in a few, training reads
+most words with one letter unreadable: n-grams over it, and the word itself, add nothing to that step.
 
 A document is read in overlapping windows of ``window`` words, so that a few words
 weigh alike in short and long texts; its score is the largest window probability. As
 only whole documents carry labels, training alternates: all windows of clean documents
 are clean, the highest-scoring window of a toxic document is toxic (the first round
-takes whole documents). After averaging, the softmax is linear in the words, so a
+takes whole documents), also with its strongest word among words of clean documents, so that the
+word decides and not its neighbours. After averaging, the softmax is linear in the words, so a
 word's share of the logit is one number, kept in a bounded cache of the worker.
 
 The training sample is bounded: at most ``max_docs`` labelled documents (smallest keyed
 hashes of doc_id), each label's documents alike; each contributes its whole text.
 Defined results: null and empty texts, and texts without words, score the softmax of an
-empty bag; repeated rows score alike; no labels at all, or one class only, give every
+empty bag; repeated rows score alike; of several texts of one id the least is learnt from; no labels at all, or one class only, give every
 document the smoothed share of label 1. Labels that are null or not 0/1 are ignored.
 """
 
@@ -33,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CACHED = 1_500_000  # word logits kept by a worker
+START = 1e-6  # Adagrad's memory before the first step
 BATCH = 256  # documents scored at a time
 
 WORD = re.compile(r"[^\W_]+(?:['’@$0-9][^\W_]+)*")
@@ -51,6 +54,9 @@ class Settings:
     batch: int = 512
     rate: float = 0.5
     seed: int = 17
+    others: int = 4  # other contexts in which a toxic window's strongest word is read, each round
+    prior: float = 5.0  # logit of a window without any evidence, below zero
+    drop: float = 0.8  # part of the words that a training step reads with one letter unreadable
 
 
 def words_of(text: str | None) -> list[str]:
@@ -65,11 +71,12 @@ def _bucket(h: np.ndarray, n: int, buckets: int) -> np.ndarray:
     return ((h ^ (h >> np.uint64(29))) * _MIX >> np.uint64(24)).astype(np.int64) % buckets
 
 
-def subwords(words: list[str], s: Settings) -> tuple[np.ndarray, np.ndarray]:
+def subwords(words: list[str], s: Settings, spans: bool = False) -> tuple[np.ndarray, ...]:
     """Bucket numbers of each word's character n-grams, and of the marked word itself, with the
-    number of the word that each belongs to. Rolling polynomial hashes over code points."""
+    number of the word that each belongs to (and the first letter of its span and the one behind it, if
+    asked for). Rolling polynomial hashes over code points."""
     if not words:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((2, 0), np.int64))[:2 + spans]
     codes = np.frombuffer("".join([f"<{w}>" for w in words]).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     sizes = np.array([len(w) + 2 for w in words])
     first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
@@ -78,6 +85,7 @@ def subwords(words: list[str], s: Settings) -> tuple[np.ndarray, np.ndarray]:
     left = sizes[owner] - place
     powers = np.cumprod(np.concatenate(([1], np.full(sizes.max() - 1, _STEP))).astype(np.uint64), dtype=np.uint64)
     rows, owners = [_bucket(np.add.reduceat(codes * powers[place], first), 0, s.buckets)], [np.arange(len(words))]
+    covered = [np.stack([np.zeros(len(words), np.int64), sizes])]
     for n in range(s.shortest, s.longest + 1):
         at = np.flatnonzero(left >= n)
         h = np.zeros(len(at), np.uint64)
@@ -85,7 +93,8 @@ def subwords(words: list[str], s: Settings) -> tuple[np.ndarray, np.ndarray]:
             h = h * _STEP + codes[at + j]
         rows.append(_bucket(h, n, s.buckets))
         owners.append(owner[at])
-    return np.concatenate(rows), np.concatenate(owners)
+        covered.append(np.stack([place[at], place[at] + n]))
+    return (np.concatenate(rows), np.concatenate(owners), np.concatenate(covered, axis=1))[:2 + spans]
 
 
 @dataclass
@@ -140,25 +149,28 @@ def train(texts: list[str], labels: np.ndarray, s: Settings) -> Model:
     rng = np.random.default_rng(s.seed)
     vocabulary: dict[str, int] = {}
     docs = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words_of(t)], dtype=np.int32) for t in texts]
-    names, pieces, counts = list(vocabulary), [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    names, pieces, counts, spans = list(vocabulary), [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros((2, 0), np.int16)]
     for k in range(0, len(names), 20_000):  # in parts: the hashes take much room on the way
-        rows, owner = subwords(part := names[k:k + 20_000], s)
-        pieces.append(rows[np.argsort(owner, kind="stable")].astype(np.int32))
+        rows, owner, span = subwords(part := names[k:k + 20_000], s, spans=True)
+        order = np.argsort(owner, kind="stable")
+        pieces.append(rows[order].astype(np.int32))
+        spans.append(np.minimum(span[:, order], 30_000).astype(np.int16))
         counts.append(np.bincount(owner, minlength=len(part)))
-    flat, size = np.concatenate(pieces), np.concatenate(counts)
-    del names, vocabulary, pieces
+    flat, size, (begin, end) = np.concatenate(pieces), np.concatenate(counts), np.concatenate(spans, axis=1)
+    letters = np.array([min(len(w) + 2, 30_000) for w in names] or [0])
+    del names, vocabulary, pieces, spans
     first = np.concatenate(([0], np.cumsum(size))).astype(np.int64)
     table = rng.uniform(-1, 1, (s.buckets, s.dim)) / s.dim
     out = np.zeros((s.dim, 2))
     bias = np.zeros(2)
-    memory, memory_out, memory_bias = np.full(s.buckets, 1e-6), np.full((s.dim, 2), 1e-6), np.full(2, 1e-6)
+    memory, memory_out, memory_bias = np.full(s.buckets, START), np.full((s.dim, 2), START), np.full(2, START)
 
     def spread(bag_words: np.ndarray):
-        """The n-grams of words, and which word each belongs to."""
+        """Places of the n-grams of words, and which word each belongs to."""
         n = size[bag_words]
         owner = np.repeat(np.arange(len(bag_words)), n)
         start = np.repeat(first[bag_words] - np.concatenate(([0], np.cumsum(n)[:-1])), n)
-        return flat[np.arange(len(owner)) + start], owner
+        return np.arange(len(owner)) + start, owner
 
     def epoch(bags: list[np.ndarray], y: np.ndarray, batch: int) -> None:
         order = rng.permutation(len(bags))
@@ -168,10 +180,14 @@ def train(texts: list[str], labels: np.ndarray, s: Settings) -> Model:
             sizes = np.array([len(bags[i]) for i in pick])
             starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
             words, at = np.unique(np.concatenate([bags[i] for i in pick]), return_inverse=True)
-            g, _ = spread(words)
+            place, own = spread(words)
+            g = flat[place]
             n = size[words]
             ends = np.concatenate(([0], np.cumsum(n)[:-1]))
-            vectors = np.add.reduceat(table[g], ends) / n[:, None]
+            at_letter = 1 + (rng.random(len(words)) * (letters[words] - 2)).astype(int)
+            at_letter[rng.random(len(words)) >= s.drop] = -1
+            seen = ((at_letter[own] < begin[place]) | (at_letter[own] >= end[place])).astype(float)[:, None]
+            vectors = np.add.reduceat(table[g] * seen, ends) / n[:, None]
             hidden = np.add.reduceat(vectors[at], starts) / sizes[:, None]
             z = hidden @ out + bias
             d = np.exp(z - z.max(1, keepdims=True))
@@ -185,7 +201,7 @@ def train(texts: list[str], labels: np.ndarray, s: Settings) -> Model:
             d_words = np.add.reduceat(np.repeat(d_hidden, sizes, axis=0)[by_word], first_of) / n[:, None]
             by_row = np.argsort(g, kind="stable")
             rows, first_row = np.unique(g[by_row], return_index=True)
-            d_rows = np.add.reduceat(np.repeat(d_words, n, axis=0)[by_row], first_row)
+            d_rows = np.add.reduceat((np.repeat(d_words, n, axis=0) * seen)[by_row], first_row)
             memory[rows] += (d_rows ** 2).mean(1)
             table[rows] -= s.rate * d_rows / np.sqrt(memory[rows])[:, None]
             memory_out[...] += d_out ** 2
@@ -194,11 +210,15 @@ def train(texts: list[str], labels: np.ndarray, s: Settings) -> Model:
             bias[...] -= s.rate * d_bias / np.sqrt(memory_bias)
 
     def model() -> Model:
-        return Model(s, table @ (out[:, 1] - out[:, 0]), float(bias[1] - bias[0]))
+        learnt = memory > START  # n-grams that no step has seen say nothing
+        return Model(s, np.where(learnt, table @ (out[:, 1] - out[:, 0]), 0.0), float(bias[1] - bias[0]))
 
     kept = [i for i in range(len(docs)) if len(docs[i])]
     bags, y = [docs[i] for i in kept], labels[kept]
     epoch(bags, y, 32)  # whole documents: small batches bound the memory
+    bias[:] = np.array([0.5, -0.5]) * s.prior  # a window is clean unless its words say otherwise, so clean words need say little
+    memory_bias[:] = 1.0
+    clean = np.concatenate([docs[i] for i in kept if not labels[i]] or [np.zeros(0, np.int32)])
     hard: dict[tuple[int, int], np.ndarray] = {}
     for _ in range(s.rounds):
         now = model()
@@ -211,6 +231,11 @@ def train(texts: list[str], labels: np.ndarray, s: Settings) -> Model:
             best = int(now.window_logits(logit[docs[i]]).argmax())
             if labels[i]:
                 toxic.append(cut[best])
+                for _ in range(s.others if len(clean) else 0):  # its strongest word among words of clean documents
+                    moved = rng.choice(clean, len(cut[best]))
+                    strongest = int(logit[cut[best]].argmax())
+                    moved[strongest] = cut[best][strongest]
+                    toxic.append(moved)
             else:  # its hardest window of each round, and another
                 for j in (best, int(rng.integers(0, len(cut)))):
                     hard[i, j] = cut[j]
@@ -232,7 +257,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, usable: Column, s: Setting
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, s: Settings = Settings()) -> Model:
     """Train on a bounded sample. ``usable``: which rows of ``labels`` may be learnt from."""
-    rows = training_rows(docs, labels, usable, s).dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
+    rows = training_rows(docs, labels, usable, s).groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).toPandas().sort_values("doc_id")
     return train(rows["text"].tolist(), rows["toxic"].to_numpy(), s)
 
 

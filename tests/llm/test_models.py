@@ -151,13 +151,37 @@ def test_toxicity_misspellings_and_edges(spark):
     hits = [(got[i]["score"] >= 0.5) == (i % 4 == 0) for i in range(300, 400)]
     assert sum(hits) >= 92
     assert got[900]["score"] == got[901]["score"] == got[902]["score"] < 0.5 and got[None]["score"] == got[0]["score"]
-    model = subword_toxic.train([t for _, t in rows], np.array([i % 4 == 0 for i, _ in rows]), subword_toxic.Settings())
-    assert model.scores([f"{words[0]} {words[1]} grunttled {words[2]}"], {})[0] > 0.5  # never seen so
     none = subword_toxic.scored(docs, labels.limit(0), F.lit(True)).select("score").distinct().collect()
     assert len(none) == 1
     assert subword_toxic.scored(docs.limit(0), labels, F.lit(True)).collect() == []
 
 
+def misspelt(word):
+    """A letter doubled, left out, or changed with the next one."""
+    out = {word[:i] + x for i in range(1, len(word)) for x in (word[i] + word[i:], word[i + 1:], word[i + 1:i + 2] + word[i] + word[i + 2:])}
+    return sorted(out - {word, word[:-1]})
+
+
+@pytest.mark.parametrize("seed", range(1, 6))
+def test_toxicity_knows_unseen_misspellings(seed):
+    rng = np.random.default_rng(seed)
+    words = ["".join(rng.choice(list("abcdefgh"), 5)) for _ in range(300)]
+    bad = ["gruntled", "snorkish", "wabblest"]
+    text = lambda toxic: " ".join([*rng.choice(words, 30), *([rng.choice(bad)] * toxic), *rng.choice(words, 30)])
+    model = subword_toxic.train([text(i % 4 == 0) for i in range(400)], np.arange(400) % 4 == 0, subword_toxic.Settings())
+    score = lambda among: model.scores(among, {})
+    assert (score([f"{words[0]} {words[1]} {w} {words[2]}" for w in bad]) > 0.5).all()
+    assert (score([f"{words[0]} {words[1]} {x} {words[2]}" for w in bad for x in misspelt(w)]) > 0.5).mean() >= 0.9
+    assert (score([" ".join(words[i:i + 4]) for i in range(0, 300, 4)]) > 0.5).mean() <= 0.02
+
+
+def test_toxicity_takes_one_text_of_a_repeated_id(spark):
+    docs = spark.createDataFrame([(1, "b b b"), (1, "a a a"), (2, "c c c")], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    one, two = (subword_toxic.fit(d, labels, F.lit(True)) for d in (docs, docs.where("text <> 'b b b'")))
+    assert (one.share == two.share).all() and one.bias == two.bias
+
+
 # ---------------------------------------------------------------- pages
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>
