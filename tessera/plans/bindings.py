@@ -62,8 +62,9 @@ def metric_catalog(t: Tables, panel_width: int = PANEL_WIDTH) -> DataFrame:
     )
 
 
-def metric_store(t: Tables):
-    """The metric store over ``events`` (panels), ``customer`` (people) and ``nation`` (cities).
+def metric_store(t: Tables, catalog: DataFrame | None = None):
+    """The metric store over ``events`` (panels), ``customer`` (people) and ``nation`` (cities). With a stored
+    ``catalog`` (``plans.catalog``) no fact is read to build it; without one it is derived from the events.
 
     Panel rows are the events keyed by ``(user_id, ts)``; metric ``k`` holds the
     event's value when the event has the type of catalog entry ``k`` (sparse, as in
@@ -71,7 +72,7 @@ def metric_store(t: Tables):
     """
     from tessera.plans.metrics import MetricStore
 
-    cat = metric_catalog(t)
+    cat = metric_catalog(t) if catalog is None else catalog
     # one row per metric: the columns of the panels, as many as a table's columns can be
     rows = [tuple(r) for r in cat.orderBy("metric_id").select("name", "table_name", "explain").collect()]
     ev = t.events

@@ -119,3 +119,4 @@ from tessera.plans import registry_metrics  # noqa: E402,F401
 from tessera.plans import registry_channels  # noqa: E402,F401
 from tessera.plans import registry_ops  # noqa: E402,F401
 from tessera.plans import registry_io  # noqa: E402,F401
+from tessera.plans import registry_catalog  # noqa: E402,F401

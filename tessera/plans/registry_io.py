@@ -13,12 +13,12 @@ from tessera.plans.bindings import PANEL_WIDTH, master_from_part, metric_catalog
 from tessera.plans.registry import ORACLE_SQL, register
 from tessera.plans.sales import compute_house_sales, ensure_watermark, lookup_seed
 from tessera.session import scratch_dir
-from tessera.sinks.files import append_csv, month_filter, write_monthly, write_watermark
+from tessera.sinks.files import append_delivery, month_filter, write_monthly, write_watermark
 from tessera.sinks.tables import append_table, load_csv_table, write_lookup_csv
 from tessera.sources.files import read_lookup_csv, read_semicolon_csv
 from tessera.sources.tables import Tables, read_table
 from tessera.streaming.house_sales_stream import read_outputs, start_house_sales_stream
-from tessera.streaming.metric_ingest import daily_rollup, start_metric_ingest
+from tessera.streaming.metric_ingest import daily_rollup, panel_store, rollup_store, start_metric_ingest, write_batch
 
 RESULT_SCHEMA = T.StructType([
     T.StructField("sale_date", T.DateType()),
@@ -80,10 +80,44 @@ def q_stream_metric_ingest(spark: SparkSession, d: str) -> DataFrame:
                       F.col("value").cast("decimal(18,2)").alias("value"))
     q = start_metric_ingest(rows, f"{work}/panel", f"{work}/checkpoint")
     q.awaitTermination()
-    out = daily_rollup(spark, f"{work}/panel", ["value"])
+    out = daily_rollup(spark, f"{work}/panel", ["value"], rows.schema)
     return out.select("customer_id", "day", F.col("value_sum").cast("decimal(38,2)").alias("value_sum"))
 
 
+DELIVERIES = 3
+
+
+@register("live_rollup", """
+SELECT user_id AS customer_id, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day,
+       SUM(CAST(value AS DECIMAL(18,2))) AS value_sum, COUNT(*) AS n_rows,
+       SUM(COUNT(*)) OVER (PARTITION BY date_trunc('month', date_trunc('day', ts)))::BIGINT AS month_rows
+FROM events GROUP BY user_id, date_trunc('day', ts)
+""")
+def q_live_rollup(spark: SparkSession, d: str) -> DataFrame:
+    """Events that arrive in deliveries out of order of time, as a stream with a live rollup: folded between
+    deliveries, a batch replayed before and after its fold; the rollup read from partial sums, the months' row counts from the panel."""
+    work = scratch_dir(spark, "live-rollup")
+    events = Tables(spark, d).events.select(F.col("user_id").alias("customer_id"), F.col("ts").alias("metric_timestamp"),
+                                            F.col("value").cast("decimal(18,2)").alias("value"))
+    delivery = F.pmod(F.xxhash64("customer_id", "metric_timestamp"), F.lit(DELIVERIES))
+    target = f"{work}/target"
+    panel, sums = panel_store(spark, target, events.schema), rollup_store(spark, target, events.schema, ["value"])
+    for i in range(DELIVERIES):
+        part = events.where(delivery == i)
+        part.write.mode("append").parquet(f"{work}/landing")
+        start_metric_ingest(spark.readStream.schema(events.schema).parquet(f"{work}/landing"), target, f"{work}/checkpoint",
+                            rollup=["value"]).awaitTermination()
+        write_batch(panel, sums, ["value"], part, i)  # a replay of the batch just written
+        if i + 1 < DELIVERIES:  # the last one stays a loose batch
+            panel.fold()
+            sums.fold()
+            write_batch(panel, sums, ["value"], part, i)  # and one that comes after its fold
+            sums.vacuum()
+    months = panel.read().groupBy("month").agg(F.count(F.lit(1)).alias("month_rows"))
+    out = sums.read().join(months, "month", "left")
+    return out.select("customer_id", "day", F.col("value_sum").cast("decimal(38,2)").alias("value_sum"), "n_rows", "month_rows")
+
+
 @register("sales_file_job", ORACLE_SQL["house_sales"])
 def q_sales_file_job(spark: SparkSession, d: str) -> DataFrame:
     """The scheduled job over files: two CSV deliveries, the second after the first run, master data
@@ -97,7 +131,7 @@ def q_sales_file_job(spark: SparkSession, d: str) -> DataFrame:
     half = (sales.agg(F.max("id")).first()[0] or 0) // 2
     write_watermark(spark, f"{work}/state", BELOW_ALL)
     for delivery in (sales.where(F.col("id") <= half), sales.where(F.col("id") > half)):
-        append_csv(delivery, f"{work}/sales")
+        append_delivery(delivery, f"{work}/sales", bits=DELIVERY_BITS)
         ensure_watermark(spark, f"{work}/state")
         compute_house_sales(spark, f"{work}/state", f"{work}/sales", f"{work}/out", f"{work}/master", master_lines=True)
     # a third run finds nothing new and writes nothing
@@ -106,6 +140,45 @@ def q_sales_file_job(spark: SparkSession, d: str) -> DataFrame:
         F.sum("amount").alias("amount"), F.max("last_verstamp").alias("last_verstamp"))
 
 
+DELIVERY_BITS = 12  # small ranges: the driver's tables hold few stamps
+
+
+@register("sales_job_log", """
+WITH s AS (
+  SELECT l_orderkey AS k, CAST(l_shipdate AS DATE) AS day, p_brand AS house, CAST(l_quantity AS INTEGER) AS amount
+  FROM lineitem LEFT JOIN part ON l_partkey = p_partkey WHERE l_orderkey > 0),
+h AS (SELECT max(l_orderkey) // 2 AS half FROM lineitem),
+runs AS (
+  SELECT 'first' AS job, CAST(k > half AS INTEGER) AS run, s.* FROM s, h
+  UNION ALL SELECT 'restarted', 0, s.* FROM s),
+stamps AS (SELECT job, run, printf('0x%08x', max(k)) AS verstamp FROM runs GROUP BY ALL),
+groups AS (SELECT job, run, day, house, sum(amount) AS amount FROM runs WHERE house IS NOT NULL AND day IS NOT NULL GROUP BY ALL)
+SELECT job, verstamp, count(*)::BIGINT AS n_groups, CAST(sum(amount) AS BIGINT) AS amount
+FROM groups JOIN stamps USING (job, run) GROUP BY ALL
+""")
+def q_sales_job_log(spark: SparkSession, d: str) -> DataFrame:
+    """The results that the scheduled job has left, one for each run that found rows: the state starts at zero (rows
+    stamped zero are not above it), a run without fresh rows writes none, and a forced restart does all again in one."""
+    t = Tables(spark, d)
+    work = scratch_dir(spark, "sales-log")
+    sales = sales_columns(t.lineitem).select(
+        F.col("stamp").alias("id"), F.col("character_id").cast("string").alias("character_id"), "sale_date", "amount", "verstamp")
+    master_from_part(t).select(F.col("character_id").cast("string").alias("id"), F.lit(None).cast("string").alias("name"),
+                               "house").write.json(f"{work}/master")
+    run = lambda out: compute_house_sales(spark, f"{work}/state", f"{work}/sales", f"{work}/{out}", f"{work}/master", master_lines=True)
+    half = (sales.agg(F.max("id")).first()[0] or 0) // 2
+    ensure_watermark(spark, f"{work}/state")
+    for delivery in (sales.where(F.col("id") <= half), sales.where(F.col("id") > half)):
+        append_delivery(delivery, f"{work}/sales", bits=DELIVERY_BITS)
+        run("first")
+    run("first")
+    ensure_watermark(spark, f"{work}/state", is_restart=True)
+    run("restarted")
+    logs = [spark.read.schema(RESULT_SCHEMA).option("header", True).csv(f"{work}/{job}").withColumn("job", F.lit(job)) for job in ("first", "restarted")]
+    return logs[0].unionByName(logs[1]).groupBy("job", F.col("verstamp").cast("string").alias("verstamp")).agg(
+        F.count(F.lit(1)).alias("n_groups"), F.sum("amount").alias("amount"))
+
+
 @register("semicolon_load", """
 SELECT CAST(o_orderkey AS VARCHAR) AS order_key, o_orderstatus AS status, CAST(o_orderdate AS DATE) AS promo_date
 FROM orders
@@ -122,7 +195,9 @@ def q_semicolon_load(spark: SparkSession, d: str) -> DataFrame:
         rows.write.option("sep", ";").option("header", True).csv(f"{work}/{part}")
     load_csv_table(spark, f"{work}/a", name, drop=["UNUSED"], location=f"{work}/table")
     append_table(read_semicolon_csv(spark, f"{work}/b").drop("unused"), name)
-    return read_table(spark, name, ["order_key", "status", "promo_date"]).withColumn("promo_date", parse_dmy_date("promo_date"))
+    out = read_table(spark, name, ["order_key", "status", "promo_date"]).withColumn("promo_date", parse_dmy_date("promo_date"))
+    spark.sql(f"DROP TABLE {name}")  # its files stay in the scratch folder
+    return out
 
 
 @register("lookup_roundtrip", """

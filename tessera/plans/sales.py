@@ -19,7 +19,7 @@ from tessera.operators.joins import join_dimension
 from tessera.functions.stamps import ZERO_STAMP
 from tessera.sinks.files import write_stamped, write_watermark
 from tessera.session import scratch_dir
-from tessera.sources.files import newest_output, read_master_json, read_master_json_lines, read_sales, read_state, read_watermark
+from tessera.sources.files import RANGE_COLUMNS, in_range, newest_output, read_master_json, read_master_json_lines, read_sales, read_state, read_watermark
 
 
 STAMP = "stamp"  # optional numeric stamp column; derived from ``verstamp`` when absent
@@ -32,11 +32,21 @@ def with_stamp(sales: DataFrame) -> DataFrame:
     return sales if STAMP in sales.columns else sales.withColumn(STAMP, stamp_value("verstamp"))
 
 
-def fresh_rows(sales: DataFrame, watermark: str | None) -> DataFrame:
-    """Rows newer than the watermark (strict). On a numeric stamp column that comes
-    straight from the source, the predicate reaches the Parquet scan."""
+def fresh_rows(sales: DataFrame, watermark: str | None, until: str | None = None) -> DataFrame:
+    """Rows newer than the watermark (strict), up to ``until``. On a numeric stamp column that comes
+    straight from the source, the predicate reaches the Parquet scan; deliveries kept in stamp
+    ranges (``sinks.files.append_delivery``) are pruned by partition, so older ranges are not read."""
     s = with_stamp(sales)
-    return s if watermark is None else s.filter(F.col(STAMP) > F.lit(int(watermark, 16)))
+    ranged = set(RANGE_COLUMNS) <= set(s.columns)
+    if watermark is not None:
+        low = int(watermark, 16)
+        s = s.filter(F.col(STAMP) > F.lit(low))
+        s = s.filter(in_range(low, ">=")) if ranged else s
+    if until is not None:
+        high = int(until, 16)
+        s = s.filter(F.col(STAMP) <= F.lit(high))
+        s = s.filter(in_range(high, "<=")) if ranged else s
+    return s
 
 
 def house_sales(sales: DataFrame, master: DataFrame, watermark: str | None = None) -> DataFrame:
@@ -116,9 +126,7 @@ def run_batch(
     state = read_state(spark, state_path)
     old = state.verstamp if state else newest_output(spark, output_base) or ZERO_STAMP
     pending = state.intended if state else None
-    fresh = fresh_rows(sales, old)
-    if pending:
-        fresh = fresh.filter(F.col(STAMP) <= F.lit(int(pending, 16)))
+    fresh = fresh_rows(sales, old, pending)
     staged_path = scratch_dir(spark, "house-sales")
     _by_house(fresh, master).write.parquet(staged_path)
     staged = spark.read.parquet(staged_path)

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.stamps import ZERO_STAMP
+from tessera.functions.stamps import ZERO_STAMP, stamp_value
 from tessera.functions.timeparts import date_literal, trunc_ntz
-from tessera.sources.files import STATE_SCHEMA, read_state
+from tessera.sources.files import RANGE_COLUMNS, STATE_SCHEMA, read_state
 
 
 def stamped_path(base: str, stamp: str) -> str:
@@ -49,6 +49,18 @@ def append_csv(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("header", True).csv(path)
 
 
+STAMP_BITS = 20  # a range of deliveries: about a million stamps
+
+
+def append_delivery(df: DataFrame, path: str, bits: int = STAMP_BITS) -> None:
+    """Append rows as new files in the directories of their stamp ranges (K5): a run that starts at a
+    watermark lists all ranges and reads those from its own on. Rows of a range come together, so a
+    delivery writes few files; AQE splits a range that is large."""
+    stamp = F.col("stamp") if "stamp" in df.columns else stamp_value("verstamp")
+    out = df.withColumn("stamp_bits", F.lit(bits)).withColumn("stamp_range", F.shiftright(stamp.cast("bigint"), bits))
+    out.hint("rebalance", F.col("stamp_range")).write.mode("append").option("header", True).partitionBy(*RANGE_COLUMNS).csv(path)
+
+
 def cluster_by_month(df: DataFrame, month_col: str) -> DataFrame:
     """Rows of a month together for a partitioned write. The rebalance hint lets AQE split a month that
     is larger than the advisory partition size and merge small ones."""

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.stamps import ZERO_STAMP
+from tessera.functions.stamps import ZERO_STAMP, stamp_value
 
 SALES_SCHEMA = T.StructType([
     T.StructField("id", T.LongType()),
@@ -44,10 +44,21 @@ def read_header_csv(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 
 
 def read_sales(spark: SparkSession, path: str) -> DataFrame:
-    """The append-only sales fact files."""
+    """The append-only sales fact files: loose, or in stamp ranges (then with ``RANGE_COLUMNS``)."""
     return read_header_csv(spark, path, SALES_SCHEMA)
 
 
+# Directories of deliveries kept by stamp: ``stamp_bits=<b>/stamp_range=<stamp >> b>``. The width stands in
+# the path, so it may change from one delivery to the next.
+RANGE_COLUMNS = ("stamp_bits", "stamp_range")
+
+
+def in_range(stamp: int, compare: str) -> Column:
+    """Partition predicate: ranges that lie ``compare`` (>=, <=) the range of ``stamp``."""
+    bits, number = RANGE_COLUMNS
+    return F.expr(f"{number} {compare} shiftright(cast({stamp} as bigint), cast({bits} as int))")
+
+
 def read_semicolon_csv(spark: SparkSession, path: str) -> DataFrame:
     """Semicolon CSV exported from a spreadsheet (S2/K10).
 
@@ -124,4 +135,5 @@ def newest_output(spark: SparkSession, base: str) -> str | None:
         if _missing(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return None
         raise
-    return df.agg(F.max("verstamp")).first()[0] if "verstamp" in df.columns else None
+    # by number: as text 0xf… would be above 0x1……… of nine digits
+    return df.agg(F.max_by("verstamp", stamp_value("verstamp"))).first()[0] if "verstamp" in df.columns else None

@@ -7,9 +7,9 @@ import os
 from pyspark.sql import functions as F
 
 from tessera.functions.stamps import ZERO_STAMP
-from tessera.plans.sales import house_sales, run_batch, unmatched_keys
-from tessera.sources.files import SALES_SCHEMA, read_master_json, read_sales, read_watermark
-from tessera.sinks.files import append_csv, write_watermark
+from tessera.plans.sales import fresh_rows, house_sales, run_batch, unmatched_keys
+from tessera.sources.files import SALES_SCHEMA, newest_output, read_master_json, read_sales, read_watermark
+from tessera.sinks.files import append_csv, append_delivery, write_watermark
 from tessera.streaming.house_sales_stream import read_outputs, start_house_sales_stream
 
 MASTER = [{"id": "a", "name": "A", "house": "Gryffindor"}, {"id": "b", "name": "B", "house": "Slytherin"},
@@ -122,6 +122,34 @@ def test_stream_processes_each_delivery_once(spark, workdir):
     assert read_watermark(spark, f"{workdir}/state") == "0x%08x" % 129
 
 
+def test_older_deliveries_are_not_read(spark, workdir):
+    """Deliveries in stamp ranges: the second run's scan has partition filters, and never opens older ranges."""
+    m = _master(spark, f"{workdir}/m.json")
+    land = f"{workdir}/sales"
+    loose = _sales(spark, 1, dt.date(2023, 1, 1), 40, 1).unionByName(_sales(spark, 41, dt.date(2023, 1, 2), 30, 100))
+    append_delivery(_sales(spark, 1, dt.date(2023, 1, 1), 40, 1), land, bits=4)
+    run_batch(spark, read_sales(spark, land), m, f"{workdir}/state", f"{workdir}/out")
+    append_delivery(_sales(spark, 41, dt.date(2023, 1, 2), 30, 100), land, bits=5)  # another width beside the first
+    with open(f"{land}/stamp_bits=4/stamp_range=0/broken.csv", "w") as f:
+        f.write("id,character_id,sale_date,amount,verstamp\nnot,a,row,at,all\n")  # reading it would fail
+    fresh = fresh_rows(read_sales(spark, land), "0x%08x" % 40)
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(stamp_range" in plan or "stamp_range#" in plan.split("PartitionFilters: ")[1].split("]")[0]
+    r = run_batch(spark, read_sales(spark, land), m, f"{workdir}/state", f"{workdir}/out")
+    assert r.new_watermark == "0x%08x" % 129
+    got = read_outputs(spark, f"{workdir}/out").select(
+        F.col("sale_date").cast("date"), "house", F.col("amount").cast("bigint"), "last_verstamp")
+    assert _rows(got) == _rows(house_sales(loose, m))
+    # an interrupted run's upper bound prunes too
+    assert fresh_rows(read_sales(spark, land), "0x%08x" % 63, "0x%08x" % 110).count() == 11
+
+
+def test_newest_output_compares_numbers(spark, workdir):
+    for stamp in ("0xffffffff", "0x100000000", "0x0000000a"):
+        spark.range(1).write.option("header", True).csv(f"{workdir}/out/verstamp={stamp}")
+    assert newest_output(spark, f"{workdir}/out") == "0x100000000"
+
+
 def _total(spark, workdir):
     r = read_outputs(spark, f"{workdir}/out").agg(F.sum(F.col("amount").cast("long"))).first()
     return r[0]
