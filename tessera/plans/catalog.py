@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tessera.functions.docs import ident
 from tessera.functions.timeparts import trunc_ntz
 from tessera.sinks.files import cluster_by_month
+from tessera.sources.files import path_exists
 
 CATALOG = "metric_id int, name string, explain string, data_type string, table_name string, version int"
 KEYS = ("customer_id", "metric_timestamp")
@@ -23,8 +24,7 @@ KEYS = ("customer_id", "metric_timestamp")
 
 def read_catalog(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """One row for each metric, as of ``version`` (None: the newest). Without a catalog: no rows."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], CATALOG)
     rows = spark.read.schema(CATALOG).parquet(path)
     return rows if version is None else rows.where(F.col("version") <= version)
@@ -76,7 +76,8 @@ class PanelTables:
             if not self.spark.catalog.tableExists(name):
                 self.spark.sql(f"CREATE TABLE {ident(name)} (customer_id BIGINT, metric_timestamp TIMESTAMP_NTZ, {columns(wanted)}, month DATE) "
                                f"USING parquet PARTITIONED BY (month) LOCATION '{self.location}/{panel}'")
-                self.spark.sql(f"MSCK REPAIR TABLE {ident(name)}")  # a store that another session has written
+                if path_exists(self.spark, f"{self.location}/{panel}"):  # a store that another session has written
+                    self.spark.sql(f"MSCK REPAIR TABLE {ident(name)}")
                 added[panel] = wanted
                 continue
             held = set(self.spark.table(name).columns)

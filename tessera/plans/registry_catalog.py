@@ -100,5 +100,6 @@ def q_panel_tables_grow(spark: SparkSession, d: str) -> DataFrame:
                                    F.col(f"{m}.s").alias("value_sum")) for m in metrics])
         one = counts.select(F.lit(panel).alias("table_name"), "n_rows", F.inline(cells))
         out = one if out is None else out.unionByName(one)
-    tables.drop(rows)
-    return out.select("table_name", "position", "column_name", "n_rows", "n_values", "value_sum")
+    out.select("table_name", "position", "column_name", "n_rows", "n_values", "value_sum").write.parquet(f"{work}/counts")
+    tables.drop(rows)  # partitions are listed by the table when it is read, so the counts are written before
+    return spark.read.parquet(f"{work}/counts")

@@ -38,6 +38,17 @@ STATE_SCHEMA = T.StructType([
 ])
 
 
+def file_system(spark: SparkSession, path: str):
+    """The store that holds ``path``, and the path as it names it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    store, p = file_system(spark, path)
+    return store.exists(p)
+
+
 def read_header_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Comma CSV with a header row (S1)."""
     return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)

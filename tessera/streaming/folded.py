@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.sinks.files import cluster_by_month
+from tessera.sources.files import file_system, path_exists
 
 COMMIT = "fold int, through long, month string, held_by int"
 
@@ -51,13 +52,13 @@ class FoldedStore:
     def _read(self, path: str, *partitions: str) -> DataFrame:
         fields = [T.StructField(p, {"month": T.DateType(), "batch": T.LongType(), "fold": T.IntegerType()}[p]) for p in partitions]
         schema = T.StructType([*self.schema.fields, *fields])
-        if not _exists(self.spark, path):
+        if not path_exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path)
 
     def commit(self) -> Commit:
         """What the newest committed fold says."""
-        if not _exists(self.spark, self.folds):
+        if not path_exists(self.spark, self.folds):
             return Commit()
         rows = self.spark.read.schema(COMMIT).parquet(self.folds)
         newest = rows.agg(F.max("fold")).first()[0]
@@ -129,7 +130,7 @@ class FoldedStore:
             gone += [p for p in _children(self.spark, month) if "fold=" in p and int(p.rsplit("=", 1)[-1]) <= commit.fold
                      and int(p.rsplit("=", 1)[-1]) != held.get(name)]
         for path in gone:
-            fs, p = _fs(self.spark, path)
+            fs, p = file_system(self.spark, path)
             fs.delete(p, True)
         return len(gone)
 
@@ -141,16 +142,6 @@ def summed(keys: list[str], sums: list[str]) -> Callable[[DataFrame], DataFrame]
     return merge
 
 
-def _fs(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return fs.exists(p)
-
-
 def _children(spark: SparkSession, path: str) -> list[str]:
-    fs, p = _fs(spark, path)
+    fs, p = file_system(spark, path)
     return [s.getPath().toString() for s in fs.listStatus(p) if s.isDirectory()] if fs.exists(p) else []
