@@ -192,6 +192,55 @@ def test_brackets_are_decided_in_the_jvm(spark):
     assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_brackets_combine_like_one_walk(spark):
+    """Runs combined in halves against one stack: random strings over all run boundaries, and deep nesting."""
+    import random
+    import time
+
+    from tessera.functions.text import BRACKET_RUN, bracket_residue, is_balanced
+
+    def walk(text):
+        stack, closers = [], ""
+        for ch in text:
+            if ch in "([{":
+                stack.append(ch)
+            elif stack:
+                if stack.pop() + ch not in ("()", "[]", "{}"):
+                    return None
+            else:
+                closers += ch
+        return closers, "".join(stack)
+
+    rng = random.Random(9)
+
+    def nested(n):
+        out = ""
+        while n > 0:
+            k = min(n, rng.randrange(1, 90))
+            inner = "".join(rng.choice("([{") for _ in range(k))
+            out = inner + out + inner[::-1].translate(str.maketrans("([{", ")]}")) if rng.random() < .5 else out + inner + inner[::-1].translate(str.maketrans("([{", ")]}"))
+            n -= k
+        return out
+
+    texts = ["", "(", ")", ")(", "(]"] + [nested(rng.randrange(1, 400)) for _ in range(60)]
+    for text in list(texts[5:]):  # cut out of the middle, and one bracket turned
+        i, j = sorted((rng.randrange(len(text) + 1), rng.randrange(len(text) + 1)))
+        k = rng.randrange(len(text))
+        texts += [text[i:j], text[:k] + rng.choice("()[]{}") + text[k + 1:]]
+    texts += ["(" * n + ")" * n for n in (BRACKET_RUN - 1, BRACKET_RUN, BRACKET_RUN + 1, 5000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, s string").select("i", bracket_residue(F.col("s")).alias("r"), is_balanced("s").alias("ok"))
+    for r in df.collect():
+        want = walk(texts[r["i"]])
+        assert (None if r["r"]["broken"] else (r["r"]["closers"], r["r"]["openers"])) == want and r["ok"] == (want == ("", ""))
+    deep = "([{" * 333_334
+    big = "a word, " * 1_000_000 + deep + deep[::-1].translate(str.maketrans("([{", ")]}"))
+    one = spark.createDataFrame([(big,), (big + "(",), (big[:-1] + "]",)], "s string").repartition(3)
+    one.select(F.length("s")).collect()
+    start = time.time()
+    assert sorted(r[0] for r in one.select(is_balanced("s")).collect()) == [False, False, True]
+    assert time.time() - start < 60
+
+
 def test_semicolon_first_column(spark, workdir):
     from tessera.sources.files import read_semicolon_csv
 
