@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tessera.functions.timeparts import parse_dmy_date
 from tessera.plans.bindings import PANEL_WIDTH, master_from_part, metric_catalog, order_metric_store, sales_columns
+from tessera.plans.lookup import read_kept, refresh
 from tessera.plans.registry import ORACLE_SQL, register
 from tessera.plans.sales import compute_house_sales, ensure_watermark, lookup_seed
 from tessera.session import scratch_dir
@@ -214,6 +215,34 @@ def q_lookup_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return read_lookup_csv(spark, path)
 
 
+@register("kept_lookup", """
+WITH h AS (SELECT max(l_orderkey) // 100 AS early FROM lineitem),
+k AS (SELECT l_partkey, min(l_orderkey) AS first_seen FROM lineitem GROUP BY l_partkey),
+again AS (SELECT min(l_partkey) AS l_partkey FROM lineitem)
+SELECT CAST(k.l_partkey AS VARCHAR) AS character_id,
+       CASE WHEN k.l_partkey = (SELECT l_partkey FROM again) THEN 'third ' WHEN first_seen > early THEN 'second ' ELSE '' END || p_brand AS house,
+       CAST(CASE WHEN k.l_partkey = (SELECT l_partkey FROM again) THEN 3 WHEN first_seen > early THEN 2 ELSE 1 END AS BIGINT) AS version
+FROM k CROSS JOIN h LEFT JOIN part ON k.l_partkey = p_partkey
+""")
+def q_kept_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """A lookup kept over four runs: the second asks only for keys that the first has not met, the third for one key
+    again, the fourth for nothing; the master data that answers changes from run to run."""
+    t = Tables(spark, d)
+    path = f"{scratch_dir(spark, 'kept-lookup')}/lookup"
+    sales = sales_columns(t.lineitem)
+    early = (sales.agg(F.max("stamp")).first()[0] or 0) // 100  # a third of the keys or so
+    master = master_from_part(t).select(F.col("character_id").cast("string").alias("character_id"), "house")
+
+    def answers(prefix: str):
+        return lambda keys: keys.join(master.withColumn("house", F.concat(F.lit(prefix), "house")), "character_id")
+
+    refresh(spark, path, sales.where(F.col("stamp") <= early), answers(""))
+    refresh(spark, path, sales, answers("second "))
+    refresh(spark, path, sales, answers("third "), again=sales.agg(F.min("character_id").alias("character_id")))
+    refresh(spark, path, sales, answers("never "))
+    return read_kept(spark, path)
+
+
 @register("catalog_schema", f"""
 WITH types AS (SELECT DISTINCT event_type FROM events WHERE event_type IS NOT NULL),
 cat AS (SELECT row_number() OVER (ORDER BY event_type) AS id FROM types),
