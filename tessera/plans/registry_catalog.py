@@ -1,4 +1,4 @@
-"""Queries over the stored catalog and the tables made from it."""
+"""Queries over what an ingest stores beside the facts: the catalog, the tables made from it, the index of names."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tessera.plans.bindings import METRIC_TYPE, PANEL_WIDTH, metric_store
 from tessera.plans.catalog import PanelTables, catalog_rows, read_catalog, register_metrics
 from tessera.plans.metrics import city_metrics
+from tessera.plans.name_index import build_name_index, search_names
 from tessera.plans.registry import register
 from tessera.session import scratch_dir
 from tessera.sources.tables import Tables
@@ -103,3 +104,21 @@ def q_panel_tables_grow(spark: SparkSession, d: str) -> DataFrame:
     out.select("table_name", "position", "column_name", "n_rows", "n_values", "value_sum").write.parquet(f"{work}/counts")
     tables.drop(rows)  # partitions are listed by the table when it is read, so the counts are written before
     return spark.read.parquet(f"{work}/counts")
+
+
+#: An inner piece, both ends, a piece with a free letter, one without three letters in a row, one that nobody has.
+NAME_PATTERNS = ("%0123%", "Customer%7", "%#%0_11%", "%9_9%", "%xyz%")
+
+
+@register("name_pattern_search", " UNION ALL ".join(
+    f"SELECT '{p}' AS pattern, c_custkey AS customer_id, c_name AS last_name FROM customer WHERE c_name LIKE '{p}'" for p in NAME_PATTERNS))
+def q_name_pattern_search(spark: SparkSession, d: str) -> DataFrame:
+    """People by name pattern: the rows of each pattern's rarest trigram, verified."""
+    people = Tables(spark, d).customer.select(F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("last_name"))
+    path = scratch_dir(spark, "name-index")
+    build_name_index(people, path)
+    out = None
+    for p in NAME_PATTERNS:
+        one = search_names(spark, path, people, p).select(F.lit(p).alias("pattern"), "customer_id", "last_name")
+        out = one if out is None else out.unionByName(one)
+    return out
