@@ -20,8 +20,8 @@ ranges of the sorted rows, chunks hold ``CHUNK`` rows (a ``CHUNKS``-th of a long
 number for each. Only the thin digests of ``summary`` need one row for a conversation.
 
 Defined results: null roles and texts are one space, a null turn sorts first and is named by one space in
-the damage, a null conv_id is a conversation of its own. Rows of one turn are ordered by role and text (of
-equal rows the first counts as seen first). A row's first fault counts (blank, duplicate, truncated). A role's initial is its first
+the damage, a null conv_id is a conversation of its own. Rows of one turn are ordered by role and the SHA-256 of their text
+(of equal rows the first counts as seen first). A row's first fault counts (blank, duplicate, truncated). A role's initial is its first
 character; one other than s, u, a can only be reroled or deleted. An empty role has no initial. Empty tables give no rows;
 other columns are not read.
 """
@@ -64,23 +64,33 @@ def damaged(rows: DataFrame) -> DataFrame:
                        text.alias("text"), copies.alias("copies"))
 
 
+KEY = ["conv_id", "turn", "role", "digest"]
+
+
+def digested(rows: DataFrame) -> DataFrame:
+    """The rows that are there, with the SHA-256 of their text."""
+    return rows.where("copies > 0").withColumn("digest", F.unhex(F.sha2("text", 256)))
+
+
 def entries(rows: DataFrame) -> DataFrame:
-    """Equal rows as one entry with ``copies``: whether it is blank, the first of its role and text, or truncated."""
-    same = rows.where("copies > 0").groupBy("conv_id", "turn", "role", "text").agg(F.sum("copies").alias("copies"))
-    # The first turn of each role and text, marked on the entry of that turn: keys are unique on both sides.
+    """Equal rows as one entry with ``copies``: whether it is blank, the first of its role and text, or truncated.
+    Texts stay behind: a digest stands for them."""
+    same = digested(rows).groupBy(*KEY).agg(F.sum("copies").alias("copies"), F.max(F.col("text").rlike(BLANK)).alias("blank"),
+                                            F.max(F.col("text").rlike(WHOLE)).alias("whole"))
+    # The first turn of each role and text, marked on the entry of that turn.
     turn = F.struct(F.col("turn").isNotNull().alias("named"), "turn")
-    first = same.groupBy("conv_id", "role", "text").agg(F.min(turn).alias("at")).select(
-        "conv_id", "at.turn", "role", "text", F.lit(0).cast("long").alias("copies"), F.lit(True).alias("first"))
-    both = same.withColumn("first", F.lit(False)).unionByName(first)
-    out = both.groupBy("conv_id", "turn", "role", "text").agg(F.sum("copies").alias("copies"), F.max("first").alias("first"))
-    blank = F.col("text").rlike(BLANK)
-    return out.withColumn("blank", blank).withColumn("cut", ~blank & F.col("first") & ~F.col("text").rlike(WHOLE))
+    no = F.lit(False)
+    first = same.groupBy("conv_id", "role", "digest").agg(F.min(turn).alias("at")).select(
+        "conv_id", "at.turn", "role", "digest", F.lit(0).cast("long").alias("copies"), no.alias("blank"), no.alias("whole"), F.lit(True).alias("first"))
+    both = same.withColumn("first", no).unionByName(first)
+    out = both.groupBy(*KEY).agg(F.sum("copies").alias("copies"), *[F.max(c).alias(c) for c in ("blank", "whole", "first")])
+    return out.withColumn("cut", ~F.col("blank") & F.col("first") & ~F.col("whole")).drop("whole")
 
 
 def placed(rows: DataFrame) -> DataFrame:
     """Entries with their ``place`` in the conversation (from 0) and the conversation's number of entries, ``size``.
     Rows are sorted by range; ranges of one conversation add up."""
-    order = ["conv_id", F.col("turn").asc_nulls_first(), "role", "text"]
+    order = ["conv_id", F.col("turn").asc_nulls_first(), "role", "digest"]
     dealt = written(rows.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "repair-rows")
     sizes = dealt.groupBy("conv_id", "part").agg(F.count(F.lit(1)).alias("here"))
     conv = Window.partitionBy("conv_id")
@@ -279,30 +289,36 @@ def repaired(rows: DataFrame, chunk: int = CHUNK, chunks: int = CHUNKS) -> tuple
     """Repairs rows of ``conv_id, turn, role, text`` and ``copies`` (how often each stands there).
 
     Returns the edits in order (conv_id, place, step, edit, n, role, text, cost: an edit that is made ``n``
-    times, with the row it leaves, null for none), the entries and the chunks."""
+    times, with the row it leaves, null for none), the entries and the chunks. Texts are shuffled once, to the
+    edits that keep them."""
     known = written(placed(entries(rows)), "repair-entries")
     cut = written(chunked(known, chunk, chunks), "repair-chunks")
     behind, _ = converged(cut, chunks + 1)
-    steps = traced(cut, behind).select(F.struct("conv_id").alias("conv"), "place", "inserted", "edit")
+    steps = written(traced(cut, behind), "repair-steps").select(F.struct("conv_id").alias("conv"), "place", "inserted", "edit")
     both = known.withColumn("conv", F.struct("conv_id")).drop("conv_id").join(steps, ["conv", "place"], "right")
     live = F.col("edit") != ""
     letters = F.filter(F.split("inserted", ""), lambda x: x != "")
     nothing = F.lit(None).cast("string")
-    cell = lambda edit, n, role, text, cost: F.struct(
-        edit.alias("edit"), n.cast("long").alias("n"), role.alias("role"), text.alias("text"), cost.cast("long").alias("cost"))
+    cell = lambda edit, n, role, cost: F.struct(
+        edit.alias("edit"), n.cast("long").alias("n"), role.alias("role"), cost.cast("long").alias("cost"))
     one, named = F.lit(1), lambda x: F.when(x == "u", F.lit("user")).otherwise(F.lit("assistant"))
-    made = F.transform(letters, lambda x: cell(F.lit("I"), one, named(x), F.lit(""), F.lit(INSERT)))
+    made = F.transform(letters, lambda x: cell(F.lit("I"), one, named(x), F.lit(INSERT)))
     extra = F.when(F.col("cut"), F.lit(CUT)).otherwise(F.lit(0))
     letter = F.substring("edit", 1, 1)
-    done = F.when(letter == "K", cell(letter, one, F.col("role"), F.col("text"), extra)).when(
-        letter == "R", cell(letter, one, named(F.substring("edit", 2, 1)), F.col("text"), extra + REROLE)).otherwise(
-        cell(letter, one, nothing, nothing, F.lit(DELETE)))
+    done = F.when(letter == "K", cell(letter, one, F.col("role"), extra)).when(
+        letter == "R", cell(letter, one, named(F.substring("edit", 2, 1)), extra + REROLE)).otherwise(
+        cell(letter, one, nothing, F.lit(DELETE)))
     left = F.coalesce(F.col("copies"), F.lit(0)) - live.cast("long")
-    gone = cell(F.lit("D"), left, nothing, nothing, F.lit(DELETE))
+    gone = cell(F.lit("D"), left, nothing, F.lit(DELETE))
     cells = F.concat(made, F.when(live, F.array(done)).otherwise(F.filter(F.array(done), lambda _: F.lit(False))),
                      F.filter(F.array(gone), lambda x: x["n"] > 0))
-    out = both.select("conv.conv_id", "place", F.posexplode(cells).alias("step", "e")).select("conv_id", "place", "step", "e.*")
-    return out, known, cut
+    key = F.struct("conv.conv_id", "turn", F.col("role"), "digest")
+    out = both.select("conv.conv_id", "place", key.alias("key"), F.posexplode(cells).alias("step", "e")).select("conv_id", "place", "key", "step", "e.*")
+    stays = F.col("edit").isin("K", "R")
+    texts = digested(rows).select(F.struct(*KEY).alias("key"), "text").dropDuplicates(["key"])
+    kept = out.where(stays).join(texts, "key")
+    other = out.where(~stays).withColumn("text", F.when(F.col("edit") == "I", F.lit("")))
+    return kept.unionByName(other).drop("key"), known, cut
 
 
 def summary(rows: DataFrame, chunk: int = CHUNK, chunks: int = CHUNKS) -> DataFrame:

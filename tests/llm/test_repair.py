@@ -72,7 +72,7 @@ def brute(rows):
     out = {}
     left = damage(rows)
     for conv in {r[0] for r in rows}:
-        mine = sorted((r for r in left if r[0] == conv), key=lambda r: (r[1] is not None, r[1] or 0, r[2].encode(), r[3].encode()))
+        mine = sorted((r for r in left if r[0] == conv), key=lambda r: (r[1] is not None, r[1] or 0, r[2].encode(), hashlib.sha256(r[3].encode()).digest()))
         seen, faults = set(), []
         for _, _, role, text in mine:
             end = text.rstrip(" \t\n\x0b\x0c\r")
