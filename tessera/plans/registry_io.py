@@ -10,13 +10,14 @@ from pyspark.sql import types as T
 
 from tessera.functions.timeparts import parse_dmy_date
 from tessera.plans.bindings import PANEL_WIDTH, master_from_part, metric_catalog, order_metric_store, sales_columns
+from tessera.plans.generate import resume_point
 from tessera.plans.lookup import read_kept, refresh
 from tessera.plans.registry import ORACLE_SQL, register
 from tessera.plans.sales import compute_house_sales, ensure_watermark, lookup_seed
 from tessera.session import scratch_dir
 from tessera.sinks.files import append_delivery, month_filter, write_monthly, write_watermark
 from tessera.sinks.tables import append_table, load_csv_table, write_lookup_csv
-from tessera.sources.files import read_lookup_csv, read_semicolon_csv
+from tessera.sources.files import read_lookup_csv, read_sales, read_semicolon_csv
 from tessera.sources.tables import Tables, read_table
 from tessera.streaming.house_sales_stream import read_outputs, start_house_sales_stream
 from tessera.streaming.metric_ingest import daily_rollup, panel_store, rollup_store, start_metric_ingest, write_batch
@@ -215,6 +216,24 @@ def q_lookup_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return read_lookup_csv(spark, path)
 
 
+@register("lookup_seed", "SELECT DISTINCT l_partkey AS character_id, '' AS house FROM lineitem")
+def q_lookup_seed(spark: SparkSession, d: str) -> DataFrame:
+    """The keys a lookup is to fill in, each with an empty house."""
+    return lookup_seed(sales_columns(Tables(spark, d).lineitem))
+
+
+@register("resume_point", """
+SELECT CAST(max(l_orderkey) AS BIGINT) AS last_id, max(CAST(l_shipdate AS DATE)) AS last_day, CAST(max(l_orderkey) AS BIGINT) AS last_stamp FROM lineitem
+""")
+def q_resume_point(spark: SparkSession, d: str) -> DataFrame:
+    """Where a generator of sales goes on, from delivered files: the largest id, day and stamp (by number)."""
+    work = scratch_dir(spark, "resume")
+    sales = sales_columns(Tables(spark, d).lineitem)
+    append_delivery(sales.select(F.col("stamp").alias("id"), F.col("character_id").cast("string").alias("character_id"), "sale_date", "amount", "verstamp"),
+                    work, bits=DELIVERY_BITS)
+    return spark.createDataFrame([resume_point(read_sales(spark, work))], "last_id long, last_day date, last_stamp long")
+
+
 @register("kept_lookup", """
 WITH h AS (SELECT max(l_orderkey) // 100 AS early FROM lineitem),
 k AS (SELECT l_partkey, min(l_orderkey) AS first_seen FROM lineitem GROUP BY l_partkey),
