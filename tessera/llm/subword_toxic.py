@@ -256,9 +256,19 @@ def training_rows(docs: DataFrame, labels: DataFrame, usable: Column, s: Setting
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, s: Settings = Settings()) -> Model:
-    """Train on a bounded sample. ``usable``: which rows of ``labels`` may be learnt from."""
-    rows = training_rows(docs, labels, usable, s).groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).toPandas().sort_values("doc_id")
-    return train(rows["text"].tolist(), rows["toxic"].to_numpy(), s)
+    """Train on a bounded sample, in one task: the driver gets the model only, a number for each bucket.
+    ``usable``: which rows of ``labels`` may be learnt from."""
+    rows = training_rows(docs, labels, usable, s).groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+
+    def learn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat([*frames, pd.DataFrame({"doc_id": [], "toxic": [], "text": []})]).sort_values("doc_id")
+        model = train(pdf["text"].tolist(), pdf["toxic"].to_numpy(dtype=int), s)
+        yield pd.DataFrame({"share": [model.share.tobytes()], "bias": [model.bias]})
+
+    made = rows.coalesce(1).mapInPandas(learn, "share binary, bias double").first()
+    if made is None:  # no partition at all: nothing to learn from
+        return train([], np.zeros(0, int), s)
+    return Model(s, np.frombuffer(made["share"]).copy(), made["bias"])
 
 
 def score_column(model: Model, docs: DataFrame, text: str = "text") -> Column:
