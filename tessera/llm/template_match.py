@@ -90,7 +90,11 @@ class Templates:
 
     def readings(self, text: str | None) -> list[tuple[np.ndarray, np.ndarray, list[str], np.ndarray]]:
         """``of``, and the same with opening capitalised words as names if there are any."""
-        raw = TOKEN.findall(text or "")
+        return self.read(TOKEN.findall(text or ""))
+
+    def read(self, raw: list[str]) -> list[tuple[np.ndarray, np.ndarray, list[str], np.ndarray]]:
+        """``readings`` of a list of tokens. Several texts may stand in it, each closed by a line feed: nothing reaches
+        over one."""
         cache = self.cache
         code = np.fromiter([cache[t] for t in raw], np.uint64, len(raw))
         kind = (code & np.uint64(7)).astype(np.int8)
@@ -166,21 +170,30 @@ def document_windows(docs: DataFrame, sizes: list[int], flags: np.ndarray) -> Da
 
     def run(frames):
         t, flags = Templates(), sent.value
-        for pdf in batches(frames, 512):
+        for pdf in batches(frames, 256):
             out: dict[str, list] = {k: [] for k in ("doc_id", "copy", "hash", "doc_pos", "doc_slots")}
-            for doc, copy, text in zip(pdf["doc_id"].astype("Int64"), pdf["copy"], pdf["text"]):
-                readings = t.readings(text)
-                for reading in range(2):
-                    h, kinds, raw, at = readings[min(reading, len(readings) - 1)]
-                    for size in sizes:
-                        w = windows(h, size) ^ (_NAMED * np.uint64(reading))
-                        hits = np.flatnonzero(flags[(w >> np.uint64(64 - BITS)).astype(np.int64)]).tolist()
-                        if hits:
-                            out["doc_id"] += [doc] * len(hits)
-                            out["copy"] += [copy] * len(hits)
-                            out["hash"] += w[hits].view(np.int64).tolist()
-                            out["doc_pos"] += hits
-                            out["doc_slots"] += [t.slots(raw, at, kinds, i, size) for i in hits]
+            raw: list[str] = []  # the tokens of all texts, each closed by a line feed
+            ends: list[int] = []
+            for text in pdf["text"]:
+                raw += TOKEN.findall(text or "")
+                raw.append("\n")
+                ends.append(len(raw))
+            readings = t.read(raw)
+            ids, copies = list(pdf["doc_id"].astype("Int64")), list(pdf["copy"])
+            for reading in range(2):
+                h, kinds, _, at = readings[min(reading, len(readings) - 1)]
+                owner = np.searchsorted(ends, at, side="right")
+                first = np.searchsorted(owner, np.arange(len(ids)))
+                for size in sizes:
+                    w = windows(h, size) ^ (_NAMED * np.uint64(reading))
+                    inside = owner[:len(w)] == owner[len(owner) - len(w):]
+                    hits = np.flatnonzero(flags[(w >> np.uint64(64 - BITS)).astype(np.int64)] & inside)
+                    whose = owner[hits]
+                    out["doc_id"] += [ids[i] for i in whose]
+                    out["copy"] += [copies[i] for i in whose]
+                    out["hash"] += w[hits].view(np.int64).tolist()
+                    out["doc_pos"] += (hits - first[whose]).tolist()
+                    out["doc_slots"] += [t.slots(raw, at, kinds, i, size) for i in hits.tolist()]
             if out["hash"]:
                 yield pd.DataFrame(out).astype({"doc_id": "Int64"})
 
