@@ -18,6 +18,7 @@ from tessera.session import scratch_dir
 from tessera.sinks.files import append_delivery, month_filter, write_monthly, write_watermark
 from tessera.sinks.tables import append_table, load_csv_table, write_lookup_csv
 from tessera.sources.files import read_lookup_csv, read_sales, read_semicolon_csv
+from tessera.sources.json_list import read_master_json_list
 from tessera.sources.tables import Tables, read_table
 from tessera.streaming.house_sales_stream import read_outputs, start_house_sales_stream
 from tessera.streaming.metric_ingest import daily_rollup, panel_store, rollup_store, start_metric_ingest, write_batch
@@ -234,6 +235,19 @@ def q_resume_point(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame([resume_point(read_sales(spark, work))], "last_id long, last_day date, last_stamp long")
 
 
+@register("json_list_master", "SELECT CAST(p_partkey AS VARCHAR) AS character_id, p_name || ' \"}{\\ ' AS name, p_brand AS house FROM part")
+def q_json_list_master(spark: SparkSession, d: str) -> DataFrame:
+    """The master data as one JSON list, whose names hold quotes, braces and backslashes, read back by many tasks."""
+    part = Tables(spark, d).part
+    path = f"{scratch_dir(spark, 'json-list-master')}/master"
+    text = F.to_json(F.struct(F.col("p_partkey").cast("string").alias("id"), F.concat("p_name", F.lit(' "}{\\ ')).alias("name"), F.col("p_brand").alias("house")))
+    ends = part.agg(F.min("p_partkey").alias("a"), F.max("p_partkey").alias("z")).first()
+    line = F.concat(F.when(F.col("p_partkey") == ends["a"], F.lit("[")).otherwise(F.lit("")), text,
+                    F.when(F.col("p_partkey") == ends["z"], F.lit("]")).otherwise(F.lit(",")))
+    part.select("p_partkey", line.alias("value")).repartition(1).sortWithinPartitions("p_partkey").select("value").write.text(path)  # a list is one file
+    return read_master_json_list(spark, path)
+
+
 @register("kept_lookup", """
 WITH h AS (SELECT max(l_orderkey) // 100 AS early FROM lineitem),
 k AS (SELECT l_partkey, min(l_orderkey) AS first_seen FROM lineitem GROUP BY l_partkey),
