@@ -231,7 +231,8 @@ class Counts:
 
 
 _PART = ("place int, kind string, batch long, h array<long>, seen array<double>, lower array<double>, count array<long>, doc array<int>, "
-         "score array<double>, base array<double>, known array<int>, ids array<long>, has_id array<boolean>, tokens array<int>, held binary, total long, words long")
+         "score array<double>, base array<double>, known array<int>, ids array<long>, has_id array<boolean>, tokens array<int>, held binary, total long, words long, "
+         "batches array<long>, uses array<int>")
 _NAMES = [c.split()[0] for c in _PART.split(", ")]
 
 
@@ -258,10 +259,16 @@ def score_bucket(pdf: pd.DataFrame, sums: np.ndarray, hot: np.ndarray, buckets:
     score = np.bincount(b.doc, by_pair[b.pair], n)
     base = np.bincount(b.doc, np.log10(c1 + 1)[b.word][b.pair], n)
     known = np.bincount(b.doc, (c1 > 0)[b.word][b.pair], n).astype(np.int32)
+    used = np.bincount(b.doc, minlength=n) > 0
     out, at = [], 0
     for batch, size in zip(b.batches, b.n_docs):
         cut = slice(at, at + size)
-        out.append({"place": -1, "kind": "doc", "batch": int(batch), "score": score[cut], "base": base[cut], "known": known[cut]})
+        own = np.flatnonzero(used[cut])
+        part = {"place": -1, "kind": "doc", "batch": int(batch)}
+        if len(own) > 0.8 * size:  # nearly all documents: their numbers are left out
+            out.append(part | {"score": score[cut], "base": base[cut], "known": known[cut]})
+        else:
+            out.append(part | {"doc": own.astype(np.int32), "score": score[cut][own], "base": base[cut][own], "known": known[cut][own]})
         at += size
     heads = pdf[pdf["head"].astype(bool)]
     for r in heads.itertuples():
@@ -276,17 +283,28 @@ def score_bucket(pdf: pd.DataFrame, sums: np.ndarray, hot: np.ndarray, buckets:
         out += _by_place(h[at], sums_of, hot, buckets)
     lost = np.flatnonzero(~seen[b.pair])
     if len(lost):
-        edges = np.concatenate(([0], np.cumsum(b.n_docs)))
-        of_batch = np.searchsorted(edges, b.doc[lost], side="right") - 1
-        h = b.h[b.pair[lost]]
-        place = _spread(hot, h, (of_batch % REPLICAS).astype(np.int64), buckets)
-        for key in np.unique(place * len(edges) + of_batch):
-            i = key % len(edges)
-            pick = (place == key // len(edges)) & (of_batch == i)
-            out.append({"place": int(key // len(edges)), "kind": "use", "batch": int(b.batches[i]), "h": h[pick], "doc": (b.doc[lost][pick] - edges[i]).astype(np.int32)})
+        out += _uses(b, lost, hot, buckets)
     return out
 
 
+def _uses(b: Bucket, lost: np.ndarray, hot: np.ndarray, buckets: int) -> list[dict]:
+    """One row for each bucket of histories: the uses of unseen pairs that it weighs, in order of their batches."""
+    edges = np.concatenate(([0], np.cumsum(b.n_docs)))
+    doc, h = b.doc[lost], b.h[b.pair[lost]]
+    batch = np.searchsorted(edges, doc, side="right") - 1
+    place = _spread(hot, h, (batch % REPLICAS).astype(np.int64), buckets)
+    order = np.lexsort((batch, place))
+    h, place, batch = h[order], place[order], batch[order]
+    doc = (doc[order] - edges[batch]).astype(np.int32)
+    new = np.concatenate(([True], place[1:] != place[:-1]))
+    cuts = np.append(np.flatnonzero(new), len(place))
+    runs = np.append(np.flatnonzero(new | np.concatenate(([True], batch[1:] != batch[:-1]))), len(place))
+    at = np.searchsorted(runs, cuts)  # the first run of each place
+    sizes = np.diff(runs).astype(np.int32)
+    return [{"place": int(place[lo]), "kind": "use", "h": h[lo:hi], "doc": doc[lo:hi], "batches": b.batches[batch[runs[i:j]]], "uses": sizes[i:j]}
+            for lo, hi, i, j in zip(cuts[:-1], cuts[1:], at[:-1], at[1:])]
+
+
 def _by_place(h: np.ndarray, sums: list[np.ndarray], hot: np.ndarray, buckets: int) -> list[dict]:
     """Rows of history sums by bucket of histories; a hot history goes to all its replicas."""
     is_hot = np.isin(h, hot)
@@ -317,15 +335,19 @@ def histories(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def back_off(pdf: pd.DataFrame) -> list[dict]:
     """What the uses of unseen pairs add to their documents: log10 of alpha(h), and c(h) given back."""
     h, count, alpha = histories(pdf)
-    out = []
     add = np.append(np.log10(alpha) + np.log10(np.maximum(count, 1)), 0.0)
-    for r in pdf[pdf["kind"] == "use"].itertuples():
-        own, doc = np.asarray(r.h, dtype=np.int64), np.asarray(r.doc)
-        at = np.minimum(np.searchsorted(h, own), max(len(h) - 1, 0))
-        value = add[np.where(h[at] == own, at, len(h))] if len(h) else np.zeros(len(own))
-        docs, back = np.unique(doc, return_inverse=True)
-        out.append({"place": -1, "kind": "more", "batch": int(r.batch), "doc": docs.astype(np.int32), "score": np.bincount(back, value, len(docs))})
-    return out
+    parts = pdf[pdf["kind"] == "use"]
+    if not len(parts):
+        return []
+    cat = lambda c, t: np.concatenate([np.asarray(x, dtype=t) for x in parts[c]])
+    own, doc = cat("h", np.int64), cat("doc", np.int64)
+    at = np.minimum(np.searchsorted(h, own), max(len(h) - 1, 0))
+    value = add[np.where(h[at] == own, at, len(h))] if len(h) else np.zeros(len(own))
+    batches, number = np.unique(cat("batches", np.int64), return_inverse=True)
+    keys, back = np.unique(np.repeat(number, cat("uses", np.int64)) << 32 | doc, return_inverse=True)
+    score, doc = np.bincount(back, value, len(keys)), (keys & 0xFFFFFFFF).astype(np.int32)
+    cuts = np.searchsorted(keys >> 32, np.arange(len(batches) + 1))
+    return [{"place": -1, "kind": "more", "batch": int(x), "doc": doc[lo:hi], "score": score[lo:hi]} for x, lo, hi in zip(batches, cuts[:-1], cuts[1:])]
 
 
 def finish(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -334,9 +356,10 @@ def finish(pdf: pd.DataFrame) -> pd.DataFrame:
     n = len(head["tokens"])
     score, base, known = np.zeros(n), np.zeros(n), np.zeros(n, np.int64)
     for r in pdf[pdf["kind"] == "doc"].sort_values("place").itertuples():
-        score += np.asarray(r.score)[:n]
-        base += np.asarray(r.base)[:n]
-        known += np.asarray(r.known)[:n]
+        own = np.arange(n) if r.doc is None else np.asarray(r.doc)  # without numbers: all documents
+        score[own] += np.asarray(r.score)[:n]
+        base[own] += np.asarray(r.base)[:n]
+        known[own] += np.asarray(r.known)[:n]
     for r in pdf[pdf["kind"] == "more"].itertuples():
         score[np.asarray(r.doc)] += np.asarray(r.score)
     tokens = np.asarray(head["tokens"], dtype=np.int64)

@@ -125,6 +125,24 @@ def test_katz_tables_evaluate_to_the_same_scores(spark, workdir):
         assert math.isclose(total, scores[r["doc_id"]], abs_tol=1e-6)
 
 
+def test_katz_rows_of_a_bucket_do_not_multiply_with_batches(spark):
+    """Uses of unseen pairs: one row for each bucket of histories, however many batches; few documents of a batch: only those."""
+    docs, s, buckets = table(spark, SF001, "documents").repartition(4).cache(), katz.Settings(batch_tokens=400, hot_sample=30), 7
+    hot = katz.hot_words(docs, s)
+    cut = katz.blocks(docs, F.col("doc_id") % 7 == 2, hot, buckets, s).toPandas()
+    assert cut["batch"].nunique() > 50
+    parts = [cut[cut["bucket"] == b] for b in range(buckets)]
+    sums = sum(katz.counts_of_counts(p, hot, s) for p in parts)
+    rows = [katz.score_bucket(p, sums, hot, buckets, s) for p in parts]
+    assert all(len([r for r in out if r["kind"] == "use"]) <= buckets for out in rows)
+    many = 1500
+    few = dict(list(katz.blocks(docs, F.col("doc_id") % 7 == 2, hot, many, katz.Settings(hot_sample=30)).toPandas().groupby("bucket")))
+    sums = sum(katz.counts_of_counts(p, hot, s) for p in few.values())
+    entries = sum(len(r["score"]) for p in few.values() for r in katz.score_bucket(p, sums, hot, many, s) if r["kind"] == "doc")
+    tokens = sum(len((r["text"] or "").split()) + 1 for r in docs.collect())
+    assert entries <= tokens < many * docs.count()
+
+
 def test_katz_empty_table(spark):
     assert katz.scores(spark.createDataFrame([], "doc_id long, text string"), F.lit(False), 4).collect() == []
 
