@@ -2,59 +2,81 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions import bignum as B
 from tessera.functions.text import common_prefix
 from tessera.operators.joins import DEFAULT_BROADCAST_LIMIT, HOT_KEY_ROWS, join_back
 
+SENT = 1 << 22  # characters of products that a task sends at a time
+
+
+def _product(factors: list[int]) -> int:
+    """Product of whole numbers, of neighbours first, so that long ones are multiplied late."""
+    while len(factors) > 1:
+        pairs = [a * b for a, b in zip(factors[::2], factors[1::2])]
+        factors = pairs + factors[2 * len(pairs):]
+    return factors[0] if factors else 1
+
+
+def _products_but_one(cells: list[dict]) -> Iterator[str]:
+    """For each distinct value ``v`` of a group, which occurs ``c`` times: the product of all other values."""
+    zeros = sum(x["c"] for x in cells if x["v"] == 0)
+    whole = _product([int(x["v"]) ** x["c"] for x in cells if x["v"]]) if zeros < 2 else 0
+    shown = str(whole)
+    for x in cells:
+        v = x["v"]
+        yield "0" if zeros - (v == 0) > 0 else str(whole // int(v)) if v else shown
+
 
 def leave_one_out_values(rows: DataFrame, group: Sequence[str], value: str, out: str = "product_except_self",
                          count: str = "n") -> DataFrame:
     """Per group and distinct value: ``group``, ``value`` (``decimal(38,0)``), how often it occurs, and the
     product of all *other* values of its group as exact decimal text, whatever its length.
 
-    Values are counted by (group, value) first, so a hot group shrinks to its distinct values. Groups
-    with two or more zeros have products of 0 and leave there; in the others each group's list of (value, count) is
-    no longer than its product has digits, and is folded once: into a bigint where that holds the product, else
-    into limbs (``functions.bignum``). A value below 10^9 then divides the product, a larger one of many
-    digits has its own fold of the others.
+    Values are counted by (group, value) first, so a hot group shrinks to its distinct values; each group's list of
+    (value, count) is no longer than its product has digits. Lists are dealt over a set number of tasks (they are
+    small, the products are not), which multiply once a group, divide once a value and send the texts in bounded pieces.
     """
     g = list(group)
-    v = F.col(value).cast(B.WIDE)
-    per_value = rows.groupBy(*g, v.alias(value)).agg(F.count(F.lit(1)).alias(count))
-    key = F.struct(*g).alias("__g")
-    # Groups with several zeros: the condition reaches the scan, and few rows pass it.
-    void = rows.where(v == 0).groupBy(key).agg(F.count(F.lit(1)).alias("__z")).where("__z > 1").select("__g")
-    counted = per_value.withColumn("__g", F.struct(*g))
-    cells = F.collect_list(F.struct(F.col(value).alias("v"), F.col(count).alias("c")))
-    lists = counted.join(void, "__g", "left_anti").groupBy("__g").agg(
-        cells.alias("__cells"),
-        F.max(F.when(F.col(value) == 0, 1).otherwise(0)).alias("__zero"),
-        (F.sum(F.when(F.col(value) < 0, F.col(count)).otherwise(0)) % 2).alias("__minus"),
-        F.sum(F.when(F.abs(F.col(value)) > 1, F.log10(F.abs(F.col(value)).cast("double")) * F.col(count)).otherwise(0.0)).alias("__digits"))
-    factors = F.transform(F.filter("__cells", lambda x: F.abs(x["v"]) > 1), lambda x: F.struct(F.abs(x["v"]).alias("b"), x["c"].alias("e")))
-    short = F.col("__digits") < 17.5  # the product fits a bigint: no limbs
-    times = lambda acc, x: F.aggregate(F.array_repeat(x["b"].cast("bigint"), x["e"].cast("int")), acc, lambda a, b: a * b)
-    folded = lists.select("__g", "__zero", "__minus", factors.alias("__factors"), "__cells",
-                          F.when(short, F.aggregate(factors, F.lit(1).cast("bigint"), times)).alias("__short"),
-                          F.when(~short, B.power_product(factors)).alias("__p"))
-    folded = folded.withColumn("__x", F.explode("__cells")).drop("__cells")
-    mine = F.col("__x.v")
-    size = F.abs(mine)
-    others = F.transform("__factors", lambda x: F.struct(x["b"].alias("b"), (x["e"] - (x["b"] == size).cast("bigint")).alias("e")))
-    limbs = F.when(mine.isNull() | (size <= 1), F.col("__p")).when(size < B.BASE, B.divided(F.col("__p"), size.cast("bigint"))).otherwise(
-        B.power_product(others))
-    minus = (F.col("__minus") + F.coalesce(mine < 0, F.lit(False)).cast("bigint")) % 2 == 1
-    exact = F.expr("cast(__short div greatest(cast(abs(coalesce(__x.v, 1)) as bigint), 1) as string)")
-    text = F.concat(F.when(minus, F.lit("-")).otherwise(F.lit("")), F.when(F.col("__short").isNotNull(), exact).otherwise(B.as_text(limbs)))
-    product = F.when((F.col("__zero") == 1) & ~F.coalesce(mine == 0, F.lit(False)), F.lit("0")).otherwise(text)
-    some = folded.select("__g.*", mine.alias(value), F.col("__x.c").alias(count), product.alias(out))
-    none = counted.join(void, "__g", "left_semi").select(*g, value, count, F.lit("0").alias(out))
-    return some.unionByName(none)
+    session = rows.sparkSession
+    tasks = max(int(session.conf.get("spark.sql.shuffle.partitions")), session.sparkContext.defaultParallelism)
+    per_value = rows.groupBy(*g, F.col(value).cast(B.WIDE).alias(value)).agg(F.count(F.lit(1)).alias(count))
+    cells = F.collect_list(F.struct(F.col(value).alias("v"), F.col(count).alias("c"))).alias("__cells")
+    lists = per_value.repartition(tasks, *g).groupBy(*g).agg(cells)
+    fields = [*[rows.schema[c] for c in g], T.StructField(value, T.DecimalType(38, 0)), T.StructField(count, T.LongType()), T.StructField(out, T.StringType())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sys.set_int_max_str_digits(0)
+        for batch in batches:
+            listed = batch.column(batch.schema.names.index("__cells"))
+            parents, flat = pa.compute.list_parent_indices(listed), listed.flatten()
+            keys = [batch.column(batch.schema.names.index(c)) for c in g]
+
+            def piece(lo: int, texts: list[str]) -> pa.RecordBatch:
+                own, part = parents.slice(lo, len(texts)), flat.slice(lo, len(texts))
+                return pa.RecordBatch.from_arrays([*[k.take(own) for k in keys], part.field("v"), part.field("c"), pa.array(texts, pa.string())],
+                                                  names=[f.name for f in fields])
+
+            lo, texts, length = 0, [], 0
+            for cells in listed:
+                for text in _products_but_one(cells.as_py()):
+                    texts.append(text)
+                    length += len(text)
+                    if length >= SENT:
+                        yield piece(lo, texts)
+                        lo, texts, length = lo + len(texts), [], 0
+            if texts:
+                yield piece(lo, texts)
+
+    return lists.mapInArrow(run, T.StructType(fields))
 
 
 def leave_one_out_text(

@@ -42,6 +42,19 @@ def test_long_products(spark):
     assert A.leave_one_out_text(df.limit(0), ["g"], "v").collect() == []
 
 
+def test_long_products_are_dealt_over_all_tasks(spark):
+    """However small their lists are, and in bounded pieces."""
+    df = spark.range(40_000).selectExpr("id % 500 AS g", "id % 37 + 2 AS v")
+    values = A.leave_one_out_values(df, ["g"], "v", "p")
+    assert values.groupBy(F.spark_partition_id()).count().count() >= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    r = values.where("g = 7 AND v = 5").first()
+    assert int(r["p"]) * 5 == math.prod(i % 37 + 2 for i in range(7, 40_000, 500))
+    wide = spark.range(3000).selectExpr("0 AS g", "id + 10 AS v")
+    got = {r["v"]: r["p"] for r in A.leave_one_out_values(wide, ["g"], "v", "p").collect()}
+    whole = math.prod(range(10, 3010))
+    assert len(got) == 3000 and all(int(got[v]) == whole // v for v in (10, 999, 3009))
+
+
 def test_hot_rows_are_dealt_by_a_written_ordinal(spark):
     from tessera.operators.joins import join_back
 
