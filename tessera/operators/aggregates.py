@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -13,8 +14,10 @@ from pyspark.sql import types as T
 
 from tessera.functions import bignum as B
 from tessera.functions.text import common_prefix
-from tessera.operators.joins import DEFAULT_BROADCAST_LIMIT, HOT_KEY_ROWS, join_back
+from tessera.operators.joins import DEFAULT_BROADCAST_LIMIT, HOT_KEY_ROWS, HOT_KEYS, join_back
 
+LIST_ROWS = 100_000  # a group of more rows is not gathered into one list
+BIGINT_DIGITS = 17.5  # products of fewer digits fit a bigint
 SENT = 1 << 22  # characters of products that a task sends at a time
 
 
@@ -79,6 +82,18 @@ def leave_one_out_values(rows: DataFrame, group: Sequence[str], value: str, out:
     return lists.mapInArrow(run, T.StructType(fields))
 
 
+def _gathered(rows: DataFrame, g: list[str], value: str) -> DataFrame:
+    """One row a group: ``__rows``, the other columns of its rows, with ``__zeros`` and ``__digits`` of its product."""
+    lists = rows.groupBy(*g).agg(F.collect_list(F.struct(*[c for c in rows.columns if c not in g])).alias("__rows"))
+    digits = F.aggregate("__rows", F.lit(0.0), lambda acc, r: acc + _digits(r[value]))
+    return lists.withColumn("__digits", digits).withColumn("__zeros", F.size(F.filter("__rows", lambda r: r[value] == 0)))
+
+
+def _digits(v: Column) -> Column:
+    size = F.abs(v.cast("double"))
+    return F.when(size > 1, F.log10(size)).otherwise(0.0)
+
+
 def leave_one_out_text(
     rows: DataFrame, group: Sequence[str], value: str, out: str = "product_except_self",
     broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, hot_rows: int = HOT_KEY_ROWS,
@@ -88,12 +103,37 @@ def leave_one_out_text(
     Values are whole numbers; a NULL value counts as absent and gets the product of all
     others. Rules: no zero → P / v; one zero → P for the zero row, 0 for the others;
     two or more zeros → 0. Rows of the NULL group form a group.
+
+    Groups are measured first. Rows are then shuffled once, by group, and those whose product fits a bigint are done
+    there. Groups of very many rows (fewer than ``HOT_KEYS``, whatever the data) and those with long products
+    go by distinct value (``leave_one_out_values``).
     """
     g = list(group)
-    values = leave_one_out_values(rows, g, value, out, "__n").withColumnRenamed(value, "__v")
-    # Rows meet their value's result; values that many rows share are sliced.
-    joined = join_back(rows.withColumn("__v", F.col(value).cast(B.WIDE)), values, [*g, "__v"], "__n", "inner", limit=broadcast_limit, hot_rows=hot_rows)
-    return joined.drop("__v")
+    sizes = rows.groupBy(*g).agg(F.count(F.lit(1)).alias("__n"), F.sum(_digits(F.col(value))).alias("__d"))
+    total, most, longest = sizes.agg(F.sum("__n"), F.max("__n"), F.max("__d")).first()
+    bound = max(min(hot_rows, LIST_ROWS), (total or 0) / HOT_KEYS)
+    cool, special = rows, []
+    if (most or 0) > bound:
+        hot = F.broadcast(sizes.where(F.col("__n") > bound).select(F.struct(*g).alias("__key")))
+        keyed = rows.withColumn("__key", F.struct(*g))
+        cool = keyed.join(hot, "__key", "left_anti").drop("__key")
+        special.append(keyed.join(hot, "__key", "left_semi").select(*rows.columns))
+    lists = _gathered(cool, g, value)
+    if (longest or 0) > BIGINT_DIGITS - 0.5:  # the sums may be rounded differently
+        special.append(lists.where(F.col("__digits") >= BIGINT_DIGITS).select(*g, F.inline("__rows")).select(*rows.columns))
+        lists = lists.where(F.col("__digits") < BIGINT_DIGITS)
+    whole = F.aggregate(F.filter("__rows", lambda r: r[value] != 0), F.lit(1).cast("bigint"), lambda acc, r: acc * r[value].cast("bigint"))
+    each = lists.select(*g, "__zeros", whole.alias("__p"), F.inline("__rows"))
+    mine = F.col(value).cast("bigint")
+    others = F.call_function("div", F.col("__p"), F.when(mine != 0, mine).otherwise(1)).cast("string")
+    other_zeros = F.col("__zeros") - F.coalesce(mine == 0, F.lit(False)).cast("int")
+    parts = [each.select(*rows.columns, F.when(other_zeros > 0, "0").otherwise(others).alias(out))]
+    for part in special:
+        values = leave_one_out_values(part, g, value, out, "__n").withColumnRenamed(value, "__v")
+        # Rows meet their value's result; values that many rows share are sliced.
+        joined = join_back(part.withColumn("__v", F.col(value).cast(B.WIDE)), values, [*g, "__v"], "__n", "inner", limit=broadcast_limit, hot_rows=hot_rows)
+        parts.append(joined.select(*rows.columns, out))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def leave_one_out_product(

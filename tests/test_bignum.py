@@ -42,6 +42,16 @@ def test_long_products(spark):
     assert A.leave_one_out_text(df.limit(0), ["g"], "v").collect() == []
 
 
+def test_short_products_take_one_shuffle_of_the_rows(spark):
+    rows = [(i // 4, i % 4, i % 13 - 3, f"t{i}") for i in range(400)] + [(None, 1, None, "x"), (None, 2, 5, "y")]
+    df = spark.createDataFrame(rows, "g int, i int, v int, t string").repartition(6)
+    out = A.leave_one_out_text(df, ["g"], "v", broadcast_limit=0)
+    want = sorted(((*r, str(math.prod(x[2] for x in rows if x[0] == r[0] and x[1] != r[1] and x[2] is not None))) for r in rows), key=str)
+    assert sorted((tuple(r) for r in out.collect()), key=str) == want
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan, plan
+
+
 def test_long_products_are_dealt_over_all_tasks(spark):
     """However small their lists are, and in bounded pieces."""
     df = spark.range(40_000).selectExpr("id % 500 AS g", "id % 37 + 2 AS v")
