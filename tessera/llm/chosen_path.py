@@ -5,14 +5,17 @@ carries a sketch of ``width`` minwise tokens. A tree branches the nodes: at each
 node, hashes of its path choose one or two sketch coordinates (``1 / similarity`` in the
 mean), and each document goes to the children named by its tokens there; so two sets as
 similar as the threshold are expected to stay together in one child. Tree nodes of at
-most ``small`` documents are compared exhaustively, larger ones branch on; independent
+most ``small`` documents are compared exhaustively, each within a task, larger ones branch on; independent
 trees are repeated for the target recall: a pair at the threshold is missed by all
 ``trees`` at the first level with a chance of ``0.1875 ** trees``.
 
 Only components are asked for, so first the tree nodes of a few trees link their members to their
 smallest one; afterwards only members of different components are compared, and large tree nodes that outlive
 some branchings are linked so again, which keeps large groups of copies linear. Candidates whose sketches agree too little (``screen``,
-four to five standard errors below the threshold) are dropped; the rest is confirmed on the full sets.
+four to five standard errors below the threshold) are dropped; the rest is confirmed on the full sets. Pairs
+leave a tree node only while they are few: one with more than ``DENSE`` candidates a member (near copies
+that fall a little short of the threshold) gets the full sets of its members instead and is decided there. So what is shuffled
+grows with the members of tree nodes, never with the pairs among them.
 
 Defined results: null, empty and word-free texts have no shingles and link with nothing (each is its
 own component); fewer words than a shingle make one shingle of all; equal texts are linked;
@@ -24,6 +27,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,6 +41,7 @@ from tessera.llm.components import components
 _P, _MIX, _MIX2 = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 FLAG_BITS = 20
 HOT = 2000  # members of one pivot that a task confirms at a time
+DENSE = 2  # candidate pairs a member that leave a tree node as pairs
 
 
 @dataclass(frozen=True)
@@ -45,7 +50,7 @@ class Settings:
     percent: int = 75  # least similarity
     width: int = 64  # minwise tokens of a sketch
     trees: int = 12
-    small: int = 12
+    small: int = 2000
     depth: int = 12
     star_trees: int = 3  # trees whose first level links to smallest members
     merges: tuple[int, ...] = (2, 5)  # levels after which what was found is merged
@@ -152,7 +157,7 @@ def _branch(rows: DataFrame, nodes: DataFrame, s: Settings) -> DataFrame:
             child, row = _children(pdf["path"].to_numpy().view(np.uint64), _matrix(pdf["sketch"], s.width), s)
             yield pd.DataFrame({"path": child.view(np.int64), "node": pdf["node"].to_numpy()[row],
                                 "component": pdf["component"].to_numpy()[row]})
-    return rows.join(nodes.select("node", "sketch"), "node").select("path", "node", "component", "sketch").mapInPandas(
+    return rows.join(nodes, "node").select("path", "node", "component", "sketch").mapInPandas(
         run, "path long, node long, component long")
 
 
@@ -193,10 +198,102 @@ def _full_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, s: Settings
     return sets.join(reps.withColumnRenamed("node", "found"), ["rep", "found"], "left_semi").select(F.col("found").alias("node"), "shingles")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, s: Settings) -> DataFrame:
+def _whole(frames: Iterator[pd.DataFrame], key: str) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Frames sorted by ``key``, cut anew so that no key spans two, and where the keys begin and end in them."""
+    left = None
+    for pdf in chain(frames, [None]):
+        now = left if pdf is None else pdf if left is None else pd.concat([left, pdf], ignore_index=True)
+        if now is None or not len(now):
+            continue
+        k = now[key].to_numpy()
+        cuts = np.concatenate(([0], np.flatnonzero(k[1:] != k[:-1]) + 1, [len(k)]))
+        if pdf is not None:
+            cuts = cuts[:-1]
+        if len(cuts) > 1:
+            yield now.iloc[:cuts[-1]], cuts
+        left = now.iloc[cuts[-1]:]
+
+
+def _near(brief: np.ndarray, size: np.ndarray, component: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray] | None:
+    """Pairs of members of one tree node, of different components, whose sketches agree enough and whose sizes
+    allow the similarity; None if they are more than ``DENSE`` a member."""
+    n, found, total = len(size), [], 0
+    step = max(1, (1 << 17) // n)
+    for lo in range(0, n - 1, step):
+        x = np.arange(lo, min(lo + step, n - 1))[:, None]
+        y = np.arange(lo + 1, n)[None, :]
+        fits = np.minimum(size[x], size[y]) * 100 >= np.maximum(size[x], size[y]) * s.percent
+        i, j = np.nonzero((x < y) & (component[x] != component[y]) & fits)
+        i, j = i + lo, j + lo + 1
+        alike = (brief[i] == brief[j]).sum(1) >= s.screen * s.width
+        found.append((i[alike], j[alike]))
+        total += len(found[-1][0])
+        if total > DENSE * n:
+            return None
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
+def _compared(rows: DataFrame, nodes: DataFrame, s: Settings) -> DataFrame:
+    """``path, node, component, other`` of tree nodes whose members are compared on their sketches: candidate pairs
+    ``node, other``, and the members of those with too many candidates (``other`` is null)."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf, cuts in _whole(frames, "path"):
+            node, component, size = (pdf[c].to_numpy() for c in ("node", "component", "n_shingles"))
+            brief = np.frombuffer(b"".join(pdf["brief"]), np.uint8).reshape(-1, s.width)
+            pairs, members = [], []
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                near = _near(brief[lo:hi], size[lo:hi], component[lo:hi], s)
+                if near is None:
+                    members.append(np.arange(lo, hi))
+                elif len(near[0]):
+                    pairs.append((near[0] + lo, near[1] + lo))
+            if pairs:
+                i, j = (np.concatenate(c) for c in zip(*pairs))
+                yield pd.DataFrame({"path": 0, "node": np.minimum(node[i], node[j]), "component": 0, "other": pd.array(np.maximum(node[i], node[j]), dtype="Int64")})
+            if members:
+                out = pdf.iloc[np.concatenate(members)][["path", "node", "component"]]
+                yield out.assign(other=pd.array([None] * len(out), dtype="Int64"))
+
+    together = rows.join(nodes.select("node", "brief", "n_shingles"), "node").repartition("path").sortWithinPartitions("path")
+    return together.select("path", "node", "component", "n_shingles", "brief").mapInPandas(run, "path long, node long, component long, other long")
+
+
+def joining_pairs(sets: list[np.ndarray], component: np.ndarray, s: Settings) -> list[tuple[int, int]]:
+    """Similar pairs that join the components of the given sets, fewer than there are sets. Shared shingles are counted
+    through the lists of their holders."""
+    sizes = np.array([len(x) for x in sets])
+    starts = np.concatenate(([0], np.cumsum(sizes)))
+    _, number, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    holders = np.repeat(np.arange(len(sets)), sizes)[np.argsort(number, kind="stable")]
+    first = np.concatenate(([0], np.cumsum(held)[:-1]))
+    group, out = np.unique(component, return_inverse=True)[1], []
+    for i in range(len(sets) - 1):
+        own = number[starts[i]:starts[i + 1]]
+        n = held[own]
+        at = np.repeat(first[own] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+        shared = np.bincount(holders[at], minlength=len(sets))
+        for j in np.flatnonzero((100 * shared >= s.percent * (sizes[i] + sizes - shared)) & (group != group[i])):
+            if group[j] != group[i]:
+                out.append((i, int(j)))
+                group[group == group[j]] = group[i]
+    return out
+
+
+def _decided(members: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """Pairs that join the components of each tree node's members, on their full sets."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf, cuts in _whole(frames, "path"):
+            node, component, own = pdf["node"].to_numpy(), pdf["component"].to_numpy(), [np.asarray(x) for x in pdf["shingles"]]
+            pairs = [(node[lo + i], node[lo + j]) for lo, hi in zip(cuts[:-1], cuts[1:]) for i, j in joining_pairs(own[lo:hi], component[lo:hi], s)]
+            if pairs:
+                yield pd.DataFrame([sorted(p) for p in pairs], columns=["a", "b"])
+
+    together = members.join(sets, "node").repartition("path").sortWithinPartitions("path")
+    return together.select("path", "node", "component", "shingles").mapInPandas(run, "a long, b long").distinct()
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
     """The pairs that are similar on their full sets. Each pivot ``a`` meets its partners in chunks of about HOT."""
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = written(_full_sets(docs, nodes, wanted, s), "near-sets")
     slices = pairs.groupBy("a").agg(F.ceil(F.count("*") / HOT).cast("int").alias("slices"))
     pairs = pairs.join(slices, "a").withColumn("slice", F.pmod(F.xxhash64("b"), F.col("slices")).cast("int"))
     partners = pairs.select("a", "slice", F.col("b").alias("node"))
@@ -234,33 +331,43 @@ def links(docs: DataFrame, nodes: DataFrame, s: Settings) -> DataFrame:
     size = roots.groupBy("path").agg(F.count("*").alias("n"), F.min("node").alias("pivot")).where("n > 1")
     shared = written(roots.join(size, "path").select("path", "node", "star", "pivot"), "near-shared")
     stars = shared.where("star and node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    edges = written(_confirmed(written(_screened(stars, nodes, s), "near-stars"), docs, nodes, s), "near-links")
-    rows = _merged(shared.select("path", "node"), edges)
-    found = []
+    edges = written(_new_links([], [stars], docs, nodes, s), "near-links")
+    rows, wide = _merged(shared.select("path", "node"), edges), None
+    leaves, stars = [], []
     for level in range(s.depth + 1):
         # Tree nodes within one component are done with.
         open_paths = rows.groupBy("path").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"),
                                               F.min("node").alias("pivot"), F.min_by("component", "node").alias("of_pivot")).where("lo <> hi")
         rows = written(rows.join(open_paths.select("path", "n", "pivot", "of_pivot"), "path"), "near-open")
         last = level == s.depth  # what is still together then is compared whatever its size
-        few = rows if last else rows.where(F.col("n") <= s.small)
-        x, y = (few.select("path", F.col("node").alias(n), F.col("component").alias(f"c{n}")) for n in "ab")
-        found.append(x.join(y, "path").where("a < b and ca <> cb").select("a", "b").distinct())
+        leaves.append((rows if last else rows.where(F.col("n") <= s.small)).select("path", "node", "component"))
         rows = rows.where(F.col("n") > s.small)
         if last or rows.isEmpty():
             break
         if level in s.merges:
             # Large tree nodes that outlive some branchings hold similar sets: their stars join most of them.
-            found.append(rows.where("component <> of_pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct())
-            edges = written(edges.unionByName(_new_links(found, docs, nodes, s)), "near-links")
-            rows, found = written(_merged(rows.select("path", "node"), edges), "near-merged"), []
-        rows = written(_branch(rows, nodes, s), "near-branch")
-    return edges.unionByName(_new_links(found, docs, nodes, s))
-
-
-def _new_links(found: list[DataFrame], docs: DataFrame, nodes: DataFrame, s: Settings) -> DataFrame:
-    pairs = written(reduce(DataFrame.unionByName, found), "near-pairs")
-    return _confirmed(written(_screened(pairs, nodes, s), "near-rest"), docs, nodes, s)
+            stars = [rows.where("component <> of_pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))]
+            edges = written(edges.unionByName(_new_links(leaves, stars, docs, nodes, s)), "near-links")
+            rows, leaves = written(_merged(rows.select("path", "node"), edges), "near-merged"), []
+        if wide is None:  # later levels read the sketches of these nodes only
+            wide = written(nodes.join(rows.select("node").distinct(), "node", "left_semi").select("node", "sketch"), "near-wide")
+        rows = written(_branch(rows, wide, s), "near-branch")
+    return edges.unionByName(_new_links(leaves, [], docs, nodes, s))
+
+
+def _new_links(leaves: list[DataFrame], stars: list[DataFrame], docs: DataFrame, nodes: DataFrame, s: Settings) -> DataFrame:
+    """Confirmed pairs among the members of tree nodes (``leaves``) and of candidate pairs (``stars``)."""
+    pairs = [_screened(p, nodes, s) for p in stars]
+    members = None
+    if leaves:
+        found = written(_compared(reduce(DataFrame.unionByName, leaves), nodes, s), "near-pairs")
+        pairs.append(found.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
+        members = found.where("other is null").drop("other")
+    pairs = written(reduce(DataFrame.unionByName, pairs).distinct(), "near-rest")
+    wanted = [pairs.select(F.col(c).alias("node")) for c in "ab"] + ([members.select("node")] if members is not None else [])
+    sets = written(_full_sets(docs, nodes, reduce(DataFrame.unionByName, wanted).distinct(), s), "near-sets")
+    links = _confirmed(pairs, sets, s)
+    return links if members is None else links.unionByName(_decided(members, sets, s))
 
 
 def classes(docs: DataFrame, s: Settings = Settings()) -> DataFrame:

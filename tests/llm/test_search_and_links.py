@@ -118,6 +118,51 @@ def test_classes_of_a_large_group(spark):
     assert got == {i: 0 if i % 3 == 0 else i for i in range(900)}
 
 
+def test_copies_short_of_the_threshold_leave_no_pairs(spark, monkeypatch):
+    """Near copies of one text that are mostly not similar enough to each other: candidates stay below the
+    members of tree nodes, and the classes are those of brute force."""
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(5000)]
+    base, rows = list(rng.choice(words, 150)), []
+    for i in range(360):
+        text = list(base)
+        for at in rng.choice(150, rng.integers(2, 8), replace=False):
+            text[at] = str(rng.choice(words))
+        rows.append((i, " ".join(text)))
+    sizes = {}
+
+    def counted(df, purpose, write=chosen_path.written):
+        out = write(df, purpose)
+        sizes.setdefault(purpose, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(chosen_path, "written", counted)
+    got = chosen_path.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=str) == classes_by_hand(rows)
+    assert len({r["component_id"] for r in got}) > 50
+    assert sum(sizes["near-pairs"]) + sum(sizes["near-rest"]) < 20 * len(rows)
+
+
+def test_joining_pairs_span_the_components():
+    rng = np.random.default_rng(2)
+    s = chosen_path.Settings()
+    for _ in range(30):
+        base = rng.choice(10_000, 40, replace=False)
+        sets = [np.unique(np.concatenate((rng.choice(base, rng.integers(20, 41), replace=False), rng.integers(10_000, 20_000, rng.integers(0, 6))))) for _ in range(25)]
+        up = rng.integers(0, 25, 25)
+        group = lambda pairs: {tuple(sorted(i for i in range(25) if root[i] == r)) for root in [roots(pairs)] for r in set(root)}
+
+        def roots(pairs):
+            own = list(up)
+            for i, j in pairs:
+                own = [own[i] if x == own[j] else x for x in own]
+            return own
+        every = [(i, j) for i in range(25) for j in range(i) if 100 * (n := len(np.intersect1d(sets[i], sets[j]))) >= 75 * (len(sets[i]) + len(sets[j]) - n)]
+        found = chosen_path.joining_pairs(sets, up, s)
+        assert set(found) <= {*every, *((j, i) for i, j in every)} and len(found) < 25
+        assert group(found) == group(every)
+
+
 def test_classes_empty_table(spark):
     assert chosen_path.classes(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
