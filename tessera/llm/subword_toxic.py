@@ -12,7 +12,8 @@ weigh alike in short and long texts; its score is the largest window probability
 only whole documents carry labels, training alternates: all windows of clean documents
 are clean, the highest-scoring window of a toxic document is toxic (the first round
 takes whole documents), also with its strongest word among words of clean documents, so that the
-word decides and not its neighbours. After averaging, the softmax is linear in the words, so a
+word decides and not its neighbours. A small sample takes more rounds, until nearly all of its clean documents score as
+clean. After averaging, the softmax is linear in the words, so a
 word's share of the logit is one number, kept in a bounded cache of the worker.
 
 The training sample is bounded: at most ``max_docs`` labelled documents (smallest keyed
@@ -50,7 +51,9 @@ class Settings:
     window: int = 5  # words averaged at a time; windows overlap by half
     max_docs: int = 3500  # bound on the training sample
     epochs: int = 2
-    rounds: int = 6
+    rounds: int = 6  # at least; more while clean documents of the sample still score as toxic
+    most_rounds: int = 24
+    quiet: float = 0.01  # part of the clean documents that may
     batch: int = 512
     rate: float = 0.5
     seed: int = 17
@@ -220,15 +223,19 @@ def train(texts: list[str], labels: np.ndarray, s: Settings) -> Model:
     memory_bias[:] = 1.0
     clean = np.concatenate([docs[i] for i in kept if not labels[i]] or [np.zeros(0, np.int32)])
     hard: dict[tuple[int, int], np.ndarray] = {}
-    for _ in range(s.rounds):
+    for turn in range(max(s.rounds, s.most_rounds)):
         now = model()
         logit = np.concatenate([np.add.reduceat(now.share[flat[first[k]:first[min(k + 20_000, len(size))]]],
                                                 first[k:min(k + 20_000, len(size))] - first[k])
                                 for k in range(0, len(size), 20_000)] or [np.zeros(0)]) / size
+        windows = {i: now.window_logits(logit[docs[i]]) for i in kept}
+        loud = sum(windows[i].max() + now.bias >= 0 for i in kept if not labels[i])
+        if turn >= s.rounds and loud <= s.quiet * sum(not labels[i] for i in kept):
+            break
         toxic = []
         for i in kept:
             cut = _windows(docs[i], s.window)
-            best = int(now.window_logits(logit[docs[i]]).argmax())
+            best = int(windows[i].argmax())
             if labels[i]:
                 toxic.append(cut[best])
                 for _ in range(s.others if len(clean) else 0):  # its strongest word among words of clean documents

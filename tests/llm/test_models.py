@@ -193,6 +193,14 @@ def test_toxicity_knows_unseen_misspellings(seed):
     assert (score([" ".join(words[i:i + 4]) for i in range(0, 300, 4)]) > 0.5).mean() <= 0.02
 
 
+@pytest.mark.parametrize("folder", [SF001, SF01])
+def test_toxicity_leaves_clean_documents_of_small_samples_alone(spark, folder):
+    rows = table(spark, folder, "documents").join(table(spark, folder, "labels"), "doc_id").orderBy("doc_id").collect()
+    toxic = np.array([r["toxic"] for r in rows])
+    said = subword_toxic.train([r["text"] for r in rows], toxic, subword_toxic.Settings()).scores([r["text"] for r in rows], {}) >= 0.5
+    assert said[toxic == 0].mean() <= 0.02 and said[toxic == 1].mean() >= 0.95
+
+
 def test_toxicity_takes_one_text_of_a_repeated_id(spark):
     docs = spark.createDataFrame([(1, "b b b"), (1, "a a a"), (2, "c c c")], "doc_id long, text string").repartition(3)
     labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
